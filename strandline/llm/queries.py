@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import chat, quality
+from . import bpe, chat, ids, quality
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
     "op6_chat_formatting": chat.op6_chat_formatting,
+    "op7_token_ids": ids.op7_token_ids,
+    "op8_bpe_encoding": bpe.op8_bpe_encoding,
 }
 ORACLES = {
     "op1_quality_rules": quality.ORACLE_SQL,
