@@ -61,6 +61,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select("v", "m").where("v != m").union(low)
         now = keep(small.toDF("u", "v").distinct(), "edges")
-    return now.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root")).union(
-        now.select(F.col("v"), F.col("v")).distinct().join(now.select(F.col("u").alias("v")), "v", "left_anti").toDF("node", "root")
-    )
+    else:
+        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+    # Settled: every node that isn't a root points at its root, and roots point nowhere.
+    top = now.select(F.col("v").alias("node")).distinct()
+    return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(top.select("node", F.col("node").alias("root")))

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, ids, quality
+from . import bpe, chat, ids, near, quality
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
+    "op3_minhash_dedup": near.op3_minhash_dedup,
     "op6_chat_formatting": chat.op6_chat_formatting,
     "op7_token_ids": ids.op7_token_ids,
     "op8_bpe_encoding": bpe.op8_bpe_encoding,
 }
 ORACLES = {
     "op1_quality_rules": quality.ORACLE_SQL,
+    "op3_minhash_dedup": near.ORACLE_SQL,
     "op6_chat_formatting": chat.ORACLE_SQL,
 }
