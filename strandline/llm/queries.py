@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, ids, near, quality
+from . import bpe, chat, ids, near, passages, quality
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
+    "op2_substring_dedup": passages.op2_substring_dedup,
     "op3_minhash_dedup": near.op3_minhash_dedup,
     "op6_chat_formatting": chat.op6_chat_formatting,
     "op7_token_ids": ids.op7_token_ids,
