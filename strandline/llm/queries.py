@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, ids, near, passages, quality
+from . import bpe, chat, ids, leaks, near, passages, quality
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
     "op2_substring_dedup": passages.op2_substring_dedup,
     "op3_minhash_dedup": near.op3_minhash_dedup,
+    "op4_decontamination": leaks.op4_decontamination,
     "op6_chat_formatting": chat.op6_chat_formatting,
     "op7_token_ids": ids.op7_token_ids,
     "op8_bpe_encoding": bpe.op8_bpe_encoding,
@@ -15,5 +16,6 @@ QUERIES = {
 ORACLES = {
     "op1_quality_rules": quality.ORACLE_SQL,
     "op3_minhash_dedup": near.ORACLE_SQL,
+    "op4_decontamination": leaks.ORACLE_SQL,
     "op6_chat_formatting": chat.ORACLE_SQL,
 }
