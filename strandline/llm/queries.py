@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, ids, leaks, near, passages, quality
+from . import bpe, chat, ids, leaks, lines, near, passages, quality
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
     "op2_substring_dedup": passages.op2_substring_dedup,
     "op3_minhash_dedup": near.op3_minhash_dedup,
     "op4_decontamination": leaks.op4_decontamination,
+    "op5_line_dedup": lines.op5_line_dedup,
     "op6_chat_formatting": chat.op6_chat_formatting,
     "op7_token_ids": ids.op7_token_ids,
     "op8_bpe_encoding": bpe.op8_bpe_encoding,
