@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +18,7 @@ from .gear import chunks
 #: Chunk sizes in bytes.
 LEAST, AVERAGE, MOST = 256, 1024, 8192
 #: Words that a worker's cache holds.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000
 
 
 def default_tokenizer() -> str:
@@ -191,18 +192,29 @@ def assemble(enc: Encoder, text: str, pieces: list[dict]) -> bytes | None:
     return b"".join(out)
 
 
+def unpack(packed: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(packed)
+
+
 _CHUNK = "key binary, start int, n int, digest binary"
 
 
 def encode_texts(rows: DataFrame, tokenizer: str) -> DataFrame:
-    """rows(key binary, text string), equal keys for equal texts, to distinct (key, ids binary, text): ids as little-endian unsigned 32-bit integers.
+    """rows(key binary, text string), equal keys for equal texts, to distinct (key, ids binary): ids as little-endian unsigned 32-bit integers.
 
     Chunk digests come from one pass without text in a shuffle. One exchange deals the distinct
     texts out by key and is read twice: for the chunks that occur more than once, each encoded in
     its first text, and for all texts, with the shared chunks' ids given. Only digests and the ids
     of shared chunks move besides.
     """
-    texts = rows.groupBy("key").agg(F.first("text").alias("text"))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=3)
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([press.compress(t.encode()) for t in b.column(1).to_pylist()], pa.binary())], names=["key", "packed"])
+
+    # Texts cross the exchange compressed one by one, which is tighter than the shuffle's own codec.
+    texts = rows.mapInArrow(pack, "key binary, packed binary").groupBy("key").agg(F.first("packed").alias("packed"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -217,15 +229,14 @@ def encode_texts(rows: DataFrame, tokenizer: str) -> DataFrame:
         enc = encoder(tokenizer)
         for b in batches:
             digests, parts = [], []
-            for text, wanted in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                data = text.encode()
+            for data, wanted in zip(map(unpack, b.column(0).to_pylist()), b.column(1).to_pylist(), strict=True):
                 for w in wanted:
                     digests.append(w["digest"])
                     parts.append(data[w["start"] : w["start"] + w["n"]].decode())
             yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(enc.encode(parts), pa.binary())], names=["digest", "ids"])
 
     firsts = shared.select(F.col("first.key").alias("key"), F.col("first.start").alias("start"), F.col("first.n").alias("n"), "digest").groupBy("key").agg(F.collect_list(F.struct("start", "n", "digest")).alias("wanted"))
-    once = texts.join(firsts, "key").select("text", "wanted").mapInArrow(encode_shared, "digest binary, ids binary")
+    once = texts.join(firsts, "key").select("packed", "wanted").mapInArrow(encode_shared, "digest binary, ids binary")
     given = found.join(once, "digest").groupBy("key").agg(F.collect_list(F.struct("start", "n", "ids")).alias("pieces"))
 
     def encode_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,14 +244,14 @@ def encode_texts(rows: DataFrame, tokenizer: str) -> DataFrame:
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 b = whole.slice(at, 500)
-                texts, pieces = b.column(1).to_pylist(), b.column(2).to_pylist()
+                texts, pieces = [unpack(x).decode() for x in b.column(1).to_pylist()], b.column(2).to_pylist()
                 out = [assemble(enc, t, p) if p else None for t, p in zip(texts, pieces, strict=True)]
                 rest = [k for k, ids in enumerate(out) if ids is None]
                 for k, ids in zip(rest, enc.encode([texts[k] for k in rest]) if rest else [], strict=True):
                     out[k] = ids
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary()), b.column(1)], names=["key", "ids", "text"])
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], names=["key", "ids"])
 
-    return texts.join(given, "key", "left").select("key", "text", "pieces").mapInArrow(encode_all, "key binary, ids binary, text string")
+    return texts.join(given, "key", "left").select("key", "packed", "pieces").mapInArrow(encode_all, "key binary, ids binary")
 
 
 def encode_documents(docs: DataFrame, *, text: str = "text", tokenizer: str | None = None) -> tuple[DataFrame, DataFrame]:
@@ -271,7 +282,7 @@ def digest_encoded(encoded: DataFrame, tokenizer: str) -> DataFrame:
                 names=["key", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 
-    return encoded.select("key", "ids").mapInArrow(run, "key binary, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return encoded.mapInArrow(run, "key binary, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op8_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
