@@ -25,29 +25,40 @@ def _mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> _U(31))
 
 
-def shingle_set(text: str | None, width: int, known: dict[bytes, int]) -> np.ndarray:
-    """The sorted distinct 64-bit fingerprints of the width-word shingles of a text, A-Z lower-cased; with fewer words, of the whole sequence; without words, none.
+def shingle_sets(texts: list[str | None], width: int, known: dict[bytes, int]) -> list[np.ndarray]:
+    """Of each text, the sorted distinct 64-bit fingerprints of its width-word shingles, A-Z lower-cased; with fewer words, of the whole sequence; without words, none.
 
     known keeps 64-bit fingerprints of words. A shingle's fingerprint mixes those of its words in
     order, so unequal shingles share one with probability 2^-64.
     """
     import xxhash
 
-    words = (text or "").encode().translate(_LOWER).split()
-    if not words:
-        return np.zeros(0, np.uint64)
+    split = [(t or "").encode().translate(_LOWER).split() for t in texts]
+    counts = np.array([len(w) for w in split], np.int64)
+    words = [w for ws in split for w in ws]
     if len(known) > 500_000:
         known.clear()
     new = [w for w in set(words) if w not in known]
     known.update(zip(new, map(xxhash.xxh3_64_intdigest, new), strict=True))
     h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-    width = min(width, len(words))
-    n = len(words) - width + 1
-    with np.errstate(over="ignore"):
-        out = np.full(n, _U(width))
-        for k in range(width):
-            out = _mix(out * _U(0x9E3779B97F4A7C15) + h[k : k + n])
-    return np.unique(out)
+
+    def mixed(parts: list[np.ndarray], size: int) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            out = np.full(len(parts[0]), _U(size))
+            for part in parts:
+                out = _mix(out * _U(0x9E3779B97F4A7C15) + part)
+        return out
+
+    n = max(0, len(h) - width + 1)
+    flat = mixed([h[k : k + n] for k in range(width)], width)
+    out, at = [], 0
+    for c in counts.tolist():
+        if c >= width:
+            out.append(np.unique(flat[at : at + c - width + 1]))
+        else:
+            out.append(mixed([h[at + k : at + k + 1] for k in range(c)], c) if c else np.zeros(0, np.uint64))
+        at += c
+    return out
 
 
 def sketch(items: np.ndarray, t: int) -> np.ndarray:
@@ -59,32 +70,31 @@ def sketch(items: np.ndarray, t: int) -> np.ndarray:
     t ln t / n of them. Coordinates agree between two sets with their Jaccard similarity as mean
     and the concentration of independent samples.
     """
-    full = np.full(t, np.iinfo(np.uint64).max, np.uint64)
-    empty = t
+    none = np.iinfo(np.uint64).max
+    full = np.full(t, none, np.uint64)
+    # Values carry their round in the upper bits, so rounds can be taken several at once: as many as fill the bins, most likely.
+    many = max(1, int(1.3 * t * np.log(t) / len(items)))
+    many = max(1, min(many, t, 2_000_000 // len(items) + 1))
     with np.errstate(over="ignore"):
-        for i in range(2 * t):
-            v = _mix(items + _U((i + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
-            val = (_U(i) << _U(48)) | (v >> _U(16))
-            if i < t:
-                at = ((v & _U(0xFFFF)) * _U(t) >> _U(16)).astype(np.int64)
-                # Values of this round are above those of earlier rounds: only empty bins take one.
-                free = full[at] == np.iinfo(np.uint64).max
-                if free.any():
-                    np.minimum.at(full, at[free], val[free])
-            elif full[i - t] == np.iinfo(np.uint64).max:
-                full[i - t] = val.min()
-            empty = int((full == np.iinfo(np.uint64).max).sum())
-            if not empty:
-                break
+        for a in range(0, t, many):
+            turn = np.arange(a, min(t, a + many), dtype=np.uint64)[:, None]
+            v = _mix(items[None, :] + (turn + _U(1)) * _U(0x9E3779B97F4A7C15))
+            np.minimum.at(full, (((v & _U(0xFFFF)) * _U(t)) >> _U(16)).astype(np.int64).ravel(), ((turn << _U(48)) | (v >> _U(16))).ravel())
+            if (full != none).all():
+                return full
+        for b in np.flatnonzero(full == none).tolist():
+            i = _U(t + b)
+            full[b] = ((i << _U(48)) | (_mix(items + (i + _U(1)) * _U(0x9E3779B97F4A7C15)) >> _U(16))).min()
     return full
 
 
 def band_keys(coords: np.ndarray, bands: int, rows: int) -> np.ndarray:
-    """One 64-bit key a band, the band's number mixed in."""
+    """Of each row of coordinates, one 64-bit key a band, the band's number mixed in."""
+    parts = coords.reshape(len(coords), bands, rows)
     with np.errstate(over="ignore"):
-        key = np.arange(1, bands + 1, dtype=np.uint64) * _U(0xD6E8FEB86659FD93)
+        key = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64) * _U(0xD6E8FEB86659FD93), (len(coords), bands))
         for k in range(rows):
-            key = _mix(key * _U(0x9E3779B97F4A7C15) + coords.reshape(bands, rows)[:, k])
+            key = _mix(key * _U(0x9E3779B97F4A7C15) + parts[:, :, k])
     return key
 
 
@@ -98,20 +108,19 @@ def sketched(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
         import hashlib
 
         known: dict[bytes, int] = {}
-        for b in batches:
-            sizes, digests, keys = [], [], []
-            last: dict[bytes, list] = {}
-            for text in b.column(1).to_pylist():
-                s = shingle_set(text, width, known)
-                d = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
-                sizes.append(len(s))
-                digests.append(d)
-                if len(s) and d not in last:
-                    last[d] = band_keys(sketch(s, bands * rows), bands, rows).view(np.int64)
-                keys.append(last[d] if len(s) else np.zeros(0, np.int64))
-            flat = pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64), pa.int64())
-            offsets = pa.array(np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.ListArray.from_arrays(offsets, flat)], names=["doc_id", "n_shingles", "digest", "keys"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1000):
+                b = whole.slice(at, 1000)
+                sets = shingle_sets(b.column(1).to_pylist(), width, known)
+                digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
+                once = {d: s for d, s in zip(digests, sets, strict=True) if len(s)}
+                coords = np.array([sketch(s, bands * rows) for s in once.values()], np.uint64).reshape(-1, bands * rows)
+                row_of = dict(zip(once, range(len(once)), strict=True))
+                keys = band_keys(coords, bands, rows).view(np.int64)
+                picked = [row_of[d] for d in digests if d in row_of]
+                sizes = np.array([len(s) for s in sets], np.int64)
+                offsets = pa.array(np.concatenate([[0], np.cumsum(np.where(sizes > 0, bands, 0))]).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes), pa.array(digests, pa.binary()), pa.ListArray.from_arrays(offsets, pa.array(keys[picked].ravel(), pa.int64()))], names=["doc_id", "n_shingles", "digest", "keys"])
 
     return docs.mapInArrow(run, _SETS)
 
@@ -121,10 +130,12 @@ def _sets_of(docs: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
-        for b in batches:
-            sets = [shingle_set(t, width, known).view(np.int64) for t in b.column(1).to_pylist()]
-            offsets = pa.array(np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(sets) if sets else np.zeros(0, np.int64), pa.int64()))], names=["doc_id", "items"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1000):
+                b = whole.slice(at, 1000)
+                sets = [x.view(np.int64) for x in shingle_sets(b.column(1).to_pylist(), width, known)]
+                offsets = pa.array(np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(sets) if sets else np.zeros(0, np.int64), pa.int64()))], names=["doc_id", "items"])
 
     return docs.mapInArrow(run, "doc_id long, items array<long>")
 
