@@ -150,7 +150,25 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return met.where(F.col("i") * 100 >= (F.size("x") + F.size("y") - F.col("i")) * percent).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = SHINGLE, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+def _open_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of members(key, rep, root) of one bucket and different roots that can still be similar enough.
+
+    A set's overlap with any other is at most the number of its shingles that a second member
+    holds. A pair whose sizes ask for more than that is left out inside the join; so copies with
+    many words of their own, which resemble nothing enough, meet nothing.
+    """
+    items = sets.join(members.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").select("doc_id", F.explode("items").alias("item"))
+    common = items.groupBy("item").agg(F.count("*").alias("c")).where("c > 1").select("item")
+    most = items.join(common, "item").groupBy("doc_id").agg(F.count("*").alias("most"))
+    sized = most.join(sets.select("doc_id", F.size("items").alias("n")), "doc_id")
+    known = members.join(sized.withColumnRenamed("doc_id", "rep"), "rep")
+    left = known.select("key", F.col("rep").alias("a"), F.col("root").alias("r"), F.col("n").alias("n_a"), F.col("most").alias("m_a"))
+    right = known.select("key", F.col("rep").alias("b"), F.col("root").alias("s"), F.col("n").alias("n_b"), F.col("most").alias("m_b"))
+    need = (F.col("n_a") + F.col("n_b")) * percent
+    return left.join(right, "key").where((F.col("r") < F.col("s")) & (F.least("m_a", "m_b", "n_a", "n_b") * (100 + percent) >= need)).select("a", "b").distinct()
+
+
+def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = SHINGLE, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS, centres: int = 2) -> DataFrame:
     """Components of documents linked by a Jaccard similarity of word shingles of percent / 100 or more.
 
     Returns doc_id, n_shingles, component_id (the smallest doc_id reachable) and kept (doc_id is
@@ -158,10 +176,11 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
 
     Equal sets collapse to one representative before anything is paired, so exact copies cost no
     pairs. Within the bucket of a band key, representatives are tested against one centre, first
-    the bucket's smallest id, then one drawn by a hash of band and id. Only where a bucket still
-    spans several components are members of different components tested with each other. So a group
-    of n copies costs about n tests, not n^2, and yet every pair that shares a band is either
-    tested or already connected. Tests compare full sets. Null or wordless texts have no shingles
+    the bucket's smallest id, then `centres` others drawn by a hash of band and id. Only where a
+    bucket still spans several components are members of different components tested with each
+    other, as far as their shared shingles allow. So a group of n copies costs about n tests, not
+    n^2, and yet every pair that shares a band is tested, already connected or known to be too far
+    apart. Tests compare full sets. Null or wordless texts have no shingles
     and are linked with nothing; rows with a null doc_id are left out; repeated rows fall together
     (kept is true on each row whose doc_id is the component's); other columns are ignored.
     """
@@ -178,15 +197,15 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     sets = keep(_sets_of(source.dropDuplicates(["doc_id"]).join(wanted, "doc_id", "left_semi").select("doc_id", "text"), width), "sets")
 
     links = keep(_verified(buckets.where("rep != first").select(F.col("first").alias("a"), F.col("rep").alias("b")).distinct(), sets, percent), "links")
-    for step in ("centre", "rest"):
+    for turn in (*range(centres), None):
         roots = components(links)
         placed = buckets.select("key", "band", "rep").join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-        split = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min_by("rep", F.xxhash64("rep", "band")).alias("centre"), F.min_by("root", F.xxhash64("rep", "band")).alias("at")).where("lo != hi")
-        if step == "centre":
-            pairs = placed.join(split, "key").where("root != at").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
+        drawn = F.xxhash64("rep", "band", F.lit(turn or 0))
+        split = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min_by("rep", drawn).alias("centre"), F.min_by("root", drawn).alias("at")).where("lo != hi")
+        if turn is not None:
+            pairs = placed.join(split, "key").where("root != at").select(F.least("centre", "rep").alias("a"), F.greatest("centre", "rep").alias("b")).distinct()
         else:
-            open_ = placed.join(split.select("key"), "key", "left_semi").select("key", "rep", "root")
-            pairs = open_.select("key", F.col("rep").alias("a"), F.col("root").alias("r")).join(open_.select("key", F.col("rep").alias("b"), F.col("root").alias("s")), "key").where("r < s").select("a", "b").distinct()
+            pairs = _open_pairs(placed.join(split.select("key"), "key", "left_semi").select("key", "rep", "root"), sets, percent)
         links = links.unionByName(keep(_verified(pairs, sets, percent), "links"))
     roots = components(links).select(F.col("node").alias("rep"), "root")
     placed = member.join(roots, "rep", "left").select("doc_id", F.coalesce("root", "rep").alias("root")).groupBy("doc_id").agg(F.min("root").alias("root"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, ids, leaks, lines, near, passages, quality
+from . import bpe, chat, ids, leaks, licenses, lines, near, passages, quality
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
@@ -13,10 +13,12 @@ QUERIES = {
     "op6_chat_formatting": chat.op6_chat_formatting,
     "op7_token_ids": ids.op7_token_ids,
     "op8_bpe_encoding": bpe.op8_bpe_encoding,
+    "op10_license_scan": licenses.op10_license_scan,
 }
 ORACLES = {
     "op1_quality_rules": quality.ORACLE_SQL,
     "op3_minhash_dedup": near.ORACLE_SQL,
     "op4_decontamination": leaks.ORACLE_SQL,
     "op6_chat_formatting": chat.ORACLE_SQL,
+    "op10_license_scan": licenses.ORACLE_SQL,
 }
