@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, ids, leaks, licenses, lines, near, passages, quality
+from . import bpe, chat, ids, leaks, licenses, lines, near, passages, quality, suffixes
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_chat_formatting": chat.op6_chat_formatting,
     "op7_token_ids": ids.op7_token_ids,
     "op8_bpe_encoding": bpe.op8_bpe_encoding,
+    "op9_exact_substrings": suffixes.op9_exact_substrings,
     "op10_license_scan": licenses.op10_license_scan,
 }
 ORACLES = {
