@@ -17,7 +17,7 @@ from .gear import chunks
 #: Chunk sizes in bytes.
 LEAST, AVERAGE, MOST = 512, 2048, 16384
 #: Words that a worker's cache holds.
-CACHE_WORDS = 250_000
+CACHE_WORDS = 150_000
 
 
 def default_tokenizer() -> str:
@@ -194,13 +194,15 @@ def assemble(enc: Encoder, text: str, pieces: list[dict]) -> bytes | None:
 _CHUNK = "key binary, start int, n int, digest binary"
 
 
-def encode_texts(rows: DataFrame, tokenizer: str) -> DataFrame:
+def encode_texts(rows: DataFrame, tokenizer: str, digests: bool = False) -> DataFrame:
     """rows(key binary, text string), equal keys for equal texts, to distinct (key, ids binary, text): ids as little-endian unsigned 32-bit integers.
 
     Chunk digests come from one pass without text in a shuffle. One exchange deals the distinct
     texts out by key and is read twice: for the chunks that occur more than once, each encoded in
     its first text, and for all texts, with the shared chunks' ids given. Only digests and the ids
-    of shared chunks move besides.
+    of shared chunks move besides. With digests, the ids are decoded again in the same task and
+    (key, n_tokens, ids_sha256, decoded_sha256) returned: a second Python stage would hold a second
+    tokenizer beside the first.
     """
     texts = rows.groupBy("key").agg(F.first("text").alias("text"))
 
@@ -238,44 +240,33 @@ def encode_texts(rows: DataFrame, tokenizer: str) -> DataFrame:
                 rest = [k for k, ids in enumerate(out) if ids is None]
                 for k, ids in zip(rest, enc.encode([texts[k] for k in rest]) if rest else [], strict=True):
                     out[k] = ids
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary()), b.column(1)], names=["key", "ids", "text"])
+                if digests:
+                    yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(x) // 4 for x in out], pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in out]), pa.array([hashlib.sha256(enc.decode(x).encode()).hexdigest() for x in out])], names=["key", "n_tokens", "ids_sha256", "decoded_sha256"])
+                else:
+                    yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], names=["key", "ids"])
 
-    return texts.join(given, "key", "left").select("key", "text", "pieces").mapInArrow(encode_all, "key binary, ids binary, text string")
+    schema = "key binary, n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "key binary, ids binary"
+    return texts.join(given, "key", "left").select("key", "text", "pieces").mapInArrow(encode_all, schema)
 
 
-def encode_documents(docs: DataFrame, *, text: str = "text", tokenizer: str | None = None) -> tuple[DataFrame, DataFrame]:
+def encode_documents(docs: DataFrame, *, text: str = "text", tokenizer: str | None = None, digests: bool = False) -> tuple[DataFrame, DataFrame]:
     """(docs with __key, the digest of their text; the distinct texts by that key, encoded).
 
     Null texts count as empty and have no ids. Equal texts share a key, so copies of any number are
-    encoded once; they are combined on the map side before the exchange.
+    encoded once; they are combined on the map side before the exchange. Other columns of docs are
+    kept; one named __key gives way.
     """
     whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     keyed = docs.withColumn("__key", F.coalesce(F.unhex(F.md5(F.encode(whole, "UTF-8"))), F.lit(b"")))
-    return keyed, encode_texts(keyed.select(F.col("__key").alias("key"), whole.alias("text")), tokenizer or default_tokenizer())
+    return keyed, encode_texts(keyed.select(F.col("__key").alias("key"), whole.alias("text")), tokenizer or default_tokenizer(), digests)
 
 
-def digest_encoded(encoded: DataFrame, tokenizer: str) -> DataFrame:
-    """(key, n_tokens, ids_sha256, decoded_sha256) of encoded texts; the decoded text is made from the ids."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer)
-        for b in batches:
-            ids = b.column(1).to_pylist()
-            yield pa.RecordBatch.from_arrays(
-                [
-                    b.column(0),
-                    pa.array([len(x) // 4 for x in ids], pa.int64()),
-                    pa.array([hashlib.sha256(x).hexdigest() for x in ids]),
-                    pa.array([hashlib.sha256(enc.decode(x).encode()).hexdigest() for x in ids]),
-                ],
-                names=["key", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
-
-    return encoded.select("key", "ids").mapInArrow(run, "key binary, n_tokens long, ids_sha256 string, decoded_sha256 string")
+def encoded_digests(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
+    """docs(doc_id, text) to doc_id, n_tokens, ids_sha256 and decoded_sha256; the decoded text is made from the ids."""
+    keyed, encoded = encode_documents(docs.select("doc_id", "text"), tokenizer=tokenizer, digests=True)
+    return keyed.select("doc_id", F.col("__key").alias("key")).join(encoded, "key").drop("key")
 
 
 def op8_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row a document: token count and digests of its ids and of the text decoded from them."""
-    path = default_tokenizer()
-    keyed, encoded = encode_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer=path)
-    return keyed.select("doc_id", F.col("__key").alias("key")).join(digest_encoded(encoded, path), "key").drop("key")
+    return encoded_digests(table(spark, sf_dir, "documents"))
