@@ -48,9 +48,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """BPE: doc_id, n_tokens, ids_sha256 and decoded_sha256 of every document."""
-    path = bpe.default_tokenizer()
-    keyed, encoded = bpe.encode_documents(docs.select("doc_id", "text"), tokenizer=path)
-    return keyed.select("doc_id", F.col("__key").alias("key")).join(bpe.digest_encoded(encoded, path), "key").drop("key")
+    return bpe.encoded_digests(docs)
 
 
 STAGES = [("quality", clean_lines), ("lines", drop_lines), ("near", drop_near), ("leaks", drop_leaks), ("encode", encode)]
