@@ -155,7 +155,7 @@ def stitch(paths: DataFrame, segments: DataFrame, edges: DataFrame) -> DataFrame
 def contig_support(segments: DataFrame, hits: DataFrame, edges: DataFrame, cycles: DataFrame, options: GraphOptions = GraphOptions()) -> DataFrame:
     """One row a contig: whether cycles hold it, whether its ends meet, its best self hit, edge degree and cycle count."""
     best = hits.groupBy("seg").agg(F.max_by(F.struct("identity", "overlap"), F.struct("score", "identity", "overlap")).alias("h"))
-    out = segments.select(F.col("name").alias("seg"), F.length("seq").alias("len")).join(best, "seg", "left").join(degree(edges), "seg", "left").join(cycle_membership(cycles), "seg", "left")
+    out = segments.select(F.col("name").alias("seg"), F.length("seq").cast("long").alias("len")).join(best, "seg", "left").join(degree(edges), "seg", "left").join(cycle_membership(cycles), "seg", "left")
     count = F.coalesce("cycle_count", F.lit(0))
     meets = F.coalesce((F.col("h.identity") >= options.min_identity) & (F.col("h.overlap") >= options.min_overlap), F.lit(False))
     yes = lambda c: F.when(c, "yes").otherwise("no")

@@ -198,7 +198,7 @@ def clean_reads(spark, d):
 
 @query(f"WITH {DNA} SELECT name, length(seq) AS length, substr(seq, 1, 50) AS head, right(seq, 50) AS tail, reverse(translate(substr(seq, 1, 50), 'ACGT', 'TGCA')) AS head_rc FROM dna")
 def revcomp_terminals(spark, d):
-    return dna(spark, d).select("name", F.length("seq").alias("length"), S.head(F.col("seq"), 50).alias("head"), S.tail(F.col("seq"), 50).alias("tail"), S.revcomp(S.head(F.col("seq"), 50)).alias("head_rc"))
+    return dna(spark, d).select("name", F.length("seq").cast("long").alias("length"), S.head(F.col("seq"), 50).alias("head"), S.tail(F.col("seq"), 50).alias("tail"), S.revcomp(S.head(F.col("seq"), 50)).alias("head_rc"))
 
 
 B_DNA = DNA.replace("doc_id", "item_id").replace("documents", "benchmark")
