@@ -105,7 +105,8 @@ def license_scan(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
         begins = F.filter(begins, lambda a: F.exists("marked", lambda i: (i >= a - step) & (i < a + span + step + SHINGLE)))
         return F.transform(begins, lambda a: F.struct(F.lit(span).alias("span"), a.alias("at"), F.slice("all", a + 1, span).alias("near"), F.greatest(F.lit(0), a - step).alias("from"), F.slice("all", F.greatest(F.lit(0), a - step) + 1, span + 2 * step).alias("wide")))
 
-    cut = d.where(F.size("all") > 0).select("doc_id", "tkey", F.explode(F.concat(*[windows(s) for s in spans])).alias("w"))
+    # No filter on these columns: pushed down, it would spell the words out again for every shingle.
+    cut = d.select("doc_id", "tkey", F.explode(F.concat(*[windows(s) for s in spans])).alias("w"))
     keyed = cut.select("doc_id", "tkey", "w.span", "w.at", "w.from", "w.wide", F.explode(_bands(F.col("w.near"))).alias("key"))
     bands = known.select("license", "notice", F.col("span").alias("k_span"), "items", F.explode("keys").alias("key"))
     met = keyed.join(F.broadcast(bands), "key").where("span = k_span").dropDuplicates(["doc_id", "tkey", "license", "notice", "at"])
