@@ -12,7 +12,7 @@ from .common import components, keep, table
 #: Greatest edit distance (code points) of near copies, and the least length of a line that is looked at.
 EDITS, LEAST = 2, 16
 #: Letters whose counts are compared before a pair of lines is; any choice gives the same links.
-BAG = ("etaoinsr", "hldcumgf")
+BAG = "etaoinsrhd"
 
 
 def line_rows(docs: DataFrame) -> DataFrame:
@@ -33,7 +33,7 @@ def _segment(length: Column, i: int) -> tuple[Column, Column]:
 
 def _indexed() -> list[Column]:
     n = F.length("line")
-    return [F.xxhash64(F.lit(i), n, F.substring(F.col("line"), *_segment(n, i))) for i in range(EDITS + 1)]
+    return [_short_hash(F.lit(i), n, F.substring(F.col("line"), *_segment(n, i))) for i in range(EDITS + 1)]
 
 
 def _probes() -> list[Column]:
@@ -47,8 +47,9 @@ def _probes() -> list[Column]:
         n = F.length("line") - shorter
         for i in range(EDITS + 1):
             start, size = _segment(n, i)
-            for shift in range(max(-i, shorter - (EDITS - i)), min(i, shorter + (EDITS - i)) + 1):
-                out.append(F.xxhash64(F.lit(i), n, F.substring(F.col("line"), start + shift, size)))
+            # Lines of one length ask each other, so one direction of a shift is enough.
+            for shift in range(0 if not shorter else max(-i, shorter - (EDITS - i)), min(i, shorter + (EDITS - i)) + 1):
+                out.append(_short_hash(F.lit(i), n, F.substring(F.col("line"), start + shift, size)))
     return out
 
 
@@ -96,22 +97,26 @@ def banded_distance(a: Column, b: Column, edits: int) -> Column:
     return F.aggregate(F.sequence(F.lit(1), n), start, step)["d"]
 
 
-def _bag(letters: str) -> Column:
-    """How often a line has each of eight letters, up to 255, a byte a letter."""
-    counts = [F.least(F.lit(255), F.length("line") - F.length(F.replace(F.col("line"), F.lit(c), F.lit("")))).cast("long") for c in letters]
-    return reduce(lambda x, y: x.bitwiseOR(y), [F.shiftleft(c, 8 * k) for k, c in enumerate(counts)])
+def _bag() -> Column:
+    """How often a line has each letter of BAG, modulo 64, six bits a letter."""
+    counts = [((F.octet_length("line") - F.octet_length(F.replace(F.col("line"), F.lit(c), F.lit("")))) % 64).cast("long") for c in BAG]
+    return reduce(lambda x, y: x.bitwiseOR(y), [F.shiftleft(c, 6 * k) for k, c in enumerate(counts)])
 
 
-def _bags_near() -> Column:
-    """An edit changes the letters' counts by 2 in all at most."""
-    apart = [
-        F.abs(F.shiftrightunsigned(x, 8 * k).bitwiseAND(F.lit(255)) - F.shiftrightunsigned(y, 8 * k).bitwiseAND(F.lit(255)))
-        for x, y in (("x0", "y0"), ("x1", "y1"))
-        for k in range(8)
-    ]
+def _bags_near(x: Column, y: Column) -> Column:
+    """An edit changes the letters' counts by 2 in all at most; what is left of a difference modulo 64 is no more than the difference."""
+    apart = []
+    for k in range(len(BAG)):
+        d = F.abs(F.shiftrightunsigned(x, 6 * k).bitwiseAND(F.lit(63)) - F.shiftrightunsigned(y, 6 * k).bitwiseAND(F.lit(63)))
+        apart.append(F.least(d, 64 - d))
     return reduce(lambda a, b: a + b, apart) <= 2 * EDITS
 
 
+def _short_hash(*cols: Column) -> Column:
+    """48 bits, which cross a shuffle in six bytes; equal hashes are only candidates."""
+    return F.xxhash64(*cols).bitwiseAND(F.lit((1 << 48) - 1))
+
+
 def _common(a: Column, b: Column) -> Column:
     """Length of the common prefix, by binary lifting over substring comparisons."""
     most = F.least(F.length(a), F.length(b))
@@ -147,13 +152,17 @@ def near_lines(distinct: DataFrame) -> DataFrame:
     family of lines with one word exchanged gives few pairs; a hot segment is split by adaptive
     execution.
     """
-    own = distinct.select("lkey", "line", F.xxhash64("lkey").alias("id"))
-    held = own.select(F.col("id").alias("i"), _bag(BAG[0]).alias("x0"), _bag(BAG[1]).alias("x1"), F.explode(F.array(*_indexed())).alias("sig"))
-    asked = own.select(F.col("id").alias("p"), _bag(BAG[0]).alias("y0"), _bag(BAG[1]).alias("y1"), F.explode(F.array(*_probes())).alias("asked"))
-    pairs = asked.join(held, (F.col("asked") == F.col("sig")) & (F.col("i") != F.col("p")) & _bags_near()).select(F.least("i", "p").alias("x"), F.greatest("i", "p").alias("y")).distinct()
-    left = own.select(F.col("id").alias("x"), F.col("lkey").alias("a"), F.col("line").alias("s"))
-    right = own.select(F.col("id").alias("y"), F.col("lkey").alias("b"), F.col("line").alias("t"))
-    both = pairs.join(left, "x").join(right, "y").where(F.abs(F.length("s") - F.length("t")) <= EDITS)
+    own = distinct.select("lkey", "line", _short_hash(F.col("lkey")).alias("id"), _bag().alias("bag"))
+    held = own.select(F.col("id").alias("i"), F.col("bag").alias("x"), F.explode(F.array(*_indexed())).alias("sig"))
+    asked = own.select(F.col("id").alias("p"), F.col("bag").alias("y"), F.explode(F.array(*_probes())).alias("asked"))
+    met = (F.col("asked") == F.col("sig")) & (F.col("i") != F.col("p")) & _bags_near(F.col("x"), F.col("y"))
+    pairs = asked.join(held, met).select(F.least("i", "p").alias("x"), F.greatest("i", "p").alias("y")).distinct()
+    # Ids lead to keys first, without text; texts then meet the pairs where the distinct lines already lie.
+    names = distinct.select("lkey", _short_hash(F.col("lkey")).alias("id"))
+    keyed = pairs.join(names.select(F.col("id").alias("x"), F.col("lkey").alias("a")), "x").join(names.select(F.col("id").alias("y"), F.col("lkey").alias("b")), "y").select("a", "b")
+    left = distinct.select(F.col("lkey").alias("a"), F.col("line").alias("s"))
+    right = distinct.select(F.col("lkey").alias("b"), F.col("line").alias("t"))
+    both = keyed.join(left, "a").join(right, "b").where(F.abs(F.length("s") - F.length("t")) <= EDITS)
     ordered = both.select("a", "b", F.when(F.length("s") <= F.length("t"), F.col("s")).otherwise(F.col("t")).alias("u"), F.when(F.length("s") <= F.length("t"), F.col("t")).otherwise(F.col("s")).alias("v"))
     # Few bytes but much work: adaptive execution would leave it to one task.
     ordered = ordered.repartition(int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")))
