@@ -12,7 +12,7 @@ from .common import components, keep, table
 #: Greatest edit distance (code points) of near copies, and the least length of a line that is looked at.
 EDITS, LEAST = 2, 16
 #: Letters whose counts are compared before a pair of lines is; any choice gives the same links.
-BAG = "etaoinsrhd"
+BAG = "etaoinsrhdlcumgw"
 
 
 def line_rows(docs: DataFrame) -> DataFrame:
@@ -32,7 +32,7 @@ def _segment(length: Column, i: int) -> tuple[Column, Column]:
 
 
 def _indexed() -> list[Column]:
-    n = F.length("line")
+    n = F.col("n")
     return [_short_hash(F.lit(i), n, F.substring(F.col("line"), *_segment(n, i))) for i in range(EDITS + 1)]
 
 
@@ -44,7 +44,7 @@ def _probes() -> list[Column]:
     """
     out = []
     for shorter in range(EDITS + 1):
-        n = F.length("line") - shorter
+        n = F.col("n") - shorter
         for i in range(EDITS + 1):
             start, size = _segment(n, i)
             # Lines of one length ask each other, so one direction of a shift is enough.
@@ -98,17 +98,17 @@ def banded_distance(a: Column, b: Column, edits: int) -> Column:
 
 
 def _bag() -> Column:
-    """How often a line has each letter of BAG, modulo 64, six bits a letter."""
-    counts = [((F.octet_length("line") - F.octet_length(F.replace(F.col("line"), F.lit(c), F.lit("")))) % 64).cast("long") for c in BAG]
-    return reduce(lambda x, y: x.bitwiseOR(y), [F.shiftleft(c, 6 * k) for k, c in enumerate(counts)])
+    """How often a line has each letter of BAG, modulo 16, four bits a letter."""
+    counts = [((F.octet_length("line") - F.octet_length(F.replace(F.col("line"), F.lit(c), F.lit("")))) % 16).cast("long") for c in BAG]
+    return reduce(lambda x, y: x.bitwiseOR(y), [F.shiftleft(c, 4 * k) for k, c in enumerate(counts)])
 
 
 def _bags_near(x: Column, y: Column) -> Column:
-    """An edit changes the letters' counts by 2 in all at most; what is left of a difference modulo 64 is no more than the difference."""
+    """An edit changes the letters' counts by 2 in all at most; what is left of a difference modulo 16 is no more than the difference."""
     apart = []
     for k in range(len(BAG)):
-        d = F.abs(F.shiftrightunsigned(x, 6 * k).bitwiseAND(F.lit(63)) - F.shiftrightunsigned(y, 6 * k).bitwiseAND(F.lit(63)))
-        apart.append(F.least(d, 64 - d))
+        d = F.abs(F.shiftrightunsigned(x, 4 * k).bitwiseAND(F.lit(15)) - F.shiftrightunsigned(y, 4 * k).bitwiseAND(F.lit(15)))
+        apart.append(F.least(d, 16 - d))
     return reduce(lambda a, b: a + b, apart) <= 2 * EDITS
 
 
@@ -152,7 +152,7 @@ def near_lines(distinct: DataFrame) -> DataFrame:
     family of lines with one word exchanged gives few pairs; a hot segment is split by adaptive
     execution.
     """
-    own = distinct.select("lkey", "line", _short_hash(F.col("lkey")).alias("id"), _bag().alias("bag"))
+    own = distinct.select("lkey", "line", _short_hash(F.col("lkey")).alias("id"), _bag().alias("bag"), F.length("line").alias("n"))
     held = own.select(F.col("id").alias("i"), F.col("bag").alias("x"), F.explode(F.array(*_indexed())).alias("sig"))
     asked = own.select(F.col("id").alias("p"), F.col("bag").alias("y"), F.explode(F.array(*_probes())).alias("asked"))
     met = (F.col("asked") == F.col("sig")) & (F.col("i") != F.col("p")) & _bags_near(F.col("x"), F.col("y"))
