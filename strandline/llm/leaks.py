@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
 
-#: Tokens of a window, and how many of them must be words rather than placeholders.
+#: Tokens of a window in ORACLE_SQL, and how many words besides slots a template match needs.
 WINDOW, LITERALS = 5, 3
 #: Percent of an item's tokens that must be found in their places.
 PERCENT = 80
@@ -27,66 +29,106 @@ def _template(w: Column) -> Column:
     return F.when(first.between("0", "9"), F.lit("\x01number")).when(w.isin(*UNITS), F.lit("\x01unit")).when(first != F.lower(first), F.lit("\x01name")).otherwise(w)
 
 
-def _windows(step: int) -> Column:
-    """(at, key) of the windows of column `tokens` that begin at multiples of step."""
-    return F.when(
-        F.size("tokens") >= WINDOW,
-        F.transform(F.sequence(F.lit(0), F.floor((F.size("tokens") - WINDOW) / F.lit(step)).cast("int")), lambda i: F.struct((i * step).alias("at"), F.xxhash64(F.slice("tokens", i * step + 1, WINDOW)).alias("key"))),
-    )
+def _folded(w: Column) -> Column:
+    """A number or unit as its placeholder, any other word in lower case."""
+    low = F.lower(w)
+    return F.when(F.substring(w, 1, 1).between("0", "9"), F.lit("\x01number")).when(low.isin(*UNITS), F.lit("\x01unit")).otherwise(low)
+
+
+def _tokens(words: Column) -> Column:
+    """(a, up) a word: the hash of its folded form, and whether it may stand for a name as well."""
+    pairs = F.transform(words, lambda w: F.struct(_folded(w).alias("f"), F.substring(w, 1, 1).alias("c")))
+    return F.transform(pairs, lambda p: F.struct(F.xxhash64(p["f"]).alias("a"), (~p["f"].startswith("\x01") & (p["c"] != F.lower(p["c"]))).alias("up")))
+
+
+def _keyed(rows: DataFrame, widths: Column, most: int) -> DataFrame:
+    """rows(..., tokens) to a row a window of a width in widths and form of it: ..., at, width, key. Each capitalised word counts as itself and as a name.
+
+    The generators are outer ones, for which no filter is inferred: pushed down, it would spell the words out again.
+    """
+    kept = [F.col(c) for c in rows.columns if c not in ("tokens", "widths")]
+    at = rows.withColumn("widths", widths).select("*", F.posexplode_outer("tokens").alias("at", "t0")).where("at IS NOT NULL")
+    at = at.select(*kept, "tokens", "at", F.explode_outer("widths").alias("width")).where(F.col("at") + F.col("width") <= F.size("tokens"))
+    tokens = [F.get("tokens", F.col("at") + k) for k in range(most)]
+    ups = reduce(lambda x, y: x + y, [F.when((F.col("width") > k) & t["up"], 1 << k).otherwise(0) for k, t in enumerate(tokens)])
+    forms = F.array(*[F.array(*[F.lit(c) for c in range(1 << most) if c & m == c]) for m in range(1 << most)])
+    each = at.select(*kept, "tokens", "at", "width", F.explode_outer(F.get(forms, ups)).alias("form"))
+    words = [F.when(F.col("width") > k, F.when(F.col("form").bitwiseAND(1 << k) != 0, F.lit(-1).cast("long")).otherwise(t["a"])) for k, t in enumerate(tokens)]
+    return each.select(*kept, "at", "width", F.xxhash64("width", *words).alias("key"))
 
 
 def contaminated(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text") -> DataFrame:
     """Pairs of a document and a benchmark item that it holds, word for word or with other numbers, names or units.
 
     Returns doc_id, item_id, n_tokens (of the item), n_matched (tokens found in their places),
-    n_equal (of those, equal to the letter), n_slots, consistent, kind ('verbatim' or 'template').
+    n_equal (of those, equal but for case), n_slots, consistent, kind ('verbatim' or 'template').
 
     Words lose MARKS; a word that begins with a digit, a unit, or a word that begins with a capital
-    becomes a placeholder. Each document's windows at multiples of WINDOW meet all windows of the
-    items that have LITERALS words, so a stretch of 2 * WINDOW - 1 matching tokens is always met.
-    A met pair is aligned at the offsets of its windows and compared token by token. It is
-    verbatim if PERCENT percent of the item's tokens are equal; it is a template match if that
-    share matches as a template and the slots are consistent, that is, each value of the item
-    stands for one value in the document and the other way round. Items with fewer than WINDOW
-    tokens and null texts match nothing; rows with a null id are compared too and keep their null;
+    is a slot. Tokens match if they are equal but for case, or slots of one kind. Of an item with
+    n tokens, n * (100 - PERCENT) / 100 may differ; so one of as many stretches and one more
+    matches whole, and the item's windows are as long as the shortest of those (4 words, less in
+    short items). All of them meet all windows of the documents; a pair with fewer windows in
+    common than PERCENT percent of matching tokens leave whole is dropped before its text is read.
+    A pair is aligned at the offsets of its windows and compared token by token. It is verbatim if
+    PERCENT percent of the item's tokens are equal; it is a template match if that share matches,
+    LITERALS equal words that are no slots among it, and the slots are consistent, that is, each
+    value of the item stands for one value in the document and the other way round. Null texts and
+    items without tokens match nothing; rows with a null id are compared too and keep their null;
     rows equal in id and text give one row; other columns are ignored.
     """
     d = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")).where("text IS NOT NULL").withColumn("tkey", F.xxhash64("text"))
-    b = items.select(F.col(f"`{item_id}`").alias("item_id"), _words(F.col(f"`{text}`")).alias("item_words")).withColumn("tokens", F.transform("item_words", _template)).withColumn("ikey", F.xxhash64("item_words"))
-    grams = b.select("item_id", "ikey", F.explode(_windows(1)).alias("w"), "tokens").where(F.size(F.filter(F.slice("tokens", F.col("w.at") + 1, WINDOW), lambda t: ~t.startswith("\x01"))) >= LITERALS)
-    grams = grams.select("item_id", "ikey", F.col("w.at").alias("i_at"), F.col("w.key").alias("key"))
-    total = b.agg(F.sum(F.size("tokens"))).first()[0] or 0
-    side = F.broadcast(grams) if total <= BROADCAST_WINDOWS else grams
-
-    tiles = d.select("doc_id", "tkey", F.transform(_words(F.col("text")), _template).alias("tokens")).select("doc_id", "tkey", F.explode(_windows(WINDOW)).alias("w")).select("doc_id", "tkey", F.col("w.at").alias("d_at"), F.col("w.key").alias("key"))
-    met = tiles.join(side, "key").select(F.col("doc_id").alias("d_id"), F.col("tkey").alias("d_key"), "item_id", "ikey", (F.col("d_at") - F.col("i_at")).alias("shift")).distinct()
+    b = items.select(F.col(f"`{item_id}`").alias("item_id"), _words(F.col(f"`{text}`")).alias("item_words")).withColumn("ikey", F.xxhash64("item_words")).withColumn("n", F.size("item_words"))
+    b = b.where("n > 0").dropDuplicates(["item_id", "ikey"]).withColumn("differ", F.floor(F.col("n") * (100 - PERCENT) / 100).cast("int"))
+    b = b.withColumn("width", F.floor(F.col("n") / (F.col("differ") + 1)).cast("int"))
+    widths = {r["width"]: r["total"] for r in b.groupBy("width").agg(F.sum("n").alias("total")).collect()}
+    small, most = sum(widths.values()) <= BROADCAST_WINDOWS, max(widths, default=1)
+
+    of_items = _keyed(b.select("item_id", "ikey", "n", "differ", F.col("width").alias("own"), _tokens(F.col("item_words")).alias("tokens")), F.array("own"), most).select("item_id", "ikey", "n", "differ", F.col("at").alias("i_at"), "key")
+    tokens = d.select("doc_id", "tkey", _tokens(_words(F.col("text"))).alias("tokens"))
+    windows = _keyed(tokens, F.array(*[F.lit(w) for w in sorted(widths) or [1]]), most)
+    met = windows.join(F.broadcast(of_items) if small else of_items, "key").select("doc_id", "tkey", "item_id", "ikey", "n", "differ", "width", (F.col("at") - F.col("i_at")).alias("shift"), "i_at")
+    pair = met.groupBy(F.col("doc_id").alias("d_id"), F.col("tkey").alias("d_key"), "item_id", "ikey", "n", "differ", "width").agg(F.collect_set(F.struct("shift", "i_at")).alias("anchors"))
+    pair = pair.withColumn("shifts", F.array_sort(F.array_distinct(F.col("anchors.shift"))))
+    # A token that differs spoils width windows at most, a change of the offset width - 1.
+    pair = pair.where(F.size("anchors") >= F.col("n") - F.col("width") + 1 - F.col("differ") * F.col("width") - (F.size("shifts") - 1) * (F.col("width") - 1))
 
     same_doc = F.col("doc_id").eqNullSafe(F.col("d_id")) & (F.col("tkey") == F.col("d_key"))
-    found = d.join(met, same_doc, "left_semi").dropDuplicates(["doc_id", "tkey"]).select("doc_id", "tkey", _words(F.col("text")).alias("words"))
-    aligned = found.join(met, same_doc).drop("d_id", "d_key")
-    right = b.select(F.col("item_id").alias("b_id"), F.col("ikey").alias("b_key"), "item_words", F.col("tokens").alias("item_tokens")).dropDuplicates(["b_id", "b_key"])
-    pairs = aligned.join(F.broadcast(right) if total <= BROADCAST_WINDOWS else right, F.col("item_id").eqNullSafe(F.col("b_id")) & (F.col("ikey") == F.col("b_key")))
-
-    def place(i: Column) -> Column:
-        return F.struct(i.alias("i"), F.get("item_words", i).alias("iw"), F.get("words", F.col("shift") + i).alias("dw"), F.get("item_tokens", i).alias("t"))
-
-    spots = F.filter(F.transform(F.sequence(F.lit(0), F.size("item_tokens") - 1), place), lambda p: p["dw"].isNotNull() & (_template(p["dw"]) == p["t"]))
-    one = pairs.select("doc_id", "tkey", "item_id", "ikey", F.size("item_tokens").alias("n_tokens"), F.explode(spots).alias("p"))
-    by_pair = one.groupBy("doc_id", "tkey", "item_id", "ikey", "n_tokens")
-    slot = F.col("p.t").startswith("\x01")
-    seen = by_pair.agg(
-        F.count_distinct("p.i").alias("n_matched"),
-        F.count_distinct(F.when(F.col("p.iw") == F.col("p.dw"), F.col("p.i"))).alias("n_equal"),
-        F.count_distinct(F.when(slot, F.col("p.i"))).alias("n_slots"),
-        F.count_distinct(F.when(slot, F.struct("p.iw", "p.dw"))).alias("maps"),
-        F.count_distinct(F.when(slot, F.col("p.iw"))).alias("from"),
-        F.count_distinct(F.when(slot, F.col("p.dw"))).alias("to"),
+    pair = pair.drop("n", "differ", "width")
+    found = d.join(pair, same_doc, "left_semi").dropDuplicates(["doc_id", "tkey"]).select("doc_id", "tkey", _words(F.col("text")).alias("words"))
+    aligned = found.join(pair, same_doc).drop("d_id", "d_key")
+    right = b.select(F.col("item_id").alias("b_id"), F.col("ikey").alias("b_key"), "item_words", F.col("n").cast("long").alias("n_tokens"))
+    pairs = aligned.join(F.broadcast(right) if small else right, F.col("item_id").eqNullSafe(F.col("b_id")) & (F.col("ikey") == F.col("b_key")))
+
+    def place(i: Column, shift: Column) -> Column:
+        """Item token i against the document's at shift: i, its slot's kind or its word, both words in lower case, whether they match."""
+        iw, dw = F.get("item_words", i), F.get("words", shift + i)
+        kind = _template(iw)
+        kind = F.when(_folded(iw).startswith("\x01"), _folded(iw)).otherwise(kind)
+        other = F.when(_folded(dw).startswith("\x01"), _folded(dw)).otherwise(_template(dw))
+        slot = kind.startswith("\x01")
+        return F.struct(i.alias("i"), F.lower(iw).alias("iw"), F.lower(dw).alias("dw"), slot.alias("slot"), F.coalesce((F.lower(iw) == F.lower(dw)) | (slot & (kind == other)), F.lit(False)).alias("met"))
+
+    def at(shift: Column) -> Column:
+        return F.filter(F.transform(F.sequence(F.lit(0), F.size("item_words") - 1), lambda i: place(i, shift)), lambda p: p["met"])
+
+    def distinct(spots: Column, keep, value) -> Column:
+        return F.size(F.array_distinct(F.transform(F.filter(spots, keep), value))).cast("long")
+
+    equal, slot = (lambda p: p["iw"] == p["dw"]), (lambda p: p["slot"])
+    seen = pairs.select("doc_id", "tkey", "item_id", "ikey", "n_tokens", F.flatten(F.transform("shifts", at)).alias("p")).select(
+        "doc_id", "item_id", "n_tokens",
+        distinct(F.col("p"), lambda p: F.lit(True), lambda p: p["i"]).alias("n_matched"),
+        distinct(F.col("p"), equal, lambda p: p["i"]).alias("n_equal"),
+        distinct(F.col("p"), lambda p: equal(p) & ~slot(p), lambda p: p["i"]).alias("n_literal"),
+        distinct(F.col("p"), slot, lambda p: p["i"]).alias("n_slots"),
+        distinct(F.col("p"), slot, lambda p: F.struct(p["iw"], p["dw"])).alias("maps"),
+        distinct(F.col("p"), slot, lambda p: p["iw"]).alias("from"),
+        distinct(F.col("p"), slot, lambda p: p["dw"]).alias("to"),
     )
     consistent = (F.col("maps") == F.col("from")) & (F.col("maps") == F.col("to"))
     verbatim = F.col("n_equal") * 100 >= F.col("n_tokens") * PERCENT
-    judged = seen.withColumn("consistent", consistent).where(verbatim | (consistent & (F.col("n_matched") * 100 >= F.col("n_tokens") * PERCENT)))
-    return judged.select("doc_id", "item_id", F.col("n_tokens").cast("long").alias("n_tokens"), "n_matched", "n_equal", "n_slots", "consistent", F.when(verbatim, F.lit("verbatim")).otherwise(F.lit("template")).alias("kind"))
-
+    judged = seen.withColumn("consistent", consistent).where(verbatim | (consistent & (F.col("n_literal") >= LITERALS) & (F.col("n_matched") * 100 >= F.col("n_tokens") * PERCENT)))
+    return judged.select("doc_id", "item_id", "n_tokens", "n_matched", "n_equal", "n_slots", "consistent", F.when(verbatim, F.lit("verbatim")).otherwise(F.lit("template")).alias("kind"))
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents against all benchmark items."""
