@@ -69,8 +69,10 @@ def contaminated(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", i
     matches whole, and the item's windows are as long as the shortest of those (4 words, less in
     short items). All of them meet all windows of the documents; a pair with fewer windows in
     common than PERCENT percent of matching tokens leave whole is dropped before its text is read.
-    A pair is aligned at the offsets of its windows and compared token by token. It is verbatim if
-    PERCENT percent of the item's tokens are equal; it is a template match if that share matches,
+    A pair is aligned at each offset of its windows, alone and as a chain that moves to offsets less
+    than n away where words were put in or left out, and compared token by token. Each alignment is
+    judged by itself and the best counts (verbatim before template, then by n_matched, n_equal).
+    It is verbatim if PERCENT percent of the item's tokens are equal; it is a template match if that share matches,
     LITERALS equal words that are no slots among it, and the slots are consistent, that is, each
     value of the item stands for one value in the document and the other way round. Null texts and
     items without tokens match nothing; rows with a null id are compared too and keep their null;
@@ -111,24 +113,44 @@ def contaminated(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", i
     def at(shift: Column) -> Column:
         return F.filter(F.transform(F.sequence(F.lit(0), F.size("item_words") - 1), lambda i: place(i, shift)), lambda p: p["met"])
 
-    def distinct(spots: Column, keep, value) -> Column:
-        return F.size(F.array_distinct(F.transform(F.filter(spots, keep), value))).cast("long")
-
-    equal, slot = (lambda p: p["iw"] == p["dw"]), (lambda p: p["slot"])
-    seen = pairs.select("doc_id", "tkey", "item_id", "ikey", "n_tokens", F.flatten(F.transform("shifts", at)).alias("p")).select(
-        "doc_id", "item_id", "n_tokens",
-        distinct(F.col("p"), lambda p: F.lit(True), lambda p: p["i"]).alias("n_matched"),
-        distinct(F.col("p"), equal, lambda p: p["i"]).alias("n_equal"),
-        distinct(F.col("p"), lambda p: equal(p) & ~slot(p), lambda p: p["i"]).alias("n_literal"),
-        distinct(F.col("p"), slot, lambda p: p["i"]).alias("n_slots"),
-        distinct(F.col("p"), slot, lambda p: F.struct(p["iw"], p["dw"])).alias("maps"),
-        distinct(F.col("p"), slot, lambda p: p["iw"]).alias("from"),
-        distinct(F.col("p"), slot, lambda p: p["dw"]).alias("to"),
-    )
-    consistent = (F.col("maps") == F.col("from")) & (F.col("maps") == F.col("to"))
-    verbatim = F.col("n_equal") * 100 >= F.col("n_tokens") * PERCENT
-    judged = seen.withColumn("consistent", consistent).where(verbatim | (consistent & (F.col("n_literal") >= LITERALS) & (F.col("n_matched") * 100 >= F.col("n_tokens") * PERCENT)))
-    return judged.select("doc_id", "item_id", "n_tokens", "n_matched", "n_equal", "n_slots", "consistent", F.when(verbatim, F.lit("verbatim")).otherwise(F.lit("template")).alias("kind"))
+    def chain(start: Column) -> Column:
+        """From the offset start on: a token that differs there may move to another met offset, nearest first, where a met window begins, further on in the document."""
+        def step(acc: Column, i: Column) -> Column:
+            def others() -> Column:
+                ahead = F.filter("anchors", lambda x: (x["i_at"] == i) & (x["shift"] + i > acc["last"]) & (F.abs(x["shift"] - start) < F.col("n_tokens")))
+                near = F.array_min(F.transform(ahead, lambda x: F.struct(F.abs(x["shift"] - acc["now"]).alias("far"), x["shift"].alias("shift"))))
+                return F.coalesce(near["shift"], acc["now"])
+
+            def put(now: Column) -> Column:
+                return F.transform(F.array(place(i, now)), lambda p: moved(now, p))[0]
+
+            def moved(now: Column, p: Column) -> Column:
+                return F.struct(now.alias("now"), F.when(p["met"], now + i).otherwise(acc["last"]).alias("last"), F.when(p["met"], F.concat(acc["spots"], F.array(p))).otherwise(acc["spots"]).alias("spots"))
+
+            return F.transform(F.array(F.when(place(i, acc["now"])["met"], acc["now"]).otherwise(others())), put)[0]
+
+        none = F.slice(at(start), 1, 0)
+        begin = F.struct(start.alias("now"), F.lit(-1).alias("last"), none.alias("spots"))
+        return F.aggregate(F.sequence(F.lit(0), F.size("item_words") - 1), begin, step)["spots"]
+
+    def judge(spots: Column) -> Column:
+        slots = F.filter(spots, lambda p: p["slot"])
+        equal = F.filter(spots, lambda p: p["iw"] == p["dw"])
+        literal = F.size(F.filter(equal, lambda p: ~p["slot"]))
+        maps, of, to = (F.size(F.array_distinct(F.transform(slots, f))) for f in (lambda p: F.struct(p["iw"], p["dw"]), lambda p: p["iw"], lambda p: p["dw"]))
+        consistent = (maps == of) & (maps == to)
+        verbatim = F.size(equal) * 100 >= F.col("n_tokens") * PERCENT
+        template = consistent & (literal >= LITERALS) & (F.size(spots) * 100 >= F.col("n_tokens") * PERCENT)
+        # In the order of preference.
+        return F.struct(verbatim.alias("verbatim"), template.alias("template"), F.size(spots).cast("long").alias("n_matched"), F.size(equal).cast("long").alias("n_equal"), F.size(slots).cast("long").alias("n_slots"), consistent.alias("consistent"))
+
+    alone = F.transform(F.transform("shifts", at), judge)
+    chained = F.when(F.size("shifts") > 1, F.transform(F.transform("shifts", chain), judge)).otherwise(F.array().cast("array<struct<verbatim:boolean,template:boolean,n_matched:long,n_equal:long,n_slots:long,consistent:boolean>>"))
+    # No alignment has more than all offsets together.
+    reach = F.size(F.array_distinct(F.flatten(F.transform("shifts", lambda s: F.transform(at(s), lambda p: p["i"])))))
+    judged = pairs.select("doc_id", "item_id", "n_tokens", F.explode_outer(F.array(F.when(reach * 100 >= F.col("n_tokens") * PERCENT, F.array_max(F.concat(alone, chained))))).alias("best")).where("best.verbatim OR best.template")
+    return judged.select("doc_id", "item_id", "n_tokens", "best.n_matched", "best.n_equal", "best.n_slots", "best.consistent", F.when(F.col("best.verbatim"), F.lit("verbatim")).otherwise(F.lit("template")).alias("kind"))
+
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents against all benchmark items."""

@@ -30,3 +30,17 @@ def test_copies_by_case_length_and_share(spark):
     got = {(r.doc_id, r.item_id) for r in leaks.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).where("kind = 'verbatim'").collect()}
     want = {(d, i) for d, t in docs for i, item in items if _held(t, item)}
     assert got == want and len(want) > 150
+
+
+def test_alignments_are_judged_one_by_one(spark):
+    item = "Add 5 to the number 7 and then take 5 from the number 9 to get what is left of it."
+    one, two = item.replace("9", "1").replace("5", "4"), item.replace("9", "2").replace("5", "8").replace("7", "6")
+    filler = "here some words stand that belong to nobody " * 30
+    broken = "Add 4 to the number 6 and then take 8 from the number 8 to get what is left of it."
+    rows = [(1, one + " " + filler + two), (2, filler + "then take 33 from the number 44 " + filler + one), (3, one.replace("and then", "and quickly then")), (4, broken)]
+    # Four parts of the item far apart, none of them PERCENT percent of it.
+    w = item.split()
+    rows.append((5, f" {filler} ".join(" ".join(w[k : k + 5]) for k in range(0, len(w), 5))))
+    got = {r.doc_id: r for r in leaks.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(1, item)], "item_id long, text string")).collect()}
+    assert got[1].consistent and got[2].consistent and got[3].n_matched == got[3].n_tokens
+    assert 5 not in got and (4 not in got or got[4].kind == "verbatim")
