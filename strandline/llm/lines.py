@@ -7,50 +7,60 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, keep, table
+from .common import WHITE, components, keep, table
 
-#: Greatest edit distance (code points) of near copies, and the least length of a line that is looked at.
-EDITS, LEAST = 2, 16
-#: Letters whose counts are compared before a pair of lines is; any choice gives the same links.
-BAG = "etaoinsrhdlcumgw"
+#: Greatest edit distance (code points) of near copies. The segments below are worked out for two.
+EDITS = 2
+#: Least length (code points) of a line that the near join looks at, by default; exact copies go whatever their length.
+LEAST = 16
+#: Characters whose counts are compared before a pair of lines is, those of BAG in the join, those of MORE beside their texts; any choice gives the same links.
+BAG, MORE = "etaoinsrhdlcumgw", "bfpvykz ,.éñóüäí"
+#: Lines with candidates up to this many are sent to every executor as 8-byte ids, to fetch their texts; more are met in a shuffle join.
+BROADCAST_IDS = 1_000_000
+_ID = (1 << 62) - 1
+
+
+def _not_blank(line: Column) -> Column:
+    return F.btrim(line, F.lit(WHITE)) != ""
 
 
 def line_rows(docs: DataFrame) -> DataFrame:
-    """docs(doc_id, tkey, text) to a row a line of LEAST code points or more: doc_id, tkey, no, line, lkey."""
-    rows = docs.select("doc_id", "tkey", F.posexplode(F.split("text", "\n")).alias("no", "line")).where(F.length("line") >= LEAST)
+    """docs(doc_id, tkey, text) to a row a line that isn't blank: doc_id, tkey, no, line, lkey."""
+    rows = docs.select("doc_id", "tkey", F.posexplode(F.split("text", "\n")).alias("no", "line")).where(_not_blank(F.col("line")))
     return rows.withColumn("lkey", F.coalesce(F.unhex(F.md5(F.encode("line", "UTF-8"))), F.lit(b"")))
 
 
-def _segment(length: Column, i: int) -> tuple[Column, Column]:
-    """Start (1-based) and length of segment i of EDITS + 1: equal parts, the last ones one longer."""
-    parts = EDITS + 1
-    size = F.floor(length / parts).cast("int")
-    longer = length - size * parts
-    first_long = parts - longer
-    start = F.lit(i) * size + F.greatest(F.lit(0), F.lit(i) - first_long) + 1
-    return start.cast("int"), (size + F.when(F.lit(i) >= first_long, 1).otherwise(0)).cast("int")
+def _id(lkey: Column) -> Column:
+    """A 62-bit number of a line; lines that share one are only more candidates."""
+    return F.xxhash64(lkey).bitwiseAND(F.lit(_ID))
 
 
-def _indexed() -> list[Column]:
-    n = F.col("n")
-    return [_short_hash(F.lit(i), n, F.substring(F.col("line"), *_segment(n, i))) for i in range(EDITS + 1)]
+def _class(n: Column) -> Column:
+    """The length class of n, named by its least length: classes are an eighth of a power of two wide, and 2 at least."""
+    wide = F.call_function("shiftleft", F.lit(1), F.greatest(F.lit(1), F.length(F.bin(n)) - 4))
+    return n - n % wide
 
 
-def _probes() -> list[Column]:
-    """Substrings of a line that can equal a segment of a line of its length or up to EDITS shorter.
+def signatures(line: Column, own: Column, lower: Column) -> Column:
+    """Hashes of a line's segments, (length class, segment, substring): two lines within EDITS share one.
 
-    Of a pair within EDITS, some segment i (from 0) is matched with at most i edits before it and
-    EDITS - i after it; so its start shifts by at most i, and by at most EDITS - i from the end.
+    A line is cut into EDITS + 1 segments: the first third, the last third and the middle, sized by
+    the least length of its class, so that lines of one class are cut alike. A line of length n
+    also stands in the class of n - EDITS; classes are so wide that those two hold every length
+    between. Of three segments two edits leave one whole. If neither the first nor the last is
+    whole, one edit lies in each, and the middle is whole but shifted by -1, 0 or 1: the index
+    holds each line's middle, and each line asks for its substrings at shifts 0 and 1 (a pair
+    shifted by -1 meets the other way round). So each class gives four hashes, of which the last
+    is only asked for. own and lower are those two classes.
     """
-    out = []
-    for shorter in range(EDITS + 1):
-        n = F.col("n") - shorter
-        for i in range(EDITS + 1):
-            start, size = _segment(n, i)
-            # Lines of one length ask each other, so one direction of a shift is enough.
-            for shift in range(0 if not shorter else max(-i, shorter - (EDITS - i)), min(i, shorter + (EDITS - i)) + 1):
-                out.append(_short_hash(F.lit(i), n, F.substring(F.col("line"), start + shift, size)))
-    return out
+
+    def of(c: Column) -> Column:
+        part = F.floor(c / 3).cast("int")
+        middle = (c - 2 * part).cast("int")
+        cuts = ((0, F.left(line, part)), (1, F.right(line, part)), (2, F.substring(line, part + 1, middle)), (2, F.substring(line, part + 2, middle)))
+        return F.array(*[F.xxhash64(c, F.lit(k), x) for k, x in cuts])
+
+    return F.when(own == lower, of(own)).otherwise(F.concat(of(own), of(lower)))
 
 
 def _let(value: Column, body) -> Column:
@@ -97,24 +107,20 @@ def banded_distance(a: Column, b: Column, edits: int) -> Column:
     return F.aggregate(F.sequence(F.lit(1), n), start, step)["d"]
 
 
-def _bag() -> Column:
-    """How often a line has each letter of BAG, modulo 16, four bits a letter."""
-    counts = [((F.octet_length("line") - F.octet_length(F.replace(F.col("line"), F.lit(c), F.lit("")))) % 16).cast("long") for c in BAG]
+def _bag(line: Column, letters: str = BAG) -> Column:
+    """How often a line has each of sixteen letters, modulo 16, four bits a letter."""
+    size = F.octet_length(line)
+    counts = [(F.floor((size - F.octet_length(F.replace(line, F.lit(c), F.lit("")))) / len(c.encode())) % 16).cast("long") if ord(c) > 127 else ((size - F.octet_length(F.replace(line, F.lit(c), F.lit("")))) % 16).cast("long") for c in letters]
     return reduce(lambda x, y: x.bitwiseOR(y), [F.shiftleft(c, 4 * k) for k, c in enumerate(counts)])
 
 
-def _bags_near(x: Column, y: Column) -> Column:
-    """An edit changes the letters' counts by 2 in all at most; what is left of a difference modulo 16 is no more than the difference."""
+def _apart(x: Column, y: Column) -> Column:
+    """How far two bags differ, at least: what is left of a difference modulo 16 is no more than the difference. An edit changes the counts by 2 in all at most."""
     apart = []
-    for k in range(len(BAG)):
+    for k in range(16):
         d = F.abs(F.shiftrightunsigned(x, 4 * k).bitwiseAND(F.lit(15)) - F.shiftrightunsigned(y, 4 * k).bitwiseAND(F.lit(15)))
         apart.append(F.least(d, 16 - d))
-    return reduce(lambda a, b: a + b, apart) <= 2 * EDITS
-
-
-def _short_hash(*cols: Column) -> Column:
-    """48 bits, which cross a shuffle in six bytes; equal hashes are only candidates."""
-    return F.xxhash64(*cols).bitwiseAND(F.lit((1 << 48) - 1))
+    return reduce(lambda a, b: a + b, apart)
 
 
 def _common(a: Column, b: Column) -> Column:
@@ -125,85 +131,122 @@ def _common(a: Column, b: Column) -> Column:
 
 
 def _core(a: Column, b: Column, body) -> Column:
-    """body(u, v) of a and b without their common prefix and suffix, but for EDITS + 1 characters of each: the same edit distance."""
-    spare = EDITS + 1
+    """body(u, v) of a and b without their common prefix and suffix, but for EDITS + 1 characters of each: the same edit distance. Null where that is above EDITS for certain.
 
-    def tail(x: Column, cut: Column) -> Column:
-        return F.reverse(F.substring(x, cut + 1, F.length(x)))
+    Without their common ends, two edits are the first and the last step from one to the other, so
+    what lies between them must be equal.
+    """
+    spare, steps = EDITS + 1, ((1, 1), (0, 1), (1, 0))
+
+    def within(u: Column, v: Column) -> Column:
+        between = [F.substring(u, F.lit(i + 1), F.length(u) - i - j) == F.substring(v, F.lit(k + 1), F.length(v) - k - l) for i, k in steps for j, l in steps]
+        return reduce(lambda x, y: x | y, between, F.length(u) <= EDITS)
 
     def cut_front(n: Column) -> Column:
-        cut = F.greatest(F.lit(0), n - spare)
-        return _let(F.struct(tail(a, cut).alias("u"), tail(b, cut).alias("v")), cut_back)
+        return _let(F.struct(F.reverse(F.substring(a, n + 1, F.length(a))).alias("u"), F.reverse(F.substring(b, n + 1, F.length(b))).alias("v")), lambda r: _let(_common(r["u"], r["v"]), lambda m: cut_back(n, m)))
 
-    def cut_back(r: Column) -> Column:
-        def ends(n: Column) -> Column:
-            cut = F.greatest(F.lit(0), n - spare)
-            return _let(F.split(tail(r["u"], cut), ""), lambda u: _let(F.split(tail(r["v"], cut), ""), lambda v: body(u, v)))
+    def cut_back(n: Column, m: Column) -> Column:
+        def part(x: Column, left: Column, right: Column) -> Column:
+            return F.substring(x, left + 1, F.length(x) - left - right)
 
-        return _let(_common(r["u"], r["v"]), ends)
+        left, right = F.greatest(F.lit(0), n - spare), F.greatest(F.lit(0), m - spare)
+        cores = F.struct(part(a, n, m).alias("u"), part(b, n, m).alias("v"))
+        wider = _let(F.split(part(a, left, right), ""), lambda u: _let(F.split(part(b, left, right), ""), lambda v: body(u, v)))
+        return _let(cores, lambda r: F.when(within(r["u"], r["v"]), wider))
 
     return _let(_common(a, b), cut_front)
 
 
-def near_lines(distinct: DataFrame) -> DataFrame:
-    """Links (a, b, edits) between distinct(lkey, line), each pair once.
-
-    Lines that share a segment but differ in their letters are told apart inside the join, so a
-    family of lines with one word exchanged gives few pairs; a hot segment is split by adaptive
-    execution.
-    """
-    own = distinct.select("lkey", "line", _short_hash(F.col("lkey")).alias("id"), _bag().alias("bag"), F.length("line").alias("n"))
-    held = own.select(F.col("id").alias("i"), F.col("bag").alias("x"), F.explode(F.array(*_indexed())).alias("sig"))
-    asked = own.select(F.col("id").alias("p"), F.col("bag").alias("y"), F.explode(F.array(*_probes())).alias("asked"))
-    met = (F.col("asked") == F.col("sig")) & (F.col("i") != F.col("p")) & _bags_near(F.col("x"), F.col("y"))
-    pairs = asked.join(held, met).select(F.least("i", "p").alias("x"), F.greatest("i", "p").alias("y")).distinct()
-    # Ids lead to keys first, without text; texts then meet the pairs where the distinct lines already lie.
-    names = distinct.select("lkey", _short_hash(F.col("lkey")).alias("id"))
-    keyed = pairs.join(names.select(F.col("id").alias("x"), F.col("lkey").alias("a")), "x").join(names.select(F.col("id").alias("y"), F.col("lkey").alias("b")), "y").select("a", "b")
-    left = distinct.select(F.col("lkey").alias("a"), F.col("line").alias("s"))
-    right = distinct.select(F.col("lkey").alias("b"), F.col("line").alias("t"))
-    both = keyed.join(left, "a").join(right, "b").where(F.abs(F.length("s") - F.length("t")) <= EDITS)
-    ordered = both.select("a", "b", F.when(F.length("s") <= F.length("t"), F.col("s")).otherwise(F.col("t")).alias("u"), F.when(F.length("s") <= F.length("t"), F.col("t")).otherwise(F.col("s")).alias("v"))
+def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b, edits) of pairs(x, y) of ids, by the texts(id, lkey, line) they may stand for."""
+    bags = F.struct(_bag(F.col("line")).alias("b"), _bag(F.col("line"), MORE).alias("m"))
+    left = texts.select(F.col("id").alias("x"), F.col("lkey").alias("a"), F.col("line").alias("s"), bags.alias("p"))
+    right = texts.select(F.col("id").alias("y"), F.col("lkey").alias("b"), F.col("line").alias("t"), bags.alias("q"))
+    both = pairs.join(left, "x").join(right, "y").where((F.abs(F.length("s") - F.length("t")) <= EDITS) & (_apart(F.col("p.b"), F.col("q.b")) + _apart(F.col("p.m"), F.col("q.m")) <= 2 * EDITS))
+    first = F.length("s") <= F.length("t")
+    ordered = both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(first, F.col("s")).otherwise(F.col("t")).alias("u"), F.when(first, F.col("t")).otherwise(F.col("s")).alias("v"))
     # Few bytes but much work: adaptive execution would leave it to one task.
-    ordered = ordered.repartition(int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    ordered = ordered.repartition(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     edits = _core(F.col("u"), F.col("v"), lambda u, v: banded_distance(u, v, EDITS))
-    return ordered.select("a", "b", edits.alias("edits")).where(F.col("edits") <= EDITS)
+    # A filter on a generator's output stays here; one on a column would be pushed down into the join.
+    return ordered.select("a", "b", F.explode_outer(F.array(edits)).alias("edits")).where(F.col("edits") <= EDITS).dropDuplicates(["a", "b"])
+
 
+def near_lines(rows: DataFrame, distinct: DataFrame, broadcast_ids: int = BROADCAST_IDS) -> tuple[DataFrame, DataFrame]:
+    """(links, texts): links(a, b, edits) between different lines, each pair once; texts(id, lkey, line, first, last) of all candidates.
 
-def line_marks(docs: DataFrame) -> DataFrame:
+    distinct(id, sigs, bag) has the lines' hashes without their texts. Both sides of the join are
+    one exchange of them. Lines that share a segment but differ in their letters are told apart
+    inside the join, so a family of lines with one word exchanged gives few pairs; a hot segment
+    is split by adaptive execution. Texts are read for candidates only, from rows(lkey, line, ...).
+    """
+    shifted = F.lit(1 << 62)
+    held = distinct.where("sigs IS NOT NULL").select("bag", F.posexplode("sigs").alias("k", "sig"), "id")
+    held = held.select("sig", F.when(F.col("k") % 4 == 3, F.col("id").bitwiseOR(shifted)).otherwise(F.col("id")).alias("code"), "bag")
+    other = held.toDF("sig", "code2", "bag2")
+    # Codes of shifted middles are above all others: each pair of the index, and of the index and what is asked, is met once.
+    differ = F.col("code").bitwiseAND(F.lit(_ID)) != F.col("code2").bitwiseAND(F.lit(_ID))
+    met = held.join(other, "sig").where((F.col("code") < F.col("code2")) & differ & (_apart(F.col("bag"), F.col("bag2")) <= 2 * EDITS))
+    x, y = F.col("code").bitwiseAND(F.lit(_ID)), F.col("code2").bitwiseAND(F.lit(_ID))
+    pairs = keep(met.select(F.least(x, y).alias("x"), F.greatest(x, y).alias("y")).distinct(), "line-pairs")
+    wanted = pairs.select(F.col("x").alias("id")).union(pairs.select("y")).distinct()
+    few = wanted.count() <= broadcast_ids
+    here = F.struct("doc_id", "tkey", "no")
+    found = rows.withColumn("id", _id(F.col("lkey"))).join(F.broadcast(wanted) if few else wanted, "id", "left_semi")
+    texts = keep(found.groupBy("id", "lkey").agg(F.first("line").alias("line"), F.min(here).alias("first"), F.max(here).alias("last")), "line-texts")
+    return _verified(pairs, texts), texts
+
+
+def hashed_lines(rows: DataFrame, least: int = LEAST) -> DataFrame:
+    """rows of lines to a row a different line: id, sigs and bag, and for repeated lines lkey and the first place."""
+    here = F.struct("doc_id", "tkey", "no")
+    # Column by column, so that lengths and classes are computed once.
+    sized = rows.withColumn("n", F.length("line")).withColumn("own", _class(F.col("n"))).withColumn("lower", _class(F.col("n") - EDITS))
+    hashed = sized.select("doc_id", "tkey", "no", "lkey", F.when(F.col("n") >= max(least, 2 * EDITS), signatures(F.col("line"), F.col("own"), F.col("lower"))).alias("sigs"), _bag(F.col("line")).alias("bag"))
+    lines = hashed.groupBy("lkey").agg(F.first("sigs").alias("sigs"), F.first("bag").alias("bag"), F.min(here).alias("first"), F.max(here).alias("last"))
+    again = F.col("first") != F.col("last")
+    return keep(lines.select(_id(F.col("lkey")).alias("id"), "sigs", "bag", F.when(again, F.col("lkey")).alias("lkey"), F.when(again, F.col("first")).alias("first")), "lines")
+
+
+def line_marks(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """docs(doc_id, tkey, text) to a row a line that is repeated or linked: doc_id, tkey, no, removed, near, links."""
     rows = line_rows(docs)
-    links = keep(near_lines(rows.groupBy("lkey").agg(F.first("line").alias("line"))), "line-links")
-    roots = components(links.select("a", "b"))
-    degree = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count("*").alias("links"))
     here = F.struct("doc_id", "tkey", "no")
-    firsts = rows.groupBy("lkey").agg(F.min(here).alias("first"), F.max(here).alias("last"))
-    linked = roots.join(degree, "node").withColumnRenamed("node", "lkey")
-    classed = firsts.join(linked, "lkey")
+    kept = hashed_lines(rows, least)
+    links, texts = near_lines(rows, kept)
+    links = keep(links, "line-links")
+    roots = components(links.select("a", "b"))
+    degree = links.select(F.col("a").alias("lkey")).union(links.select("b")).groupBy("lkey").agg(F.count("*").alias("links"))
+    classed = roots.withColumnRenamed("node", "lkey").join(texts.select("lkey", "first"), "lkey").join(degree, "lkey")
     starts = classed.groupBy("root").agg(F.min("first").alias("start"))
-    starts = classed.join(starts, "root").select("lkey", "start", "links")
-    open_ = firsts.join(starts, "lkey", "left").where("first != last OR start IS NOT NULL").select("lkey", "first", F.coalesce("start", "first").alias("start"), F.coalesce("links", F.lit(0)).alias("links"))
+    linked = classed.join(starts, "root").select("lkey", "first", "start", "links")
+    repeated = kept.where("lkey IS NOT NULL").select("lkey", "first", F.col("first").alias("start"), F.lit(0).cast("long").alias("links"))
+    open_ = keep(repeated.union(linked).groupBy("lkey").agg(F.min("first").alias("first"), F.min("start").alias("start"), F.max("links").alias("links")), "line-classes")
     met = rows.select("doc_id", "tkey", "no", "lkey").join(open_, "lkey")
     return met.select("doc_id", "tkey", "no", (here != F.col("start")).alias("removed"), ((here == F.col("first")) & (F.col("first") != F.col("start"))).alias("near"), "links")
 
 
-def line_dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", out: str | None = None) -> DataFrame:
+def line_dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", out: str | None = None, least: int = LEAST) -> DataFrame:
     """Remove lines that an earlier line of any document equals or resembles.
 
-    Lines of LEAST code points or more are linked when equal or within EDITS edits; of each
-    connected class of lines only the first occurrence stays, by (doc_id, digest of the text, line
-    number), null ids first. Returns docs with n_lines (lines looked at), n_removed, n_near (of
-    those, first occurrences of a text that resembles an earlier one), n_links (links of its lines)
-    and removed_lines, line numbers from 0; with out, also the text that is left under that name.
-    Null texts have no lines and stay null; rows equal in doc_id and text are one document;
-    columns of docs that clash with a result column give way to it.
-
-    Equal lines collapse before they are paired, combined on the map side. No document text is
-    shuffled unless out asks for it.
+    Lines that aren't blank (white space only) are linked when equal, whatever their length, and
+    those of `least` code points or more (4 at least) also within EDITS edits; of each connected
+    class of lines only the first occurrence stays, by (doc_id, digest of the text, line number),
+    null ids first. Returns docs with n_lines (lines that aren't blank), n_removed, n_near (of
+    those, first occurrences of a text that resembles an earlier one), n_links (links of its lines
+    to different lines) and removed_lines, line numbers from 0; with out, also the text that is
+    left under that name. Null texts have no lines and stay null; empty texts and blank lines lose
+    nothing; rows equal in doc_id and text are one document, so each copy of the row keeps and
+    loses the same lines; columns of docs that clash with a result column give way to it; an empty
+    table gives an empty result.
+
+    Hashes are taken where a line is read, and equal lines collapse, combined on the map side,
+    before anything is paired. Only texts of candidate pairs are shuffled, and documents only if
+    out asks for them.
     """
     made = ["n_lines", "n_removed", "n_near", "n_links", "removed_lines"] + ([out] if out else [])
     id_, tkey = F.col(f"`{doc_id}`"), F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))
-    marks = line_marks(docs.select(id_.alias("doc_id"), tkey.alias("tkey"), F.col(f"`{text}`").alias("text")))
+    marks = line_marks(docs.select(id_.alias("doc_id"), tkey.alias("tkey"), F.col(f"`{text}`").alias("text")), least)
     by_doc = marks.groupBy(F.col("doc_id").alias("__d"), F.col("tkey").alias("__k")).agg(
         F.sort_array(F.collect_set(F.when(F.col("removed"), F.col("no")))).alias("__gone"),
         F.sort_array(F.collect_set(F.when(F.col("near"), F.col("no")))).alias("__near"),
@@ -211,7 +254,7 @@ def line_dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", o
     )
     lines = F.split(F.col(f"`{text}`"), "\n")
     keep_cols = [F.col(f"`{c}`") for c in docs.columns if c not in made or c in (doc_id, text)]
-    base = docs.select(*keep_cols, F.coalesce(F.size(F.filter(lines, lambda x: F.length(x) >= LEAST)), F.lit(0)).cast("long").alias("__n"), tkey.alias("__t"))
+    base = docs.select(*keep_cols, F.coalesce(F.size(F.filter(lines, _not_blank)), F.lit(0)).cast("long").alias("__n"), tkey.alias("__t"))
     if not out and text not in (doc_id,):
         base = base.drop(text)
     both = base.join(by_doc, id_.eqNullSafe(F.col("__d")) & (F.col("__t") == F.col("__k")), "left")
