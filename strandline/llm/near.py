@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import components, keep, table
@@ -125,92 +125,118 @@ def sketched(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
     return docs.mapInArrow(run, _SETS)
 
 
-def _sets_of(docs: DataFrame, width: int) -> DataFrame:
-    """docs(doc_id, text) to (doc_id, items): the full sets, as sorted arrays."""
+def _sets_of(rows: DataFrame, width: int) -> DataFrame:
+    """rows(node, digest, text) to (node, items): the full sets, as sorted arrays, of those rows whose text has the set of that digest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import hashlib
+
         known: dict[bytes, int] = {}
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):
                 b = whole.slice(at, 1000)
-                sets = [x.view(np.int64) for x in shingle_sets(b.column(1).to_pylist(), width, known)]
-                offsets = pa.array(np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32))
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(sets) if sets else np.zeros(0, np.int64), pa.int64()))], names=["doc_id", "items"])
+                sets = shingle_sets(b.column(2).to_pylist(), width, known)
+                same = [k for k, (d, x) in enumerate(zip(b.column(1).to_pylist(), sets, strict=True)) if hashlib.blake2b(x.tobytes(), digest_size=16).digest() == d]
+                sets = [sets[k].view(np.int64) for k in same]
+                offsets = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(same, pa.int64())), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(sets) if sets else np.zeros(0, np.int64), pa.int64()))], names=["node", "items"])
 
-    return docs.mapInArrow(run, "doc_id long, items array<long>")
+    return rows.mapInArrow(run, "node long, items array<long>")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Of pairs(a, b), those whose full sets overlap enough."""
-    left = sets.select(F.col("doc_id").alias("a"), F.col("items").alias("x"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("items").alias("y"))
+    left = sets.select(F.col("node").alias("a"), F.col("items").alias("x"))
+    right = sets.select(F.col("node").alias("b"), F.col("items").alias("y"))
     both = pairs.join(left, "a").where(F.size("x") > 0).join(right, "b")
     sized = both.where((F.size("x") * 100 >= F.size("y") * percent) & (F.size("y") * 100 >= F.size("x") * percent))
     met = sized.withColumn("i", F.size(F.array_intersect("x", "y")))
     return met.where(F.col("i") * 100 >= (F.size("x") + F.size("y") - F.col("i")) * percent).select("a", "b")
 
 
-def _open_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of members(key, rep, root) of one bucket and different roots that can still be similar enough.
+def _least_share(n: Column, part: int, whole: int) -> Column:
+    """ceil(n * part / whole)."""
+    return F.floor((n * part + whole - 1) / whole).cast("int")
+
+
+def open_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of members(node, root) of different roots that can still be similar enough: all of them, and few others.
 
-    A set's overlap with any other is at most the number of its shingles that a second member
-    holds. A pair whose sizes ask for more than that is left out inside the join; so copies with
-    many words of their own, which resemble nothing enough, meet nothing.
+    A prefix join: items are ordered by the number of members that hold them, rarest first. Two
+    sets that overlap enough share one of the first items of both, so many that what is left of
+    each is too small for the overlap they need. Items of one member alone take up places of its
+    prefix but meet nothing. Of each pair the set with fewer items, then the smaller number, is
+    looked up; a shared item that comes too late for its pair is left out inside the join.
     """
-    items = sets.join(members.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").select("doc_id", F.explode("items").alias("item"))
-    common = items.groupBy("item").agg(F.count("*").alias("c")).where("c > 1").select("item")
-    most = items.join(common, "item").groupBy("doc_id").agg(F.count("*").alias("most"))
-    sized = most.join(sets.select("doc_id", F.size("items").alias("n")), "doc_id")
-    known = members.join(sized.withColumnRenamed("doc_id", "rep"), "rep")
-    left = known.select("key", F.col("rep").alias("a"), F.col("root").alias("r"), F.col("n").alias("n_a"), F.col("most").alias("m_a"))
-    right = known.select("key", F.col("rep").alias("b"), F.col("root").alias("s"), F.col("n").alias("n_b"), F.col("most").alias("m_b"))
-    need = (F.col("n_a") + F.col("n_b")) * percent
-    return left.join(right, "key").where((F.col("r") < F.col("s")) & (F.least("m_a", "m_b", "n_a", "n_b") * (100 + percent) >= need)).select("a", "b").distinct()
+    items = sets.join(members, "node").select("node", "root", F.size("items").alias("n"), F.explode("items").alias("item"))
+    items = keep(items, "open-items")
+    common = items.groupBy("item").agg(F.count("*").alias("c")).where("c > 1")
+    ranked = items.join(common, "item").groupBy("node", "root", "n").agg(F.sort_array(F.collect_list(F.struct("c", "item"))).alias("shared"))
+    # Places from 1 on; those of the node's own items come first.
+    own = F.col("n") - F.size("shared")
+    asks = F.col("n") - _least_share(F.col("n"), percent, 100) + 1 - own
+    holds = F.col("n") - _least_share(F.col("n"), 2 * percent, 100 + percent) + 1 - own
+    first = ranked.withColumn("own", own).withColumn("holds", holds).withColumn("prefix", F.slice("shared", F.lit(1), F.greatest(F.lit(0), asks)))
+    placed = first.select("node", "root", "n", "own", "holds", F.posexplode("prefix").alias("k", "x")).select(F.col("x.item").alias("item"), "node", "root", "n", "holds", "k", (F.col("n") - F.col("own") - F.col("k")).alias("left"))
+    held = placed.where("k < holds").select("item", F.col("node").alias("a"), F.col("root").alias("r"), F.col("n").alias("n_a"), F.col("left").alias("left_a"))
+    asked = placed.select("item", F.col("node").alias("b"), F.col("root").alias("s"), F.col("n").alias("n_b"), F.col("left").alias("left_b"))
+    ordered = (F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("a") < F.col("b")))
+    enough = F.least("left_a", "left_b") * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
+    return asked.join(held, "item").where(ordered & (F.col("r") != F.col("s")) & enough).select("a", "b").distinct()
 
 
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = SHINGLE, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS, centres: int = 2) -> DataFrame:
     """Components of documents linked by a Jaccard similarity of word shingles of percent / 100 or more.
 
     Returns doc_id, n_shingles, component_id (the smallest doc_id reachable) and kept (doc_id is
-    component_id), one row for each row of docs with a doc_id.
-
-    Equal sets collapse to one representative before anything is paired, so exact copies cost no
-    pairs. Within the bucket of a band key, representatives are tested against one centre, first
-    the bucket's smallest id, then `centres` others drawn by a hash of band and id. Only where a
-    bucket still spans several components are members of different components tested with each
-    other, as far as their shared shingles allow. So a group of n copies costs about n tests, not
-    n^2, and yet every pair that shares a band is tested, already connected or known to be too far
-    apart. Tests compare full sets. Null or wordless texts have no shingles
-    and are linked with nothing; rows with a null doc_id are left out; repeated rows fall together
-    (kept is true on each row whose doc_id is the component's); other columns are ignored.
+    component_id), one row for each row of docs with a doc_id; an empty table gives none.
+
+    Equal sets collapse to one node before anything is paired, so exact copies cost no pairs.
+    Within the bucket of a band key, nodes are tested against one centre, first the bucket's
+    smallest node, then `centres` others drawn by a hash of band and node. Nodes of buckets that
+    still span several components are then paired by a prefix join on their rarest shingles, which
+    finds every pair of them that is similar enough. So a group of n copies costs about n tests,
+    not n^2, and yet every similar pair that shares a band is tested or already connected. Tests
+    compare full sets. Null, empty or wordless texts have no shingles and are linked with nothing;
+    rows with a null doc_id are left out; rows that repeat a doc_id, with the same text or another,
+    are one document, linked with whatever one of its texts is linked with (kept is true on each
+    row whose doc_id is the component's). doc_id is read as a long. Ties of sets or ids change
+    nothing; other columns are ignored, whatever their names.
     """
     spark = docs.sparkSession
     source = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")).where("doc_id IS NOT NULL")
     base = keep(sketched(source, width, bands, rows), "sketches")
-    owners = base.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    member = base.where("n_shingles > 0").select("doc_id", "digest").join(owners, "digest").select("doc_id", "rep")
-    reps = base.where("n_shingles > 0").groupBy("digest").agg(F.min_by("keys", "doc_id").alias("keys"), F.min("doc_id").alias("rep")).select("rep", "keys")
-    posted = reps.select("rep", F.posexplode("keys").alias("band", "key"))
-    full = posted.groupBy("key").agg(F.count("*").alias("c"), F.min("rep").alias("first")).where("c > 1").select("key", "first")
-    buckets = keep(posted.join(full, "key").select("key", "band", "rep", "first"), "buckets")
-    wanted = buckets.select(F.col("rep").alias("doc_id")).distinct()
-    sets = keep(_sets_of(source.dropDuplicates(["doc_id"]).join(wanted, "doc_id", "left_semi").select("doc_id", "text"), width), "sets")
-
-    links = keep(_verified(buckets.where("rep != first").select(F.col("first").alias("a"), F.col("rep").alias("b")).distinct(), sets, percent), "links")
+    filled = base.where("n_shingles > 0")
+    # Written once, so that a set keeps its number.
+    nodes = keep(filled.groupBy("digest").agg(F.min_by("keys", "doc_id").alias("keys"), F.min("doc_id").alias("rep")).select(F.monotonically_increasing_id().alias("node"), "digest", "rep", "keys"), "nodes")
+    member = keep(filled.select("doc_id", "digest").join(nodes.select("node", "digest", "rep"), "digest").select("doc_id", "node", "rep"), "members")
+    several = member.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a != z").select("doc_id", "a")
+    same_id = member.join(several, "doc_id").where("a != node").select("a", F.col("node").alias("b"))
+
+    posted = nodes.select("node", F.posexplode("keys").alias("band", "key"))
+    full = posted.groupBy("key").agg(F.count("*").alias("c"), F.min("node").alias("first")).where("c > 1").select("key", "first")
+    buckets = keep(posted.join(full, "key").select("key", "band", "node", "first"), "buckets")
+    wanted = buckets.select("node").distinct().join(nodes.select("node", "digest", F.col("rep").alias("doc_id")), "node")
+    texts = source.join(wanted, "doc_id").dropDuplicates(["doc_id", "node", "text"])
+    sets = keep(_sets_of(texts.select("node", "digest", "text"), width), "sets")
+
+    links = keep(_verified(buckets.where("node != first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct(), sets, percent).union(same_id), "links")
     for turn in (*range(centres), None):
         roots = components(links)
-        placed = buckets.select("key", "band", "rep").join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-        drawn = F.xxhash64("rep", "band", F.lit(turn or 0))
-        split = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min_by("rep", drawn).alias("centre"), F.min_by("root", drawn).alias("at")).where("lo != hi")
+        placed = buckets.select("key", "band", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        drawn = F.xxhash64("node", "band", F.lit(turn or 0))
+        split = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min_by("node", drawn).alias("centre"), F.min_by("root", drawn).alias("at")).where("lo != hi")
         if turn is not None:
-            pairs = placed.join(split, "key").where("root != at").select(F.least("centre", "rep").alias("a"), F.greatest("centre", "rep").alias("b")).distinct()
+            pairs = placed.join(split, "key").where("root != at").select(F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b")).distinct()
         else:
-            pairs = _open_pairs(placed.join(split.select("key"), "key", "left_semi").select("key", "rep", "root"), sets, percent)
+            pairs = open_pairs(placed.join(split.select("key"), "key", "left_semi").select("node", "root").distinct(), sets, percent)
         links = links.unionByName(keep(_verified(pairs, sets, percent), "links"))
-    roots = components(links).select(F.col("node").alias("rep"), "root")
-    placed = member.join(roots, "rep", "left").select("doc_id", F.coalesce("root", "rep").alias("root")).groupBy("doc_id").agg(F.min("root").alias("root"))
+    roots = components(links)
+    by_root = keep(nodes.select("node", "rep").join(roots, "node").groupBy("root").agg(F.min("rep").alias("component_id")), "component-ids")
+    of_node = keep(roots.join(by_root, "root").select("node", "component_id"), "component-nodes")
+    placed = member.join(of_node, "node", "left").groupBy("doc_id").agg(F.min(F.coalesce("component_id", "rep")).alias("component_id"))
     done = base.select("doc_id", "n_shingles").join(placed, "doc_id", "left")
-    return done.select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id")).withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    return done.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")).withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
 def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
