@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from strandline.llm import lines, near, passages, suffixes
@@ -48,24 +49,24 @@ def shingles(t, width):
 
 
 def near_brute(rows, width):
-    sets = {i: shingles(t, width) for i, t in rows}
-    root = {i: i for i in sets}
+    """{(doc_id, text): (n_shingles, component_id)}; rows of one id are one document."""
+    sets = [(i, shingles(t, width)) for i, t in rows]
+    root = {i: i for i, _ in sets}
 
     def find(x):
         while root[x] != x:
             x = root[x]
         return x
 
-    ids = sorted(sets)
-    for i in ids:
-        for j in ids:
-            if i < j and sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
-                a, b = find(i), find(j)
-                root[max(a, b)] = min(a, b)
-    return {i: (len(sets[i]), find(i)) for i in ids}
+    for k, (i, a) in enumerate(sets):
+        for j, b in sets[:k]:
+            if a and b and 100 * len(a & b) >= 80 * len(a | b):
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+    return {(i, t): (len(shingles(t, width)), find(i)) for i, t in rows}
 
 
-def test_near_duplicates(spark):
+def near_rows():
     rng = random.Random(2)
     base = [words(rng, rng.randrange(20, 120)) for _ in range(8)]
     rows = []
@@ -75,11 +76,36 @@ def test_near_duplicates(spark):
             for _ in range(rng.randrange(0, 7)):
                 w[rng.randrange(len(w))] = "zz" + str(rng.randrange(1000))
             rows.append((len(rows), " ".join(w)))
-    rows += [(900, None), (901, ""), (902, " \n"), (903, "one"), (904, "ONE"), (905, "one two"), (906, base[0]), (907, base[0])]
-    docs = spark.createDataFrame([(i, t, 1) for i, t in rows] + [(None, "no id", 1)], "doc_id long, text string, kept int")
+    w, x = words(rng, 60), words(rng, 60)
+    twice = [(-9, w), (-9, x), (920, w + " more"), (930, x + " more"), (-9, None), (940, "a long one " + words(rng, 30_000))]
+    return rows + twice + [(900, None), (901, ""), (902, " \n"), (903, "one"), (904, "ONE"), (905, "one two"), (906, base[0]), (907, base[0]), (907, base[0])]
+
+
+def test_near_duplicates(spark):
+    rows = near_rows()
+    docs = spark.createDataFrame([(i, t, 1, 2) for i, t in rows] + [(None, "no id", 1, 2)], "doc_id long, text string, kept int, node int")
     for width in (2, 5):
-        got = {r.doc_id: (r.n_shingles, r.component_id) for r in near.near_duplicates(docs, width=width).collect()}
-        assert got == near_brute(rows, width)
+        out = near.near_duplicates(docs, width=width).collect()
+        want = near_brute(rows, width)
+        assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in out) == sorted((i, *want[i, t]) for i, t in rows)
+        assert all(r.kept == (r.doc_id == r.component_id) for r in out)
+    assert want[920, rows[98][1]][1] == want[930, rows[99][1]][1] == -9
+    assert near.near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_open_pairs_lose_nothing(spark):
+    rng = random.Random(12)
+    base = [rng.sample(range(10_000), rng.randrange(10, 200)) for _ in range(5)]
+    sets = []
+    for b in base:
+        for _ in range(25):
+            mine = set(rng.sample(b, int(len(b) * rng.uniform(0.8, 1)))) | {rng.randrange(10_000) for _ in range(rng.randrange(len(b) // 5))}
+            sets.append(sorted(mine))
+    frame = spark.createDataFrame([(k, x) for k, x in enumerate(sets)], "node long, items array<long>")
+    members = frame.select("node", (F.col("node") % 7).alias("root"))
+    got = {(min(r), max(r)) for r in near.open_pairs(members, frame, 80).collect()}
+    want = {(i, j) for j in range(len(sets)) for i in range(j) if i % 7 != j % 7 and 100 * len({*sets[i]} & {*sets[j]}) >= 80 * len({*sets[i]} | {*sets[j]})}
+    assert want <= got and len(want) > 30
 
 
 def test_chunks_resist_shifts():
@@ -130,13 +156,12 @@ def edits(a, b):
     return row[-1]
 
 
-def test_line_links_and_marks(spark):
-    rng = random.Random(6)
+def line_variants(rng, n_bases, copies, low, high):
     texts = []
-    for _ in range(25):
-        base = "".join(rng.choice("abcé ") for _ in range(rng.randrange(17, 40)))
+    for _ in range(n_bases):
+        base = "".join(rng.choice("abcé ") for _ in range(rng.randrange(low, high)))
         texts.append(base)
-        for _ in range(5):
+        for _ in range(copies):
             s = list(base)
             for _ in range(rng.randrange(0, 5)):
                 k = rng.randrange(len(s))
@@ -147,18 +172,67 @@ def test_line_links_and_marks(spark):
                 else:
                     del s[k]
             texts.append("".join(s))
-    texts = [t for t in dict.fromkeys(texts) if len(t) >= lines.LEAST]
-    df = spark.createDataFrame([(t,) for t in texts], "line string").withColumn("lkey", F.unhex(F.md5(F.encode("line", "UTF-8"))))
-    name = {bytes(r.lkey): r.line for r in df.collect()}
-    got = {(*sorted((name[bytes(r.a)], name[bytes(r.b)])), r.edits) for r in lines.near_lines(df).collect()}
-    want = {(*sorted((a, b)), d) for i, a in enumerate(texts) for b in texts[:i] if abs(len(a) - len(b)) <= 2 and (d := edits(a, b)) <= 2}
-    assert got == want and want
-
-    rows = [(1, "a line that is long enough\nshort\nanother line that stays"), (2, "a line that is long enough\nb line that is long enough\nshort"), (3, None), (4, ""), (4, "a lime that is long enough")]
-    docs = spark.createDataFrame([(i, t, 5) for i, t in rows], "doc_id long, text string, n_lines int")
-    out = {(r.doc_id, r.text): r for r in lines.line_dedup(docs, out="left_text").collect()}
-    assert out[1, rows[0][1]].left_text == rows[0][1] and out[1, rows[0][1]].n_lines == 2
-    second = out[2, rows[1][1]]
-    assert (second.left_text, second.n_removed, second.n_near, list(second.removed_lines)) == ("short", 2, 1, [0, 1])
-    assert out[3, None].left_text is None and out[4, "a lime that is long enough"].n_removed == 1
+    return [t for t in dict.fromkeys(texts) if t.strip()]
+
+
+@pytest.mark.parametrize("low,high,least", [(17, 40, 16), (4, 12, 4), (60, 140, 16)])
+def test_line_links(spark, low, high, least):
+    texts = line_variants(random.Random(low), 25, 6, low, high)
+    texts += ["a" * k for k in (low, low + 1, low + 2, low + 3)] + [("ab" * 80)[: low + k] for k in range(4)]
+    texts = list(dict.fromkeys(texts))
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string").withColumn("tkey", F.xxhash64("text"))
+    rows = lines.line_rows(docs)
+    name = {bytes(r.lkey): r.line for r in rows.collect()}
+    want = {(*sorted((a, b)), d) for i, a in enumerate(texts) for b in texts[:i] if min(len(a), len(b)) >= least and abs(len(a) - len(b)) <= 2 and (d := edits(a, b)) <= 2}
+    for most in (lines.BROADCAST_IDS, 0):
+        links, _ = lines.near_lines(rows, lines.hashed_lines(rows, least), most)
+        got = [(*sorted((name[bytes(r.a)], name[bytes(r.b)])), r.edits) for r in links.collect()]
+        assert set(got) == want and len(got) == len(want) and len(want) > 20
+
+
+def lines_brute(rows, least=16):
+    """{(doc_id, text): (n_lines, n_removed, n_near, n_links, removed_lines)} of rows with distinct ids."""
+    places = [(i, k, line) for i, t in sorted(rows) for k, line in enumerate((t or "").split("\n")) if t is not None and line.strip(" \t\n\x0b\x0c\r")]
+    first = {}
+    for p in places:
+        first.setdefault(p[2], p[:2])
+    names = list(first)
+    root = {n: n for n in names}
+    links = dict.fromkeys(names, 0)
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for k, a in enumerate(names):
+        for b in names[:k]:
+            if min(len(a), len(b)) >= least and abs(len(a) - len(b)) <= 2 and edits(a, b) <= 2:
+                links[a] += 1
+                links[b] += 1
+                root[find(a)] = find(b)
+    start = {}
+    for n in names:
+        start[find(n)] = min(start.get(find(n), first[n]), first[n])
+    out = {}
+    for i, t in rows:
+        mine = [(k, line) for d, k, line in places if d == i]
+        gone = [k for k, line in mine if start[find(line)] != (i, k)]
+        near = [k for k in gone if first[(t or "").split("\n")[k]] == (i, k)]
+        out[i, t] = (len(mine), len(gone), len(near), sum(links[line] for _, line in mine), gone)
+    return out
+
+
+def test_line_dedup(spark):
+    rng = random.Random(7)
+    pool = line_variants(rng, 30, 4, 10, 60) + ["short", "Same", "  ", "\t", "x", "Sane"]
+    rows = [(i, "\n".join(rng.choice(pool) for _ in range(rng.randrange(1, 8)))) for i in range(60)] + [(90, None), (91, ""), (92, "Same\nSame\nSame"), (93, "Same"), (94, "l" * 200_000 + "\nSame")]
+    docs = spark.createDataFrame([(i, t, 5, b"") for i, t in rows] + [(None, "of no one", 5, b"")], "doc_id long, text string, n_lines int, lkey binary")
+    got = {(r.doc_id, r.text): r for r in lines.line_dedup(docs, out="left_text").collect()}
+    want = lines_brute(rows)
+    assert {k: (r.n_lines, r.n_removed, r.n_near, r.n_links, list(r.removed_lines)) for k, r in got.items() if k[0] is not None} == want
+    assert {k: r.left_text for k, r in got.items() if k[0] is not None} == {(i, t): None if t is None else "\n".join(x for k, x in enumerate(t.split("\n")) if k not in want[i, t][4]) for i, t in rows}
+    assert got[None, "of no one"].n_removed == 0 and sum(v[2] for v in want.values()) > 20
+    twice = spark.createDataFrame([(1, "one line of some length\none line of some length")] * 2, "doc_id long, text string")
+    assert [r.n_removed for r in lines.line_dedup(twice).collect()] == [1, 1]
     assert lines.line_dedup(docs.limit(0)).count() == 0
