@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import keep, table
 
 #: Tokens of a window in ORACLE_SQL, and how many words besides slots a template match needs.
 WINDOW, LITERALS = 5, 3
@@ -95,7 +95,8 @@ def contaminated(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", i
     pair = pair.where(F.size("anchors") >= F.col("n") - F.col("width") + 1 - F.col("differ") * F.col("width") - (F.size("shifts") - 1) * (F.col("width") - 1))
 
     same_doc = F.col("doc_id").eqNullSafe(F.col("d_id")) & (F.col("tkey") == F.col("d_key"))
-    pair = pair.drop("n", "differ", "width")
+    # Read twice below, and made from all windows of all documents.
+    pair = keep(pair.drop("n", "differ", "width"), "leak-pairs")
     found = d.join(pair, same_doc, "left_semi").dropDuplicates(["doc_id", "tkey"]).select("doc_id", "tkey", _words(F.col("text")).alias("words"))
     aligned = found.join(pair, same_doc).drop("d_id", "d_key")
     right = b.select(F.col("item_id").alias("b_id"), F.col("ikey").alias("b_key"), "item_words", F.col("n").cast("long").alias("n_tokens"))
