@@ -1,4 +1,5 @@
 import hashlib
+import io
 import os
 import random
 import uuid
@@ -69,12 +70,41 @@ def test_files_round_trip(spark, tmp_path):
     assert ids.read_ids(spark, empty).count() == 0
 
 
+def test_null_and_negative_ids_and_copies_over_shards(spark, tmp_path):
+    root = "file://" + str(tmp_path / uuid.uuid4().hex)
+    tok = Tokenizer.from_file(bpe.default_tokenizer())
+    data = [(None, "none"), (None, "none too"), (-5, "minus five"), (-3, "minus three"), (8, "eight")] + [(2, f"copy {k}") for k in range(400)]
+    ids.write_ids(spark.createDataFrame(data, "doc_id long, text string"), root, shards=4)
+    got = ids.read_ids(spark, root).collect()
+    assert len({(r.doc_id, r.copy) for r in got}) == len(data) and sorted(r.copy for r in got if r.doc_id == 2) == list(range(400))
+    order = sorted(got, key=lambda r: r.start)
+    assert [r.copy for r in order if r.doc_id == 2] == list(range(400))
+    found = {r.doc_id: r for r in ids.lookup_ids(spark.createDataFrame([(-5,), (-3,), (0,), (2,), (8,)], "doc_id long"), root).collect()}
+    assert {k: r.found for k, r in found.items()} == {-5: True, -3: True, 0: False, 2: True, 8: True}
+    assert bytes(found[-5].ids) == le([*tok.encode("minus five", add_special_tokens=False).ids, 0])
+    assert bytes(found[2].ids) == next(bytes(r.ids) for r in order if r.doc_id == 2)
+    assert ids.write_ids(spark.createDataFrame(data, "doc_id long, text string"), root + "-b", shard_bytes=500).count() > 3
+
+
 def test_perfect_hash():
     keys = np.random.default_rng(1).integers(0, 2**63, 5000).astype(np.uint64)
-    h = ids.PerfectHash.unpack(ids.PerfectHash.build(keys).pack())
-    assert sorted(h.slots(keys).tolist()) == list(range(len(keys)))
-    index = ids.Index(ids.write_index(keys, np.arange(5000), np.full(5000, 3)))
-    ok, starts, counts = index.find(keys)
+    assert sorted(ids.PerfectHash.build(keys).slots(keys).tolist()) == list(range(len(keys)))
+
+    class Counted(io.BytesIO):
+        read_bytes = 0
+
+        def read(self, n=-1):
+            out = super().read(n)
+            self.read_bytes += len(out)
+            return out
+
+    raw = ids.write_index(keys, np.arange(5000), np.full(5000, 3))
+    ok, starts, counts = ids.Index(io.BytesIO(raw)).find(keys)
     assert ok.all() and (starts == np.arange(5000)).all() and (counts == 3).all()
-    assert not index.find(np.arange(100, dtype=np.uint64))[0].any()
-    assert ids.Index(ids.write_index(keys[:0], keys[:0], keys[:0])).find(keys[:3])[0].sum() == 0
+    many = np.random.default_rng(2).integers(0, 2**63, 200_000).astype(np.uint64)
+    raw = ids.write_index(many, np.arange(200_000), np.full(200_000, 3))
+    one = Counted(raw)
+    ok, starts, _ = ids.Index(one).find(many[77:78])
+    assert ok.all() and starts[0] == 77 and one.read_bytes < 2000 < len(raw)
+    assert not ids.Index(io.BytesIO(raw)).find(np.arange(100, dtype=np.uint64))[0].any()
+    assert ids.Index(io.BytesIO(ids.write_index(keys[:0], keys[:0], keys[:0]))).find(keys[:3])[0].sum() == 0
