@@ -37,14 +37,25 @@ def depth_runs(iv: DataFrame) -> DataFrame:
 
 
 def window_means(iv: DataFrame, contigs: DataFrame, window: int = 500, step: int = 100) -> DataFrame:
-    """Mean depth (ref, win_start, mean_cov) of full windows; of the whole contig where it is shorter than one. Windows without reads count as 0."""
+    """Mean depth (ref, win_start, mean_cov) of full windows; of the whole contig where it is shorter than one. Windows without reads count as 0.
+
+    An interval is two events, whatever its length: the bases below x are x * (starts - ends) -
+    (sum of starts - sum of ends), both up to x, and a window's bases are the difference of two
+    such values at its ends.
+    """
     grid = contigs.select(F.col("name").alias("ref"), "length", F.explode(F.when(F.col("length") < window, F.array(F.lit(0).cast("long"))).otherwise(F.sequence(F.lit(0).cast("long"), (F.col("length") - window).cast("long"), F.lit(step).cast("long")))).alias("win_start"))
-    grid = grid.withColumn("width", F.least(F.lit(window), F.greatest("length", F.lit(1))))
-    low = F.greatest(F.lit(0), F.ceil((F.col("st") - window + 1) / step))
-    met = iv.where("en > st").select("ref", "st", "en", F.explode(F.sequence(low.cast("long"), F.floor((F.col("en") - 1) / step).cast("long"))).alias("w"))
-    part = F.least("en", F.col("w") * step + window) - F.greatest("st", F.col("w") * step)
-    sums = met.groupBy("ref", (F.col("w") * step).alias("win_start")).agg(F.sum(part).alias("bases"))
-    return grid.join(sums, ["ref", "win_start"], "left").select("ref", "win_start", (F.coalesce("bases", F.lit(0)) / F.col("width")).alias("mean_cov"))
+    grid = grid.withColumn("width", F.least(F.lit(window), F.greatest("length", F.lit(1))).cast("long"))
+    none = F.lit(0).cast("long")
+    ends = iv.where("en > st").select("ref", F.explode(F.array(F.struct(F.col("st").cast("long").alias("pos"), F.lit(1).cast("long").alias("d")), F.struct(F.col("en").cast("long").alias("pos"), F.lit(-1).cast("long").alias("d")))).alias("e"))
+    # What lies before position 0 counts there: sums stand for the window, not for the contig.
+    events = ends.select("ref", F.col("e.pos").alias("pos"), F.col("e.d").alias("d"), (F.col("e.pos") * F.col("e.d")).alias("s"))
+    marks = grid.select("ref", F.explode(F.array(F.col("win_start"), F.col("win_start") + F.col("width"))).alias("pos")).distinct()
+    both = events.unionByName(marks.select("ref", "pos", none.alias("d"), none.alias("s"))).groupBy("ref", "pos").agg(F.sum("d").alias("d"), F.sum("s").alias("s"))
+    below = _running(both, ["d", "s"]).select("ref", "pos", (F.col("pos") * F.col("run_d") - F.col("run_s")).alias("below"))
+    lo = below.select("ref", F.col("pos").alias("win_start"), F.col("below").alias("lo"))
+    hi = below.select("ref", F.col("pos").alias("win_end"), F.col("below").alias("hi"))
+    out = grid.withColumn("win_end", F.col("win_start") + F.col("width")).join(lo, ["ref", "win_start"]).join(hi, ["ref", "win_end"])
+    return out.select("ref", "win_start", ((F.col("hi") - F.col("lo")) / F.col("width")).alias("mean_cov"))
 
 
 def baselines(means: DataFrame) -> DataFrame:
@@ -56,12 +67,13 @@ def global_baseline(means: DataFrame) -> DataFrame:
 
 
 def local_coverage(iv: DataFrame) -> DataFrame:
-    """iv(name, ref, st, en) with local_cov, the mean depth over each interval.
+    """iv(name, ref, st, en) with local_cov, the mean depth over each interval. With a boolean column counted, only intervals where it holds make up the depth.
 
     Bases below x are x * (starts - ends) - (sum of starts - sum of ends), both up to x; so two
     lookups in running sums replace the join of intervals with positions.
     """
-    ends = iv.select("ref", F.explode(F.array(F.struct(F.col("st").alias("pos"), F.lit(1).alias("d")), F.struct(F.col("en").alias("pos"), F.lit(-1).alias("d")))).alias("e"))
+    one = F.col("counted").cast("int") if "counted" in iv.columns else F.lit(1)
+    ends = iv.select("ref", F.explode(F.array(F.struct(F.col("st").alias("pos"), one.alias("d")), F.struct(F.col("en").alias("pos"), (-one).alias("d")))).alias("e"))
     events = ends.groupBy("ref", F.col("e.pos").alias("pos")).agg(F.sum("e.d").alias("d")).withColumn("s", F.col("pos") * F.col("d"))
     below = _running(events, ["d", "s"]).select("ref", "pos", (F.col("pos") * F.col("run_d") - F.col("run_s")).alias("below"))
     lo = below.select("ref", F.col("pos").alias("st"), F.col("below").alias("below_st"))
@@ -79,20 +91,32 @@ def outcomes(aln: DataFrame, options: ScrubOptions = ScrubOptions()) -> DataFram
     return aln.withColumn("outcome", rule.otherwise("clean"))
 
 
+#: SAM flags.
+UNMAPPED, SECONDARY, QC_FAIL, DUPLICATE, SUPPLEMENTARY = 4, 256, 512, 1024, 2048
+
+
+def without(flags: int):
+    return F.col("flag").bitwiseAND(flags) == 0
+
+
 def primary(aln: DataFrame) -> DataFrame:
     """Mapped, primary alignments."""
-    return aln.where(F.col("flag").bitwiseAND(256 + 2048 + 4) == 0)
+    return aln.where(without(SECONDARY + SUPPLEMENTARY + UNMAPPED))
 
 
 def classify(aln: DataFrame, contigs: DataFrame, options: ScrubOptions = ScrubOptions()) -> DataFrame:
-    """Primary alignments (qname, flag, tname, ref_start, ref_end, mapq, cigar, seq) with their outcome; depth is taken once, for baselines and rules."""
+    """Primary alignments (qname, flag, tname, ref_start, ref_end, mapq, cigar, seq) with their outcome.
+
+    Depth is that of mapped alignments, supplementary ones included, without secondary, duplicate
+    and failed ones; it is taken for baselines and for the rule. Only primary alignments are judged.
+    """
     from ..functions import seq as S
 
-    p = primary(aln).withColumn("read_len", S.read_length(F.col("cigar"), F.col("seq")))
+    p = aln.where(without(UNMAPPED + SECONDARY)).withColumn("counted", without(QC_FAIL + DUPLICATE)).withColumn("read_len", S.read_length(F.col("cigar"), F.col("seq")))
     p = p.withColumn("mapped_fraction", S.aligned_query_length(F.col("cigar")) / F.col("read_len")).withColumn("softclip_fraction", S.softclip_length(F.col("cigar")) / F.col("read_len"))
     iv = p.withColumnsRenamed({"tname": "ref", "ref_start": "st", "ref_end": "en"})
-    base = baselines(window_means(iv, contigs, options.window, options.step)).select("ref", (F.col("baseline") * options.coverage_ratio).alias("threshold"))
-    return outcomes(local_coverage(iv).join(base, "ref", "left"), options)
+    base = baselines(window_means(iv.where("counted"), contigs, options.window, options.step)).select("ref", (F.col("baseline") * options.coverage_ratio).alias("threshold"))
+    return outcomes(local_coverage(iv).where(without(SUPPLEMENTARY)).join(base, "ref", "left"), options)
 
 
 def read_verdicts(judged: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import seq as S
 from ..functions.align import align
 from ..plans.options import GraphOptions
+from ..storage import keep
 
 NODE = "struct<seg:string,orient:string>"
 
@@ -22,9 +23,10 @@ def oriented_terminals(segments: DataFrame, window: int) -> DataFrame:
 
 
 def self_terminals(segments: DataFrame, window: int = 500) -> DataFrame:
-    """The tail of every oriented segment against its own head, best first."""
+    """The tail of every oriented segment against its own head, best score first."""
     hits = align(oriented_terminals(segments, window).select("seg", "orient", "length", F.col("tail").alias("query"), F.col("head").alias("target")))
-    return hits.select("seg", "orient", "length", F.round("identity", 2).alias("identity"), "overlap", (F.round("identity", 2) * F.col("overlap")).alias("score"))
+    rows = hits.select("seg", "orient", "length", F.round("identity", 2).alias("identity"), "overlap", (F.round("identity", 2) * F.col("overlap")).alias("score"))
+    return rows.orderBy(F.desc("score"), F.desc("identity"), F.desc("overlap"), "seg", "orient")
 
 
 def circular(hits: DataFrame, min_identity: float = 75.0, min_overlap: int = 100, window: int | None = None) -> DataFrame:
@@ -73,25 +75,28 @@ def _node(seg: str, orient: str) -> Column:
 def walks(edges: DataFrame, max_depth: int, longest: float | None = None) -> tuple[DataFrame, DataFrame]:
     """(walks, closures) from every node with edges: walks visit a segment once, closures return to their oriented start.
 
-    Columns: nodes, total_len, depth, sum_identity, min_identity, total_overlap, score. One join a
-    step, max_depth steps, all in one plan; walks beyond `longest` end. Edges carry a bounded
-    fan-out, so growth is bounded by it.
+    Columns: nodes, total_len, depth, sum_identity, min_identity, total_overlap, score. Each step is
+    one join, whose result is written to shared storage, so no step is planned or run again for
+    the next; walks beyond `longest` end. Edges carry a bounded fan-out, so growth is bounded by it.
     """
-    e = edges.select(_node("src_seg", "src_orient").alias("src"), _node("dst_seg", "dst_orient").alias("dst"), "identity", "overlap", "score", "src_len", "dst_len")
+    e = keep(edges.select(_node("src_seg", "src_orient").alias("src"), _node("dst_seg", "dst_orient").alias("dst"), "identity", "overlap", F.col("score").alias("e_score"), "src_len", "dst_len"), "edges")
     first = e.groupBy("src").agg(F.max("src_len").alias("len"))
     front = first.select(F.array("src").alias("nodes"), F.col("len").cast("long").alias("total_len"), F.lit(0).alias("depth"), F.lit(0.0).alias("sum_identity"), F.lit(None).cast("double").alias("min_identity"), F.lit(0).cast("long").alias("total_overlap"), F.lit(0.0).alias("score"))
     found, closed = [], []
     for step in range(max_depth):
-        grown = front.join(e.withColumnRenamed("score", "e_score"), F.element_at("nodes", -1) == F.col("src"))
+        grown = front.join(e, F.element_at("nodes", -1) == F.col("src"))
+        closes = (F.col("dst") == F.col("nodes")[0]) & F.lit(step > 0)
+        total = F.col("total_len") - F.col("overlap") + F.when(closes, 0).otherwise(F.col("dst_len"))
+        fits = F.lit(True) if longest is None else total <= longest
+        grown = grown.where(closes | (~F.exists("nodes", lambda x: x["seg"] == F.col("dst.seg")) & fits))
         rest = [(F.col("depth") + 1).alias("depth"), (F.col("sum_identity") + F.col("identity")).alias("sum_identity"), F.coalesce(F.least("min_identity", "identity"), "identity").alias("min_identity"), (F.col("total_overlap") + F.col("overlap")).alias("total_overlap"), (F.col("score") + F.col("e_score")).alias("score")]
-        nodes = F.concat("nodes", F.array("dst")).alias("nodes")
-        if step:
-            closed.append(grown.where(F.col("dst") == F.col("nodes")[0]).select(nodes, (F.col("total_len") - F.col("overlap")).alias("total_len"), *rest))
-        front = grown.where(~F.exists("nodes", lambda x: x["seg"] == F.col("dst.seg"))).select(nodes, (F.col("total_len") + F.col("dst_len") - F.col("overlap")).alias("total_len"), *rest)
-        if longest is not None:
-            front = front.where(F.col("total_len") <= longest)
+        grown = keep(grown.select(closes.alias("closes"), F.concat("nodes", F.array("dst")).alias("nodes"), total.alias("total_len"), *rest), "walks")
+        front = grown.where("NOT closes").drop("closes")
         found.append(front)
-    return reduce(DataFrame.union, found), reduce(DataFrame.union, closed) if closed else found[0].limit(0)
+        closed.append(grown.where("closes").drop("closes"))
+        if front.isEmpty():
+            break
+    return reduce(DataFrame.union, found), reduce(DataFrame.union, closed)
 
 
 def _finished(paths: DataFrame, kind: str) -> DataFrame:
@@ -126,10 +131,11 @@ def any_cycles(edges: DataFrame, options: GraphOptions = GraphOptions()) -> Data
     return _finished(distinct_cycles(closed), "cycle_any").orderBy(F.desc("mean_identity"), F.desc("score"), "total_len", F.col("nodes").asc()).limit(options.max_any)
 
 
-def fasta_choice(any_size: DataFrame, cycles: DataFrame, linear: DataFrame, top: int) -> DataFrame:
-    """The top paths to write: cycles of any size first, then sized cycles, then linear paths."""
+def fasta_choice(any_size: DataFrame, cycles: DataFrame, linear: DataFrame, top: int, expected: int = 494_000) -> DataFrame:
+    """The top paths to write: cycles of any size by identity, then sized cycles and then linear paths, each nearest to the expected size first."""
+    far, total = (F.when(F.col("source") == 0, 0).otherwise(F.abs(F.col("total_len") - expected)), F.when(F.col("source") == 0, F.col("total_len")).otherwise(0))
     ranked = [p.withColumn("source", F.lit(i)) for i, p in enumerate((any_size, cycles, linear))]
-    return reduce(DataFrame.unionByName, ranked).orderBy("source", F.desc("mean_identity"), F.desc("score"), "total_len", F.col("nodes").asc()).limit(top)
+    return reduce(DataFrame.unionByName, ranked).orderBy("source", far, F.desc("mean_identity"), F.desc("score"), total, F.col("nodes").asc()).limit(top)
 
 
 def cycle_membership(cycles: DataFrame) -> DataFrame:
@@ -162,8 +168,9 @@ def contig_support(segments: DataFrame, hits: DataFrame, edges: DataFrame, cycle
     return out.select(F.col("seg").alias("contig"), yes(count > 0).alias("cycle_possible"), yes(meets).alias("self_terminal_possible"), "len", F.coalesce("h.overlap", F.lit(0)).alias("self_ovlp"), F.coalesce("h.identity", F.lit(0.0)).alias("self_id"), F.coalesce("edge_degree", F.lit(0)).alias("edge_degree"), count.alias("cycle_count"))
 
 
-#: The four orientations of a join: ends, label and note.
-ORIENTATIONS = (("tail", "head", "+/+", "direct"), ("tail_rc", "head", "-/+", "first reversed"), ("tail", "head_rc", "+/-", "second reversed"), ("tail_rc", "head_rc", "-/-", "both reversed"))
+#: The four orientations of a join: either end of either segment may be reversed.
+_NOTES = {(False, False): "direct", (True, False): "first reversed", (False, True): "second reversed", (True, True): "both reversed"}
+ORIENTATIONS = tuple((f"tail{'_rc' * a}", f"head{'_rc' * b}", f"{'+-'[a]}/{'+-'[b]}", _NOTES[a, b]) for a in (False, True) for b in (False, True))
 
 
 def join_terminals(segments: DataFrame, window: int = 500) -> DataFrame:
@@ -187,15 +194,27 @@ def candidate_joins(segments: DataFrame, window: int = 500, min_identity: float
     return hits.select("seg_a", "end_a", "seg_b", "end_b", "orientation", F.round("identity", 2).alias("identity_pct"), F.col("overlap").alias("overlap_bp"), (F.col("len_a") + F.col("len_b") - F.col("overlap")).alias("combined_len_bp"), "note").orderBy(F.desc("identity_pct"))
 
 
-def circular_joins(joins: DataFrame, segments: DataFrame, expected: float = 494000, tolerance: float = 0.20, max_depth: int = 8) -> DataFrame:
-    """Rings of '+/+' joins whose segments' lengths fit the expected size; every rotation is its own row. Rings of up to max_depth segments."""
-    lens = segments.select("name", F.length("seq").alias("length"))
-    e = joins.where("orientation = '+/+'").select("seg_a", "seg_b").distinct().join(lens.select(F.col("name").alias("seg_b"), F.col("length").alias("b_len")), "seg_b")
-    front = e.select("seg_a").distinct().join(lens.select(F.col("name").alias("seg_a"), "length"), "seg_a").select(F.array("seg_a").alias("path"), F.col("length").cast("long").alias("total"))
+def circular_joins(joins: DataFrame, segments: DataFrame, expected: float = 494000, tolerance: float = 0.20) -> DataFrame:
+    """Rings of '+/+' joins whose size fits the expected one; every rotation is its own row: path, total, size.
+
+    size is the sum of the segments' lengths without their overlaps, the closing one included, and
+    is what is tested; total is the plain sum of lengths. An open path ends where its size, without
+    the closing overlap, grows beyond the window, or where it comes back to one of its segments;
+    rings may have any number of segments.
+    Each step is one join, written to shared storage.
+    """
+    lo, hi = expected * (1 - tolerance), expected * (1 + tolerance)
+    lens = segments.select("name", F.length("seq").cast("long").alias("length"))
+    e = joins.where("orientation = '+/+'").select("seg_a", "seg_b", "overlap_bp").join(lens.select(F.col("name").alias("seg_b"), F.col("length").alias("b_len")), "seg_b")
+    e = keep(e.select(F.col("seg_a").alias("src"), F.col("seg_b").alias("dst"), F.col("overlap_bp").alias("ov"), "b_len"), "ring-edges")
+    front = e.select("src").distinct().join(lens, F.col("src") == F.col("name")).select(F.array("src").alias("path"), F.col("length").alias("total"), F.col("length").alias("size"))
     rings = []
-    for step in range(max_depth):
-        grown = front.join(e, F.element_at("path", -1) == F.col("seg_a"))
-        if step:
-            rings.append(grown.where((F.col("seg_b") == F.col("path")[0]) & F.col("total").between(expected * (1 - tolerance), expected * (1 + tolerance))).select("path", "total"))
-        front = grown.where(~F.array_contains("path", F.col("seg_b"))).select(F.concat("path", F.array("seg_b")).alias("path"), (F.col("total") + F.col("b_len")).alias("total")).where(F.col("total") <= expected * (1 + tolerance))
-    return reduce(DataFrame.union, rings)
+    while True:
+        closes = F.col("dst") == F.col("path")[0]
+        size = F.col("size") - F.col("ov") + F.when(closes, 0).otherwise(F.col("b_len"))
+        grown = front.join(e, F.element_at("path", -1) == F.col("src")).where((closes & size.between(lo, hi)) | (~F.array_contains("path", F.col("dst")) & (size <= hi)))
+        grown = keep(grown.select(closes.alias("closes"), F.when(closes, F.col("path")).otherwise(F.concat("path", F.array("dst"))).alias("path"), (F.col("total") + F.when(closes, 0).otherwise(F.col("b_len"))).alias("total"), size.alias("size")), "rings")
+        rings.append(grown.where("closes").drop("closes"))
+        front = grown.where("NOT closes").drop("closes")
+        if front.isEmpty():
+            return reduce(DataFrame.union, rings)

@@ -168,7 +168,7 @@ def coverage_baseline(spark, d):
     return C.baselines(means).join(F.broadcast(C.global_baseline(means).withColumnRenamed("baseline", "all_baseline")))
 
 
-LOCAL_SQL = f"{MEANS_SQL}, base AS (SELECT ref, median(mean_cov) * 0.95 AS threshold FROM means GROUP BY ref), e AS (SELECT ref, st AS pos, 1 AS d FROM iv UNION ALL SELECT ref, en, -1 FROM iv), s AS (SELECT ref, pos, sum(d) AS d FROM e GROUP BY ref, pos), cu AS (SELECT ref, pos, pos * sum(d) OVER w - sum(pos * d) OVER w AS below FROM s WINDOW w AS (PARTITION BY ref ORDER BY pos)), loc AS (SELECT iv.*, (h.below - l.below) / CAST(iv.en - iv.st AS DOUBLE) AS local_cov FROM iv JOIN cu l ON l.ref = iv.ref AND l.pos = iv.st JOIN cu h ON h.ref = iv.ref AND h.pos = iv.en)"
+LOCAL_SQL = f"{MEANS_SQL}, base AS MATERIALIZED (SELECT ref, median(mean_cov) * 0.95 AS threshold FROM means GROUP BY ref), e AS (SELECT ref, st AS pos, 1 AS d FROM iv UNION ALL SELECT ref, en, -1 FROM iv), s AS (SELECT ref, pos, sum(d) AS d FROM e GROUP BY ref, pos), cu AS MATERIALIZED (SELECT ref, pos, CAST(pos * sum(d) OVER w - sum(pos * d) OVER w AS BIGINT) AS below FROM s WINDOW w AS (PARTITION BY ref ORDER BY pos)), loc AS MATERIALIZED (SELECT iv.*, (h.below - l.below) / CAST(iv.en - iv.st AS DOUBLE) AS local_cov FROM iv JOIN cu l ON l.ref = iv.ref AND l.pos = iv.st JOIN cu h ON h.ref = iv.ref AND h.pos = iv.en)"
 
 
 @query(f"WITH {LOCAL_SQL} SELECT loc.name, loc.ref, local_cov FROM loc JOIN base USING (ref) WHERE local_cov < threshold")
@@ -201,6 +201,22 @@ def revcomp_terminals(spark, d):
     return dna(spark, d).select("name", F.length("seq").cast("long").alias("length"), S.head(F.col("seq"), 50).alias("head"), S.tail(F.col("seq"), 50).alias("tail"), S.revcomp(S.head(F.col("seq"), 50)).alias("head_rc"))
 
 
+FLAGS = (0, 16, 2048, 256, 4, 1024, 0)
+READS_SQL = f"rd AS (SELECT l_orderkey AS qname, CASE l_linenumber {' '.join(f'WHEN {k + 1} THEN {f}' for k, f in enumerate(FLAGS))} END AS flag, l_returnflag || l_linestatus AS ref, (l_partkey * 7919) % 40000 AS st, (l_partkey * 7919) % 40000 + CAST(l_quantity AS BIGINT) * 40 AS en, (l_suppkey * 31) % 60 AS mapq, CAST(l_quantity AS BIGINT) * 40 AS m, CAST(l_tax * 100 AS BIGINT) * 60 AS s FROM lineitem), contigs AS (SELECT DISTINCT ref AS name, CAST(42000 AS BIGINT) AS length FROM rd)"
+CLASSIFY_SQL = f"WITH {READS_SQL}, iv AS (SELECT * FROM rd WHERE flag NOT IN (4, 256, 1024))" + MEANS_SQL[MEANS_SQL.index(", g AS (") :] + ", base AS MATERIALIZED (SELECT ref, median(mean_cov) * 0.97 AS threshold FROM means GROUP BY ref), e AS (SELECT ref, st AS pos, CASE flag WHEN 1024 THEN 0 ELSE 1 END AS d FROM rd WHERE flag NOT IN (4, 256) UNION ALL SELECT ref, en, CASE flag WHEN 1024 THEN 0 ELSE -1 END FROM rd WHERE flag NOT IN (4, 256)), ss AS (SELECT ref, pos, sum(d) AS d FROM e GROUP BY ref, pos), cu AS MATERIALIZED (SELECT ref, pos, CAST(pos * sum(d) OVER w - sum(pos * d) OVER w AS BIGINT) AS below FROM ss WINDOW w AS (PARTITION BY ref ORDER BY pos)), j AS (SELECT rd.ref, CASE WHEN mapq < 20 THEN 'failed_mapq' WHEN m / CAST(m + s AS DOUBLE) < 0.8 THEN 'failed_mapped_fraction' WHEN s / CAST(m + s AS DOUBLE) > 0.15 THEN 'failed_softclip' WHEN (h.below - l.below) / CAST(en - st AS DOUBLE) < threshold THEN 'failed_low_coverage' ELSE 'clean' END AS outcome FROM rd JOIN cu l ON l.ref = rd.ref AND l.pos = rd.st JOIN cu h ON h.ref = rd.ref AND h.pos = rd.en JOIN base ON base.ref = rd.ref WHERE flag NOT IN (4, 256, 2048))"
+
+
+@query(CLASSIFY_SQL + " SELECT ref, outcome, count(*) AS n FROM j GROUP BY ref, outcome")
+def classify_reads(spark, d):
+    """The whole classifier over lines as alignments of all kinds of flags."""
+    li = _t(spark, d, "lineitem")
+    flag = F.get(F.array(*[F.lit(f) for f in FLAGS]), F.col("l_linenumber") - 1)
+    m, clip, start = F.col("l_quantity").cast("long") * 40, (F.col("l_tax") * 100).cast("decimal(10,0)").cast("long") * 60, (F.col("l_partkey") * 7919) % 40000
+    rows = li.select(F.col("l_orderkey").alias("qname"), flag.alias("flag"), F.concat("l_returnflag", "l_linestatus").alias("tname"), start.alias("ref_start"), (start + m).alias("ref_end"), ((F.col("l_suppkey") * 31) % 60).cast("int").alias("mapq"), F.concat(F.when(clip > 0, F.concat(clip.cast("string"), F.lit("S"))).otherwise(""), m.cast("string"), F.lit("M")).alias("cigar"), F.lit("").alias("seq"))
+    judged = C.classify(rows, contigs(spark, d), ScrubOptions(min_mapq=20, min_mapped_fraction=0.8, max_softclip_fraction=0.15, coverage_ratio=0.97))
+    return judged.groupBy(F.col("ref"), "outcome").agg(F.count("*").alias("n"))
+
+
 B_DNA = DNA.replace("doc_id", "item_id").replace("documents", "benchmark")
 
 
@@ -289,12 +305,35 @@ def sized_paths(spark, d):
     return open_.where("total_len BETWEEN 4800 AND 7200").select(F.array_join(F.transform("nodes", lambda n: n["seg"]), " ").alias("path"), "total_len", F.round(F.col("sum_identity") / F.col("depth"), 2).alias("mean_identity"), "total_overlap")
 
 
-@query()
+RANKED = WALKS.format(depth=4).replace("AS ov FROM top2 GROUP", "AS ov, CAST(0 AS DOUBLE) AS sc, CAST(1000 AS DOUBLE) AS mn FROM top2 GROUP").replace("w.ov + e.overlap FROM w JOIN top2 e", "w.ov + e.overlap, w.sc + e.score, least(w.mn, e.identity) FROM w JOIN top2 e").replace("w.ov + e.overlap AS ov FROM w JOIN top2 e", "w.ov + e.overlap AS ov, w.sc + e.score AS sc, least(w.mn, e.identity) AS mn FROM w JOIN top2 e")
+RANKED += ", k AS (SELECT *, list_append(body, body[1]) AS nodes, list_min(list_concat(list_transform(range(0, len(body)), lambda i: list_concat(body[i + 1 :], body[: i])), list_transform(range(0, len(body)), lambda i: list_concat(list_reverse(body)[i + 1 :], list_reverse(body)[: i])))) AS key FROM closed), u AS (SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY key ORDER BY sc DESC, nodes) = 1)"
+RANKED += ", f AS (SELECT 'cycle' AS kind, nodes, total_len, round(ids / depth, 2) AS mean_identity, mn AS min_identity, ov AS total_overlap, round(sc, 2) AS score FROM u UNION ALL SELECT 'linear', nodes, total_len, round(ids / depth, 2), mn, ov, round(sc, 2) FROM w WHERE depth > 0)"
+RANKED += ", sized AS (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY abs(total_len - 6000), mean_identity DESC, score DESC, nodes) AS r FROM f WHERE total_len BETWEEN 4800 AND 7200), best AS (SELECT * FROM sized WHERE r <= CASE kind WHEN 'cycle' THEN 30 ELSE 50 END)"
+_AS_TEXT = "array_to_string(list_transform(nodes, lambda x: x || '+'), ' -> ') AS path, CAST(total_len AS BIGINT) AS total_len"
+
+
+@query(RANKED + f" SELECT kind, {_AS_TEXT}, mean_identity, min_identity, CAST(total_overlap AS BIGINT) AS total_overlap, score FROM best")
 def sized_paths_ranked(spark, d):
     cycles, linear = G.sized_paths(top2(spark, d), _SIZED)
     return cycles.unionByName(linear).select("kind", S.path_text(F.col("nodes")).alias("path"), "total_len", "mean_identity", "min_identity", "total_overlap", "score")
 
 
+@query(RANKED + f", c AS (SELECT 0 AS source, *, row_number() OVER (ORDER BY mean_identity DESC, score DESC, total_len, nodes) AS r FROM f WHERE kind = 'cycle' UNION ALL SELECT CASE kind WHEN 'cycle' THEN 1 ELSE 2 END, * FROM best) SELECT CAST(source AS INTEGER) AS source, {_AS_TEXT} FROM c WHERE source > 0 OR r <= 5 ORDER BY source, r LIMIT 20")
+def written_paths(spark, d):
+    """Five cycles of any size first, then sized cycles and linear paths in their own order."""
+    e = top2(spark, d)
+    some = GraphOptions(expected_size=6000, size_tolerance=0.20, max_depth=4, max_any=5)
+    cycles, linear = G.sized_paths(e, some)
+    return G.fasta_choice(G.any_cycles(e, some), cycles, linear, some.fasta_top, some.expected_size).select("source", S.path_text(F.col("nodes")).alias("path"), "total_len")
+
+
+@query(f"WITH RECURSIVE {EDGES}, r AS (SELECT [src_seg] AS path, max(src_len) AS total, max(src_len) AS size FROM top2 GROUP BY src_seg UNION ALL SELECT list_append(r.path, e.dst_seg), r.total + e.dst_len, r.size + e.dst_len - e.overlap FROM r JOIN top2 e ON r.path[len(r.path)] = e.src_seg WHERE NOT list_contains(r.path, e.dst_seg) AND r.size + e.dst_len - e.overlap <= 9600) SELECT array_to_string(r.path, ' ') AS path, CAST(r.total AS BIGINT) AS total, CAST(r.size - e.overlap AS BIGINT) AS size FROM r JOIN top2 e ON r.path[len(r.path)] = e.src_seg AND r.path[1] = e.dst_seg WHERE r.size - e.overlap BETWEEN 6400 AND 9600")
+def circular_joins(spark, d):
+    """Rings of 8000 bases, a fifth more or less, of the graph's edges as joins."""
+    joins = top2(spark, d).select(F.col("src_seg").alias("seg_a"), F.col("dst_seg").alias("seg_b"), F.lit("+/+").alias("orientation"), F.col("overlap").alias("overlap_bp"))
+    return G.circular_joins(joins, _segments(spark, d), 8000, 0.2).select(F.array_join("path", " ").alias("path"), "total", "size")
+
+
 @query(WALKS.format(depth=3) + " SELECT array_to_string(list_transform(nodes, lambda x: x || '+'), ' -> ') AS path, array_to_string(nodes, '__') || '|linear|' || CAST(total_len AS BIGINT) || '|' || printf('%.2f', ids / depth) AS name FROM w WHERE depth > 0")
 def path_names(spark, d):
     open_, _ = G.walks(top2(spark, d), 3)

@@ -59,3 +59,16 @@ def test_streams(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert spark.table("counts_out").count() > 0
+
+
+def test_order_over_files(spark, tmp_path):
+    a, b = put(tmp_path, "a.fa", ">a1\nAC\n>a2\nGG\n"), put(tmp_path, "b.fa", ">b1 x\n" + "ACGT\n" * 500 + ">b2\nT\n")
+    names = lambda df: [r.name for r in df.orderBy("ord").collect()]
+    assert names(R.read_fasta(spark, [a, b])) == ["a1", "a2", "b1", "b2"] == names(R.read_fasta(spark, str(tmp_path / "*.fa")))
+    assert names(R.read_fasta(spark, [b, a])) == ["b1", "b2", "a1", "a2"] and R.contig_count(spark, [a, b]) == 4
+    one, two = put(tmp_path, "1.fq", "@r1\nA\n+\nI\n"), put(tmp_path, "2.fq", "@r2\nA\n+\nI\n@r3\nC\n+\nI\n" * 300)
+    both = R.read_fastq(spark, [one, two])
+    assert both.count() == both.select("ord").distinct().count() == 601 and names(both)[0] == "r1"
+    g1, g2 = put(tmp_path, "a.gfa", "S\ts\tAAAA\n"), put(tmp_path, "b.gfa", "S\ts\tCC\n" + "S\tother\tGG\n" * 300)
+    assert {r.name: r.seq for r in R.read_gfa(spark, [g1, g2]).collect()} == {"s": "CC", "other": "GG"}
+    assert {r.name: r.seq for r in R.read_gfa(spark, [g2, g1]).collect()}["s"] == "AAAA"

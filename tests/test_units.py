@@ -187,9 +187,9 @@ def test_joins_and_rings(spark):
     segs = spark.createDataFrame([(i, n, s) for i, (n, s) in enumerate({"A": "ACGTTGCA", "B": "TGCATCCC", "C": "TCCCACGT"}.items())], "ord long, name string, seq string")
     assert G.join_candidates(segs, 4).count() == 24 and G.join_candidates(segs, 4, compat=True).count() == 12
     joins = G.candidate_joins(segs, 4, 75.0, 4)
-    rings = {tuple(r.path) for r in G.circular_joins(joins, segs, 24, 0.2).collect()}
+    rings = {tuple(r.path) for r in G.circular_joins(joins, segs, 12, 0.4).collect()}
     assert rings == {("A", "B", "C"), ("B", "C", "A"), ("C", "A", "B")}
-    assert G.circular_joins(G.candidate_joins(segs, 4, 75.0, 4, compat=True), segs, 24, 0.2).count() == 0
+    assert G.circular_joins(G.candidate_joins(segs, 4, 75.0, 4, compat=True), segs, 12, 0.4).count() == 0
 
 
 def test_short_self_hit(spark):
@@ -197,3 +197,37 @@ def test_short_self_hit(spark):
     hit = G.circular(G.self_terminals(segs, 500)).first()
     assert (hit.identity, hit.overlap, hit.circular_possible) == (100.0, 200, True)
     assert not G.circular(G.self_terminals(segs, 500), window=500).first().circular_possible
+
+
+def test_rings_lose_their_overlaps(spark):
+    segs = spark.createDataFrame([("A", "A" * 100), ("B", "C" * 100)], "name string, seq string")
+    joins = spark.createDataFrame([("A", "B", "+/+", 40), ("B", "A", "+/+", 40)], "seg_a string, seg_b string, orientation string, overlap_bp long")
+    assert sorted((r.total, r.size) for r in G.circular_joins(joins, segs, 120, 0.4).collect()) == [(200, 120)] * 2
+    # An open path of 160 is beyond 132, so the ring that it would close into is not looked for.
+    assert G.circular_joins(joins, segs, 200, 0.1).count() == 0 and G.circular_joins(joins, segs, 120, 0.1).count() == 0
+    # No limit on the number of segments.
+    many = [f"s{k:02d}" for k in range(14)]
+    ring = spark.createDataFrame([(a, b, "+/+", 10) for a, b in zip(many, many[1:] + many[:1], strict=True)], "seg_a string, seg_b string, orientation string, overlap_bp long")
+    found = G.circular_joins(ring, spark.createDataFrame([(n, "G" * 30) for n in many], "name string, seq string"), 280, 0.1).collect()
+    assert len(found) == 14 and {r.size for r in found} == {280}
+
+
+def test_written_paths_keep_their_ranks(spark):
+    kind = "kind string, nodes array<struct<seg:string,orient:string>>, total_len long, mean_identity double, min_identity double, total_overlap long, score double"
+    row = lambda name, total, identity: ("cycle", [(name, "+")], total, identity, identity, 100, identity)
+    none = spark.createDataFrame([row("any", 77, 80.0)], kind)
+    cycles = spark.createDataFrame([row("near", 1000, 80.0), row("far", 1190, 99.0)], kind)
+    linear = spark.createDataFrame([row("line", 1000, 99.0)], kind)
+    pick = lambda top: [r.nodes[0].seg for r in G.fasta_choice(none, cycles, linear, top, 1000).collect()]
+    assert pick(2) == ["any", "near"] and pick(9) == ["any", "near", "far", "line"]
+
+
+def test_depth_holds_supplementary_alignments(spark):
+    from strandline.operators import coverage as C
+    from strandline.plans.options import ScrubOptions
+
+    row = lambda name, flag, st, en: (name, flag, "c", st, en, 60, f"{en - st}M", "")
+    rows = [row("a", 0, 0, 1000), row("a", 2048, 0, 1000), row("b", 0, 0, 1000), row("x", 1024, 200, 300), row("u", 4, 0, 1000), row("s", 256, 0, 1000)]
+    aln = spark.createDataFrame(rows, "qname string, flag int, tname string, ref_start long, ref_end long, mapq int, cigar string, seq string")
+    got = C.classify(aln, spark.createDataFrame([("c", 1000)], "name string, length long"), ScrubOptions(coverage_ratio=1.0)).collect()
+    assert sorted((r.qname, r.local_cov, r.threshold, r.outcome) for r in got) == [("a", 3.0, 3.0, "clean"), ("b", 3.0, 3.0, "clean"), ("x", 3.0, 3.0, "clean")]
