@@ -14,29 +14,41 @@ from .common import table
 
 #: Fixed values of the rules.
 SYMBOLS = "#*$%&|<>"
-BOILERPLATE = ("all rights reserved", "privacy policy", "terms of use", "terms of service", "cookie policy", "use cookies", "enable javascript", "click here", "subscribe to our", "sign up for", "log in to", "share this", "lorem ipsum")
+BOILERPLATE = (
+    # English
+    "all rights reserved", "privacy policy", "terms of use", "terms of service", "cookie policy", "use cookies", "enable javascript", "click here", "subscribe to our", "sign up for", "log in to", "share this", "lorem ipsum",
+    # German
+    "alle rechte vorbehalten", "datenschutzerklärung", "nutzungsbedingungen", "verwenden cookies", "javascript aktivieren", "hier klicken", "newsletter abonnieren", "jetzt anmelden", "weitersagen",
+    # French
+    "tous droits réservés", "politique de confidentialité", "conditions générales", "utilisons des cookies", "activer javascript", "cliquez ici", "abonnez-vous", "connectez-vous", "mentions légales",
+    # Spanish
+    "todos los derechos reservados", "política de privacidad", "condiciones de uso", "utilizamos cookies", "activar javascript", "haga clic aquí", "suscríbete", "inicia sesión", "aviso legal",
+)
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 WINDOW = 8
-#: A line of MIN_RUN words or more needs a sentence mark; a line with more symbols than one in SYMBOL_EVERY words is markup or navigation; one with more than SHOUT_PERCENT percent of words ending in a doubled mark is shouting.
-MIN_RUN = 40
+#: A line ends in a sentence mark, or it is a menu, a heading or a fragment; one with more symbols than one in SYMBOL_EVERY words, or with more than LINK_PERCENT percent of links, is markup or navigation; one with more than SHOUT_PERCENT percent of words ending in a doubled mark is shouting.
+ENDS = ".!?…:;。！？"
 SYMBOL_EVERY = 10
+LINK_PERCENT = 30
 SHOUT_PERCENT = 30
 MAX_LOST_PERCENT = 50
 
 _BOILER = re.compile("|".join(map(re.escape, BOILERPLATE)))
-_MARK = re.compile(r"[.!?;:,…。！？]")
+_END = rf"[{ENDS}][\"')\]»”’]*[\x20\x09-\x0D]*$"
+_MARK = re.compile(_END)
+_LINK = re.compile(r"https?://|www\.")
 _SHOUT = re.compile(r"[!?]{2,}")
 
 
 def line_fails(line: str, n_words: int) -> bool:
-    """The rules of one line with a word: navigation and markup symbols, shouting, boilerplate, missing punctuation."""
+    """The rules of one line with a word: navigation and markup symbols, links, shouting, no sentence mark at its end, boilerplate."""
     symbols = sum(map(line.count, SYMBOLS))
     if symbols * SYMBOL_EVERY > n_words:
         return True
     if ("!!" in line or "??" in line or "!?" in line or "?!" in line) and len(_SHOUT.findall(line)) * 100 > SHOUT_PERCENT * n_words:
         return True
-    if n_words >= MIN_RUN and not _MARK.search(line):
+    if not _MARK.search(line[-200:]) or (("http" in line or "www." in line) and len(_LINK.findall(line)) * 100 > LINK_PERCENT * n_words):
         return True
     return bool(_BOILER.search(line.lower()))
 
@@ -115,7 +127,8 @@ def quality_rules(docs: DataFrame, *, text: str = "text", carry: list[str] | Non
 
     Returns the columns in carry (all columns by default, unchanged) and the figures in _DDL; with
     clean, also the text without the failed lines. A line fails for navigation or markup symbols,
-    shouting, boilerplate, missing punctuation or equality to an earlier line of its document. A
+    links, shouting, boilerplate in one of four languages, a missing sentence mark at its end or
+    equality to an earlier line of its document. A
     document stays if the base rules pass and at most MAX_LOST_PERCENT percent of the characters
     of its lines failed. Null and empty texts have no words and fail; repeated rows are judged
     alike; an empty table gives an empty result. A column of docs whose name clashes with a figure
@@ -128,13 +141,15 @@ def quality_rules(docs: DataFrame, *, text: str = "text", carry: list[str] | Non
     out_ddl = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1]] + [_DDL] + ([f"`{clean}` string"] if clean else []))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [judge(t) for t in batch.column(batch.num_columns - 1).to_pylist()]
-            cols = list(batch.columns[:-1])
-            cols += [pa.array([r[k] for r in rows], kind) for k, (_, kind) in enumerate(_FIELDS)]
-            if clean:
-                cols.append(pa.array([r[-1] for r in rows], pa.string()))
-            yield pa.RecordBatch.from_arrays(cols, names=[*rest, *names])
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1000):
+                batch = whole.slice(at, 1000)
+                rows = [judge(t) for t in batch.column(batch.num_columns - 1).to_pylist()]
+                cols = list(batch.columns[:-1])
+                cols += [pa.array([r[k] for r in rows], kind) for k, (_, kind) in enumerate(_FIELDS)]
+                if clean:
+                    cols.append(pa.array([r[-1] for r in rows], pa.string()))
+                yield pa.RecordBatch.from_arrays(cols, names=[*rest, *names])
 
     return source.mapInArrow(run, out_ddl)
 
@@ -148,6 +163,7 @@ _LINES = "string_split(coalesce(text, ''), chr(10))"
 _ALNUM = f"[^{SYMBOLS}]"
 _W = r"[^\x20\x09-\x0D]+"
 _BOILER_SQL = "|".join(BOILERPLATE)
+_END_SQL = _END.replace("'", "''")
 ORACLE_SQL = rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT doc_id, t, regexp_extract_all(t, '{_W}') AS ws FROM d),
@@ -158,7 +174,7 @@ cov AS (SELECT doc_id, max(twice) OVER (PARTITION BY doc_id ORDER BY i ROWS BETW
 rep AS (SELECT doc_id, sum(c) AS n FROM cov GROUP BY doc_id),
 ls AS (SELECT doc_id, unnest({_LINES.replace("text", "t")}) AS l, generate_subscripts({_LINES.replace("text", "t")}, 1) AS k FROM d),
 lw AS (SELECT doc_id, k, l, length(l) AS size, len(regexp_extract_all(l, '{_W}')) AS n, row_number() OVER (PARTITION BY doc_id, l ORDER BY k) > 1 AS again, length(l) - length(regexp_replace(l, '[{SYMBOLS}]', '', 'g')) AS sy, len(regexp_extract_all(l, '[!?]{{2,}}')) AS sh FROM ls),
-lf AS (SELECT *, again OR sy * {SYMBOL_EVERY} > n OR sh * 100 > {SHOUT_PERCENT} * n OR (n >= {MIN_RUN} AND NOT regexp_matches(l, '[.!?;:,…。！？]')) OR regexp_matches(lower(l), '{_BOILER_SQL}') AS bad FROM lw WHERE n > 0),
+lf AS (SELECT *, again OR sy * {SYMBOL_EVERY} > n OR sh * 100 > {SHOUT_PERCENT} * n OR NOT regexp_matches(right(l, 200), '{_END_SQL}') OR len(regexp_extract_all(l, 'https?://|www\.')) * 100 > {LINK_PERCENT} * n OR regexp_matches(lower(l), '{_BOILER_SQL}') AS bad FROM lw WHERE n > 0),
 la AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE again) AS n_dup, count(*) FILTER (WHERE bad) AS n_bad, coalesce(sum(size) FILTER (WHERE bad), 0) AS lost, sum(size) AS whole FROM lf GROUP BY doc_id),
 b AS (SELECT doc_id, len(ws) AS n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS word_chars, length(t) - length(regexp_replace(t, '[{SYMBOLS}]', '', 'g')) AS n_symbols FROM w),
 j AS (SELECT b.*, coalesce(n, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines, coalesce(n_dup, 0) AS n_dup_lines, coalesce(n_bad, 0) AS n_failed_lines, coalesce(lost, 0) AS lost_chars, coalesce(whole, 0) AS whole FROM b LEFT JOIN rep USING (doc_id) LEFT JOIN la USING (doc_id)),
