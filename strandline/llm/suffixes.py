@@ -1,7 +1,7 @@
 """Exact substring dedup: bytes under any string of WIDTH bytes that starts anywhere else are removed.
 
-Sorting every suffix by the difference-cover recursion is out of reach of the check tool's limits
-(see the README for figures). What is kept of it is its core: a sample of positions such that equal
+Sorting every suffix by the difference-cover recursion costs more than the job may (see the README
+for figures). What is kept of it is its core: a sample of positions such that equal
 strings hold it at equal offsets, names for what surrounds a sampled position, and a comparison of
 adjacent sorted strings for the rest. The sample here follows the content instead of position
 modulo 3, so one round of naming settles every string and nothing is left to recurse on.
@@ -163,14 +163,15 @@ def repeated_runs(docs: DataFrame, group: int = GROUP) -> DataFrame:
     """Runs (doc_id, tkey, a, z) that cover the bytes of docs(doc_id, tkey, text) under repeated strings; runs may overlap."""
     rows = anchor_rows(docs)
     half = F.conv(F.substring(F.hex("name"), 1, 15), 16, 10).cast("long")
-    grams = rows.groupBy("gram").agg(F.count("*").alias("c"), F.min(half).alias("lo"), F.max(half).alias("hi")).where("c > 1").select("gram", (F.col("lo") != F.col("hi")).alias("several"))
+    # Aggregates are written before they meet the rows: a join of two plain exchanges is split where a key is hot.
+    grams = keep(rows.groupBy("gram").agg(F.count("*").alias("c"), F.min(half).alias("lo"), F.max(half).alias("hi")).where("c > 1").select("gram", (F.col("lo") != F.col("hi")).alias("several")), "grams")
     met = keep(rows.join(grams, "gram"), "anchors")
     span = [F.col("first").alias("a"), (F.col("last") + WIDTH).alias("z")]
     alike = met.where("NOT several").select("doc_id", "tkey", *span)
     several = met.where("several")
-    named = several.groupBy("gram", "name").agg(F.count("*").alias("c"), F.min(F.struct("doc_id", "tkey", "first", "last")).alias("one"))
+    named = keep(several.groupBy("gram", "name").agg(F.count("*").alias("c"), F.min(F.struct("doc_id", "tkey", "first", "last")).alias("one")), "named")
     whole = several.join(named.where("c > 1").select("gram", "name"), ["gram", "name"]).select("doc_id", "tkey", *span)
-    sizes = named.groupBy("gram").agg(F.count("*").alias("names"))
+    sizes = keep(named.groupBy("gram").agg(F.count("*").alias("names")), "name-counts")
     wanted = named.join(sizes, "gram").select("gram", "one.doc_id", "one.tkey", "one.first", "one.last", (F.col("c") == 1).alias("single"), (F.col("names") > group).alias("large"))
     around = keep(_surroundings(docs, wanted), "around")
     edges = _adjacent(around.where("NOT large")).union(_exploded(around.where("large")))
