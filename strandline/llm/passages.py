@@ -49,8 +49,8 @@ def chunk_rows(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "digest binary, doc_id long, tkey long, start int, n int")
 
 
-def _runs(parts: list[dict] | None, later_only: bool) -> list[tuple[int, int]]:
-    """Maximal runs of touching chunks of MIN_RUN bytes or more."""
+def _runs(parts: list[dict] | None, later_only: bool, size: int, least: int) -> list[tuple[int, int]]:
+    """Maximal runs of touching chunks of `least` bytes or more, or over the whole text of `size` bytes."""
     out: list[list[int]] = []
     for p in sorted(parts or (), key=lambda p: p["start"]):
         if later_only and not p["later"]:
@@ -59,19 +59,21 @@ def _runs(parts: list[dict] | None, later_only: bool) -> list[tuple[int, int]]:
             out[-1][1] += p["n"]
         else:
             out.append([p["start"], p["start"] + p["n"]])
-    return [(a, z) for a, z in out if z - a >= MIN_RUN]
+    return [(a, z) for a, z in out if z - a >= least or (a, z) == (0, size)]
 
 
-def chunk_dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def chunk_dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", least: int = MIN_RUN) -> DataFrame:
     """Remove passages that an earlier document, or an earlier part of the same one, already holds.
 
     Returns doc_id, n_bytes, n_repeated (bytes in passages that occur twice or more, the first
     copy included), n_removed, n_spans and kept, the text that is left; one row for each row of
     docs. Earlier means a smaller (doc_id, digest of the text, offset); null ids come first. A
-    passage is a run of MIN_RUN bytes or more of adjacent chunks whose digests occur elsewhere;
+    passage is a run of `least` bytes or more of adjacent chunks whose digests occur elsewhere, or a
+    whole text of such chunks, however short;
     chunk borders follow the content, so insertions shift nothing. Cuts fall between characters.
     Null texts count as empty and lose nothing; rows equal in doc_id and text are one document;
-    other columns are ignored.
+    doc_id is read as a long; an empty table gives an empty result; other columns are ignored,
+    whatever their names.
 
     Digests are counted with a combining aggregate, so a digest that a third of the documents
     share is one row a task; they meet their chunks again in a join that adaptive execution
@@ -86,19 +88,21 @@ def chunk_dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text")
     joined = source.join(by_doc, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tkey") == F.col("k")), "left").select("doc_id", "text", "parts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = []
-            for t, parts in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                data = t.encode()
-                cut = _runs(parts, True)
-                left, at = [], 0
-                for a, z in cut:
-                    left.append(data[at:a])
-                    at = z
-                left.append(data[at:])
-                out.append((len(data), sum(z - a for a, z in _runs(parts, False)), sum(z - a for a, z in cut), len(cut), b"".join(left).decode()))
-            cols = list(zip(*out, strict=True)) or [[]] * 5
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, pa.int64()) for c in cols[:4]), pa.array(cols[4], pa.string())], names=["doc_id", "n_bytes", "n_repeated", "n_removed", "n_spans", "kept"])
+        for whole in batches:
+            for begin in range(0, whole.num_rows, 500):
+                b = whole.slice(begin, 500)
+                out = []
+                for t, parts in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+                    data = t.encode()
+                    cut = _runs(parts, True, len(data), least)
+                    left, at = [], 0
+                    for a, z in cut:
+                        left.append(data[at:a])
+                        at = z
+                    left.append(data[at:])
+                    out.append((len(data), sum(z - a for a, z in _runs(parts, False, len(data), least)), sum(z - a for a, z in cut), len(cut), b"".join(left).decode()))
+                cols = list(zip(*out, strict=True)) or [[]] * 5
+                yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, pa.int64()) for c in cols[:4]), pa.array(cols[4], pa.string())], names=["doc_id", "n_bytes", "n_repeated", "n_removed", "n_spans", "kept"])
 
     return joined.mapInArrow(run, "doc_id long, n_bytes long, n_repeated long, n_removed long, n_spans long, kept string")
 
@@ -119,7 +123,7 @@ def brute_force(docs: list[tuple], least: int = LEAST, average: int = AVERAGE, m
             parts.append({"start": at, "n": e - at, "later": data[at:e] in first})
             first.setdefault(data[at:e], (i, at))
             at = e
-        gone = _runs(parts, True)
+        gone = _runs(parts, True, len(data), MIN_RUN)
         left = bytearray()
         at = 0
         for a, z in gone:
