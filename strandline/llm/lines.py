@@ -107,11 +107,15 @@ def banded_distance(a: Column, b: Column, edits: int) -> Column:
     return F.aggregate(F.sequence(F.lit(1), n), start, step)["d"]
 
 
-def _bag(line: Column, letters: str = BAG) -> Column:
-    """How often a line has each of sixteen letters, modulo 16, four bits a letter."""
-    size = F.octet_length(line)
-    counts = [(F.floor((size - F.octet_length(F.replace(line, F.lit(c), F.lit("")))) / len(c.encode())) % 16).cast("long") if ord(c) > 127 else ((size - F.octet_length(F.replace(line, F.lit(c), F.lit("")))) % 16).cast("long") for c in letters]
-    return reduce(lambda x, y: x.bitwiseOR(y), [F.shiftleft(c, 4 * k) for k, c in enumerate(counts)])
+def with_bag(rows: DataFrame, name: str, letters: str = BAG) -> DataFrame:
+    """rows with how often line has each of sixteen letters, modulo 16, four bits a letter. Each letter is taken out of what the last one left, so lines shrink on the way."""
+    out, counts, last = rows, [], "line"
+    for k, c in enumerate(letters):
+        out = out.withColumn(f"__left{k}", F.replace(F.col(last), F.lit(c), F.lit("")))
+        gone = F.octet_length(last) - F.octet_length(f"__left{k}")
+        counts.append(F.shiftleft(((gone if len(c.encode()) == 1 else F.floor(gone / len(c.encode()))) % 16).cast("long"), 4 * k))
+        last = f"__left{k}"
+    return out.withColumn(name, reduce(lambda x, y: x.bitwiseOR(y), counts)).select(*rows.columns, name)
 
 
 def _apart(x: Column, y: Column) -> Column:
@@ -159,9 +163,9 @@ def _core(a: Column, b: Column, body) -> Column:
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Links (a, b, edits) of pairs(x, y) of ids, by the texts(id, lkey, line) they may stand for."""
-    bags = F.struct(_bag(F.col("line")).alias("b"), _bag(F.col("line"), MORE).alias("m"))
-    left = texts.select(F.col("id").alias("x"), F.col("lkey").alias("a"), F.col("line").alias("s"), bags.alias("p"))
-    right = texts.select(F.col("id").alias("y"), F.col("lkey").alias("b"), F.col("line").alias("t"), bags.alias("q"))
+    bagged = with_bag(with_bag(texts.select("id", "lkey", "line"), "b"), "m", MORE).select("id", "lkey", "line", F.struct("b", "m").alias("bags"))
+    left = bagged.toDF("x", "a", "s", "p")
+    right = bagged.toDF("y", "b", "t", "q")
     both = pairs.join(left, "x").join(right, "y").where((F.abs(F.length("s") - F.length("t")) <= EDITS) & (_apart(F.col("p.b"), F.col("q.b")) + _apart(F.col("p.m"), F.col("q.m")) <= 2 * EDITS))
     first = F.length("s") <= F.length("t")
     ordered = both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(first, F.col("s")).otherwise(F.col("t")).alias("u"), F.when(first, F.col("t")).otherwise(F.col("s")).alias("v"))
@@ -201,8 +205,8 @@ def hashed_lines(rows: DataFrame, least: int = LEAST) -> DataFrame:
     """rows of lines to a row a different line: id, sigs and bag, and for repeated lines lkey and the first place."""
     here = F.struct("doc_id", "tkey", "no")
     # Column by column, so that lengths and classes are computed once.
-    sized = rows.withColumn("n", F.length("line")).withColumn("own", _class(F.col("n"))).withColumn("lower", _class(F.col("n") - EDITS))
-    hashed = sized.select("doc_id", "tkey", "no", "lkey", F.when(F.col("n") >= max(least, 2 * EDITS), signatures(F.col("line"), F.col("own"), F.col("lower"))).alias("sigs"), _bag(F.col("line")).alias("bag"))
+    sized = with_bag(rows, "bag").withColumn("n", F.length("line")).withColumn("own", _class(F.col("n"))).withColumn("lower", _class(F.col("n") - EDITS))
+    hashed = sized.select("doc_id", "tkey", "no", "lkey", F.when(F.col("n") >= max(least, 2 * EDITS), signatures(F.col("line"), F.col("own"), F.col("lower"))).alias("sigs"), "bag")
     lines = hashed.groupBy("lkey").agg(F.first("sigs").alias("sigs"), F.first("bag").alias("bag"), F.min(here).alias("first"), F.max(here).alias("last"))
     again = F.col("first") != F.col("last")
     return keep(lines.select(_id(F.col("lkey")).alias("id"), "sigs", "bag", F.when(again, F.col("lkey")).alias("lkey"), F.when(again, F.col("first")).alias("first")), "lines")
