@@ -51,8 +51,9 @@ def best_hit(aln: DataFrame) -> DataFrame:
 
 
 def preset_grid(aln: DataFrame, presets: DataFrame) -> DataFrame:
-    """Passed alignments and reads for every preset and chromosome, in one pass; presets are a dozen rows."""
-    least = aln.where("aln_len > 0")
+    """Passed alignments and reads for every preset and chromosome, in one pass; presets are a dozen rows, whose least length goes to the scan."""
+    lowest = presets.agg(F.min(F.least("len_a", "len_b"))).first()[0]
+    least = aln.where((F.col("aln_len") > 0) & (F.col("aln_len") >= (lowest or 0)))
     both = least.join(F.broadcast(presets), ((F.col("aln_len") >= F.col("len_a")) & (identity() >= F.col("id_a"))) | ((F.col("aln_len") >= F.col("len_b")) & (identity() >= F.col("id_b"))))
     return both.groupBy("preset", F.col("tname").alias("chrom")).agg(F.count("*").alias("n_passed"), F.count_distinct("qname").alias("n_reads"))
 

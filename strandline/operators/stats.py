@@ -48,8 +48,8 @@ def coverage_badge(cov: Column) -> Column:
 
 
 def assembly_stats(contigs: DataFrame) -> DataFrame:
-    """One row: n_contigs, total_length, longest."""
-    return contigs.agg(F.count("*").alias("n_contigs"), F.coalesce(F.sum("length"), F.lit(0)).alias("total_length"), F.coalesce(F.max("length"), F.lit(0)).alias("longest"))
+    """One row: n_contigs, total_length, longest, and lengths, longest first (one number a contig)."""
+    return contigs.agg(F.reverse(F.sort_array(F.collect_list("length"))).alias("lengths"), F.count("*").alias("n_contigs"), F.coalesce(F.sum("length"), F.lit(0)).alias("total_length"), F.coalesce(F.max("length"), F.lit(0)).alias("longest"))
 
 
 def weighted_coverage(cov: DataFrame) -> DataFrame:

@@ -17,7 +17,9 @@ from ..operators import downsample as D
 from ..operators import graph as G
 from ..operators import pools as P
 from ..operators import stats as T
-from .options import PRESETS, GraphOptions, PoolOptions, ScrubOptions, presets
+from ..storage import keep
+from .options import PRESETS, DownsampleOptions, GraphOptions, PoolOptions, ScrubOptions, presets
+from .run import downsample_stats
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -138,11 +140,19 @@ def spanning_reads(spark, d):
 @query(f"WITH {FILL_SQL}, s AS (SELECT DISTINCT name FROM iv WHERE CAST(en - st AS DOUBLE) / 42000 >= {SPAN}), u AS (SELECT name FROM kept UNION SELECT name FROM s), o AS (SELECT name FROM s EXCEPT SELECT name FROM kept) SELECT c.name AS ref, coalesce((SELECT sum(en - st) FROM iv WHERE iv.ref = c.name AND iv.name IN (SELECT name FROM u)), 0) / CAST(42000 AS DOUBLE) AS coverage, (SELECT count(*) FROM o) AS spanning_only FROM contigs c")
 def achieved_coverage(spark, d):
     reads, cs = iv(spark, d), contigs(spark, d)
-    fill, span = D.fill_bins(reads, cs, TARGET, BIN), D.spanning(reads, cs, SPAN).select("name").distinct()
+    fill, span = keep(D.fill_bins(reads, cs, TARGET, BIN), "fill"), D.spanning(reads, cs, SPAN).select("name").distinct()
     only = span.join(fill, "name", "left_anti").agg(F.count("*").alias("spanning_only"))
     return D.achieved(reads, fill.union(span).distinct(), cs).join(F.broadcast(only))
 
 
+@query(f"WITH {FILL_SQL}, s AS (SELECT DISTINCT ref, name FROM iv WHERE CAST(en - st AS DOUBLE) / 42000 >= {SPAN}) SELECT ref AS chrom, count(*) AS input_alignments, count(DISTINCT name) FILTER (WHERE (ref, name) IN (SELECT (ref, name) FROM s)) AS spanning_reads, count(DISTINCT name) FILTER (WHERE name IN (SELECT name FROM kept)) AS selected_reads, CAST({TARGET} AS INTEGER) AS target_coverage, round(coalesce(sum(en - st) FILTER (WHERE name IN (SELECT name FROM kept)), 0) / CAST(42000 AS DOUBLE), 6) AS coverage FROM iv GROUP BY ref")
+def downsample_document(spark, d):
+    """The statistics of a downsampling by bins, a row a contig."""
+    reads, cs = iv(spark, d), contigs(spark, d)
+    made = downsample_stats(reads, cs, DownsampleOptions(TARGET, BIN, SPAN), D.fill_bins(reads, cs, TARGET, BIN))
+    return made.select("chrom", "input_alignments", "spanning_reads", "selected_reads", "target_coverage", F.round(F.element_at("achieved_coverage", F.col("chrom")), 6).alias("coverage"))
+
+
 @query()
 def greedy_bins_exact(spark, d):
     reads = iv(spark, d)
@@ -252,6 +262,12 @@ def assembly_status(spark, d):
     return c.groupBy(T.contig_status(F.col("length")).alias("status")).agg(F.count("*").alias("n_contigs"), F.sum("length").alias("total_length"), F.max("length").alias("longest"))
 
 
+@query("WITH c AS (SELECT o_custkey AS name, CAST(sum(floor(o_totalprice / 10)) AS BIGINT) AS length FROM orders GROUP BY 1) SELECT count(*) AS n_contigs, CAST(sum(length) AS BIGINT) AS total_length, max(length) AS longest, md5(string_agg(CAST(length AS VARCHAR), ',' ORDER BY length DESC)) AS lengths_md5 FROM c")
+def assembly_stats(spark, d):
+    c = _t(spark, d, "orders").groupBy(F.col("o_custkey").alias("name")).agg(F.sum(F.floor(F.col("o_totalprice") / 10)).cast("long").alias("length"))
+    return T.assembly_stats(c).select("n_contigs", "total_length", "longest", F.md5(F.array_join(F.transform("lengths", lambda x: x.cast("string")), ",")).alias("lengths_md5"))
+
+
 @query("WITH c AS (SELECT l_suppkey, sum(CAST(l_quantity AS BIGINT)) AS coverage, count(*) AS length FROM lineitem GROUP BY 1) SELECT sum(CAST(coverage AS DOUBLE) * length) / sum(length) AS weighted, avg(CAST(coverage AS DOUBLE)) AS plain FROM c")
 def weighted_coverage(spark, d):
     c = _t(spark, d, "lineitem").groupBy("l_suppkey").agg(F.sum(F.col("l_quantity").cast("long")).cast("double").alias("coverage"), F.count("*").alias("length"))

@@ -50,6 +50,25 @@ class GraphOptions:
     fasta_top: int = 20
 
 
+@dataclass(frozen=True)
+class JoinOptions:
+    window: int = 500
+    min_identity: float = 75.0
+    min_overlap: int = 100
+    expected_size: int = 494000
+    size_tolerance: float = 0.20
+    compat: bool = False
+
+
+@dataclass(frozen=True)
+class RunOptions:
+    """What the steps outside the library are told: threads and the genome size, which only the record keeps."""
+
+    threads: int = 4
+    genome_size: int = 494000
+    assembler: str = "external"
+
+
 #: Named presets (len_a, id_a, len_b, id_b).
 PRESETS = {
     1: (8000, 0.92, 5000, 0.98),

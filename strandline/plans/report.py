@@ -26,10 +26,55 @@ def graph_text(edges: DataFrame, hits: DataFrame, cycles: DataFrame, support: Da
 
 def joins_text(joins: DataFrame, rings: DataFrame) -> str:
     lines = ["candidate joins"] + ["\t".join(map(str, r)) for r in joins.orderBy(F.desc("identity_pct")).limit(JOINS).collect()]
-    lines += ["", "circular paths"] + [f"{r.total}\t{' -> '.join(r.path)}" for r in rings.limit(RINGS).collect()]
+    lines += ["", "circular paths"] + [f"{r.total}\t{' -> '.join(r.path)}" for r in rings.orderBy(F.desc("total"), "path").limit(RINGS).collect()]
     return "\n".join(lines) + "\n"
 
 
+def pad_hist(h: list[int], n: int) -> list[int]:
+    """A histogram of exactly n bins."""
+    return (list(h) + [0] * n)[:n]
+
+
+def thousands(n: float) -> str:
+    return f"{n:,}"
+
+
+def megabases(n: float) -> str:
+    return f"{n / 1e6:.1f} Mb"
+
+
+def kilobases(n: float) -> str:
+    return f"{round(n / 1000, 1)} kb"
+
+
+def stage_bar(stages: list[tuple[str, int]]) -> str:
+    """Reads left after each stage, as bars against the first."""
+    top = max((n for _, n in stages), default=0) or 1
+    rows = [f"<tr><td>{html.escape(k)}</td><td><div class=stage style='background:#9c6;height:1em;width:{300 * n // top}px'></div></td><td>{n:,}</td><td>{100 * n / top:.1f} %</td></tr>" for k, n in stages]
+    return "<h2>Stages</h2><table>" + "".join(rows) + "</table>"
+
+
+def breakdown(parts: dict[str, int]) -> str:
+    """Shares of positive counts, as one divided bar."""
+    some = {k: n for k, n in parts.items() if n > 0}
+    whole = sum(some.values()) or 1
+    return "<h2>Breakdown</h2><div style='display:flex;width:400px'>" + "".join(f"<div class=part title='{html.escape(k)}: {n:,}' style='border:1px solid #fff;background:#c96;height:1em;width:{100 * n / whole:.1f}%'></div>" for k, n in some.items()) + "</div>"
+
+
+def run_report(title: str, raw: dict, scrubbed: dict, final: dict, scrub: dict | None = None, downsample: DataFrame | None = None, contigs: list[tuple[str, int]] | None = None, parameters: dict | None = None) -> str:
+    """The whole report of a run from the figures of its three read sets; downsample has one row a contig."""
+    rows = downsample.collect() if downsample is not None else []
+    cover = [(k, v) for r in rows for k, v in (r.achieved_coverage or {}).items()]
+    lens = {k: v for r in rows for k, v in (r.ref_lengths or {}).items()}
+    weight = sum(lens.get(k, 0) for k, _ in cover)
+    mean = sum(c * lens.get(k, 0) for k, c in cover) / weight if weight else (sum(c for _, c in cover) / len(cover) if cover else None)
+    cards = {"raw reads": raw["count"], "raw bases": megabases(raw["total_bases"]), "N50": kilobases(raw.get("n50", 0)), "removed": max(0, raw["count"] - scrubbed["count"]), "final reads": final["count"], "reduction": f"{round((1 - final['count'] / raw['count']) * 100, 1) if raw['count'] else 0} %", "coverage": "N/A" if mean is None else f"{mean:.1f}x"}
+    bins = raw.get("q_bins", [])
+    bars = list(zip(bins, pad_hist(raw.get("q_histogram", []), len(bins)), strict=True))
+    page = report_html(title, cards, bars, cover, sorted(contigs or []), scrub, parameters)
+    return page + stage_bar([("raw", raw["count"]), ("scrubbed", scrubbed["count"]), ("final", final["count"])]) + breakdown(scrub or {})
+
+
 def report_html(title: str, cards: dict, histogram: list[tuple[str, int]], coverage: list[tuple[str, float]], contigs: list[tuple[str, int]], outcomes: dict[str, int] | None = None, parameters: dict | None = None) -> str:
     """A page of cards, the quality histogram, coverage badges, contig status and outcome counts. Numbers in scripts are plain JSON."""
     e = html.escape
