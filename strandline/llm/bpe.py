@@ -52,6 +52,7 @@ class Encoder:
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
+        self._refuse_unless_byte_level(path)
         size = self.tok.get_vocab_size(with_added_tokens=True)
         added = self.tok.get_added_tokens_decoder()
         byte_of = _byte_of()
@@ -67,6 +68,26 @@ class Encoder:
         self.heads: dict[str, bytes | None] = {}
         self.plain: dict[str, bool] = {}
 
+    def _refuse_unless_byte_level(self, path: str) -> None:
+        """What is cut here, at single spaces between visible characters, must be cut by the tokenizer too, and its tokens must be bytes."""
+        import json
+
+        with open(path, encoding="utf-8") as f:
+            parts = json.load(f)
+        sub = parts.get("pre_tokenizer") or {}
+        kinds = {x.get("type") for x in sub.get("pretokenizers", [sub])}
+        if "ByteLevel" not in kinds or parts.get("normalizer") or (parts.get("model") or {}).get("type") != "BPE":
+            raise ValueError(f"{path} is not a byte-level BPE without a normaliser")
+        probe = "Ab c1 2d ,e f. g'h é ñ"
+        want = [k for k in range(1, len(probe) - 1) if probe[k] == " " and self._plain_space(probe, k)]
+        begins = {a for _, (a, _) in self.tok.pre_tokenizer.pre_tokenize_str(probe)}
+        if not begins.issuperset(want):
+            raise ValueError(f"the pre-tokenizer of {path} does not begin a pre-token at each space between visible characters")
+
+    @staticmethod
+    def _plain_space(text: str, k: int) -> bool:
+        return not text[k - 1].isspace() and not text[k + 1].isspace()
+
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
@@ -194,23 +215,25 @@ def assemble(enc: Encoder, text: str, pieces: list[dict]) -> bytes | None:
 _CHUNK = "key binary, start int, n int, digest binary"
 
 
-def encode_texts(rows: DataFrame, tokenizer: str, digests: bool = False) -> DataFrame:
+def encode_texts(rows: DataFrame, tokenizer: str, digests: bool = False, with_ids: bool = False) -> DataFrame:
     """rows(key binary, text string), equal keys for equal texts, to distinct (key, ids binary, text): ids as little-endian unsigned 32-bit integers.
 
     Chunk digests come from one pass without text in a shuffle. One exchange deals the distinct
     texts out by key and is read twice: for the chunks that occur more than once, each encoded in
     its first text, and for all texts, with the shared chunks' ids given. Only digests and the ids
     of shared chunks move besides. With digests, the ids are decoded again in the same task and
-    (key, n_tokens, ids_sha256, decoded_sha256) returned: a second Python stage would hold a second
+    (key, n_tokens, ids_sha256, decoded_sha256, and ids if asked for) returned: a second Python stage would hold a second
     tokenizer beside the first.
     """
     texts = rows.groupBy("key").agg(F.first("text").alias("text"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [(k, *c) for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) for c in chunks(t.encode(), least=LEAST, average=AVERAGE, most=MOST)]
-            cols = list(zip(*rows, strict=True)) or [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.binary(), pa.int32(), pa.int32(), pa.binary()), strict=True)], names=["key", "start", "n", "digest"])
+            for at in range(0, b.num_rows, 500):
+                part = b.slice(at, 500)
+                rows = [(k, *c) for k, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True) for c in chunks(t.encode(), least=LEAST, average=AVERAGE, most=MOST)]
+                cols = list(zip(*rows, strict=True)) or [[]] * 4
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.binary(), pa.int32(), pa.int32(), pa.binary()), strict=True)], names=["key", "start", "n", "digest"])
 
     found = keep(rows.mapInArrow(cut, _CHUNK).distinct(), "chunks")
     shared = found.groupBy("digest").agg(F.count("*").alias("c"), F.min(F.struct("key", "start", "n")).alias("first")).where("c > 1")
@@ -241,15 +264,16 @@ def encode_texts(rows: DataFrame, tokenizer: str, digests: bool = False) -> Data
                 for k, ids in zip(rest, enc.encode([texts[k] for k in rest]) if rest else [], strict=True):
                     out[k] = ids
                 if digests:
-                    yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(x) // 4 for x in out], pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in out]), pa.array([hashlib.sha256(enc.decode(x).encode()).hexdigest() for x in out])], names=["key", "n_tokens", "ids_sha256", "decoded_sha256"])
+                    cols = [b.column(0), pa.array([len(x) // 4 for x in out], pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in out]), pa.array([hashlib.sha256(enc.decode(x).encode()).hexdigest() for x in out])]
+                    yield pa.RecordBatch.from_arrays(cols + [pa.array(out, pa.binary())] * with_ids, names=["key", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids)
                 else:
                     yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], names=["key", "ids"])
 
-    schema = "key binary, n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "key binary, ids binary"
+    schema = "key binary, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * with_ids if digests else "key binary, ids binary"
     return texts.join(given, "key", "left").select("key", "text", "pieces").mapInArrow(encode_all, schema)
 
 
-def encode_documents(docs: DataFrame, *, text: str = "text", tokenizer: str | None = None, digests: bool = False) -> tuple[DataFrame, DataFrame]:
+def encode_documents(docs: DataFrame, *, text: str = "text", tokenizer: str | None = None, digests: bool = False, with_ids: bool = False) -> tuple[DataFrame, DataFrame]:
     """(docs with __key, the digest of their text; the distinct texts by that key, encoded).
 
     Null texts count as empty and have no ids. Equal texts share a key, so copies of any number are
@@ -258,12 +282,12 @@ def encode_documents(docs: DataFrame, *, text: str = "text", tokenizer: str | No
     """
     whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     keyed = docs.withColumn("__key", F.coalesce(F.unhex(F.md5(F.encode(whole, "UTF-8"))), F.lit(b"")))
-    return keyed, encode_texts(keyed.select(F.col("__key").alias("key"), whole.alias("text")), tokenizer or default_tokenizer(), digests)
+    return keyed, encode_texts(keyed.select(F.col("__key").alias("key"), whole.alias("text")), tokenizer or default_tokenizer(), digests, with_ids)
 
 
-def encoded_digests(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
-    """docs(doc_id, text) to doc_id, n_tokens, ids_sha256 and decoded_sha256; the decoded text is made from the ids."""
-    keyed, encoded = encode_documents(docs.select("doc_id", "text"), tokenizer=tokenizer, digests=True)
+def encoded_digests(docs: DataFrame, tokenizer: str | None = None, with_ids: bool = False) -> DataFrame:
+    """docs(doc_id, text) to doc_id, n_tokens, ids_sha256 and decoded_sha256, one row a row; the decoded text is made from the ids. With with_ids also ids, as little-endian unsigned 32-bit integers. An empty table gives an empty result; repeated rows and null ids keep a row each."""
+    keyed, encoded = encode_documents(docs.select("doc_id", "text"), tokenizer=tokenizer, digests=True, with_ids=with_ids)
     return keyed.select("doc_id", F.col("__key").alias("key")).join(encoded, "key").drop("key")
 
 

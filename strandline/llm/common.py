@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..storage import keep, shared_dir
+
+__all__ = ["WHITE", "WORD", "components", "keep", "shared_dir", "table"]
+
 #: A word is a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 WHITE = " \t\n\x0b\x0c\r"
@@ -17,27 +18,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset (local mode)."""
-    where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not where:
-        jsc = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if jsc.isDefined():
-            where = jsc.get()
-        else:
-            where = "file://" + tempfile.mkdtemp(prefix="strandline-")
-            spark.sparkContext.setCheckpointDir(where)
-    return where.rstrip("/")
-
-
-def keep(df: DataFrame, name: str, *, buckets: int | None = None) -> DataFrame:
-    """Write df to the shared folder and read it back: lineage ends there, and a lost executor costs no recomputation."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    (df.repartition(buckets) if buckets else df).write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of edges(a, b): one row (node, root) for each node that has an edge, root its smallest reachable node.
 

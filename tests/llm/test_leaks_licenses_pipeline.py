@@ -1,7 +1,13 @@
 import hashlib
+import random
+
+import numpy as np
+from tokenizers import Tokenizer
 
 import corpus_pipeline
-from strandline.llm import leaks, licenses, quality
+from strandline.llm import bpe, leaks, licenses, quality
+
+from .test_dedup import lines_brute, near_brute
 
 ITEM = "Anna buys 12 apples and 7 pears at the market, then walks 3 km home with her friend Maria and eats 5 apples on the way."
 
@@ -47,3 +53,50 @@ def test_pipeline(spark):
     first = corpus_pipeline.STAGES[0][1](spark, docs, "/root/testdata/sf0.001")
     assert {r.doc_id for r in first.collect()} == passed and first.columns == docs.columns
     assert all(len(r.ids_sha256) == len(hashlib.sha256().hexdigest()) for r in out)
+
+
+def test_pipeline_against_brute_force(spark, tmp_path):
+    rng = random.Random(31)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(3, 8)))
+    line = lambda n: " ".join(word() for _ in range(n)) + "."
+    item = "Anna buys twelve apples and seven pears at the market then walks home with her friend Maria and eats five of them"
+    common, texts = line(9), []
+    for k in range(24):
+        body = [line(rng.randrange(8, 14)) for _ in range(4)]
+        body += [common] * (k % 3 == 0) + ["Home | About | Login"] * (k % 5 == 0) + [item + "."] * (k % 8 == 1)
+        texts.append("\n".join(body))
+    texts += [texts[2].replace("a", "b", 1), texts[3], None, "", "too short.", "!!! ??? " * 30]
+    # Near copies on one line: the line stage leaves them, the next one does not.
+    long = line(80)
+    texts += [long, long[:-1] + " " + word() + " " + word() + "."]
+    docs = list(enumerate(texts))
+    frame = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in docs], "doc_id long, text string, lang string, source string, n_chars long")
+    frame.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+
+    rows = [(i, quality.judge(t)[-1]) for i, t in docs if quality.judge(t)[6]]
+    gone = lines_brute(rows)
+    rows = [(i, "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone[i, t][4])) for i, t in rows]
+    rows = [(i, t) for i, t in rows if t.strip()]
+    comp = near_brute(rows, 5)
+    rows = [(i, t) for i, t in rows if comp[i, t][1] == i]
+    assert len(comp) > len(rows)
+    leaky = [i for i, t in rows if "walks home with her friend" in t]
+    rows = [(i, t) for i, t in rows if i not in leaky]
+    assert leaky and len(rows) > 15
+    tok = Tokenizer.from_file(bpe.default_tokenizer())
+    want = {(i, np.array(tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes()) for i, t in rows}
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {(r.doc_id, bytes(r.ids)) for r in out} == want and len(out) == len(want)
+    assert all(hashlib.sha256(r.ids).hexdigest() == r.ids_sha256 and r.n_tokens * 4 == len(r.ids) for r in out)
+
+
+def test_stages_take_empty_tables_nulls_and_odd_columns(spark, tmp_path):
+    spark.createDataFrame([(1, ITEM)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    text = ITEM + " " + "Other words follow here and there, so that it is long enough for the rules."
+    rows = [(1, text, "kept", 7), (1, text, "kept", 7), (None, text + " And more of it stands at the end.", "kept", 7), (3, None, None, 7), (4, "", None, 7)]
+    odd = spark.createDataFrame(rows, "doc_id long, text string, lang string, kept int")
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, odd.limit(0), str(tmp_path)).count() == 0, name
+        out = stage(spark, odd, str(tmp_path))
+        assert out.count() <= 5 and "doc_id" in out.columns and ("text" in out.columns or name == "encode"), name
