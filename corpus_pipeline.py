@@ -47,13 +47,13 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """BPE: doc_id, n_tokens, ids_sha256 and decoded_sha256 of every document."""
-    return bpe.encoded_digests(docs)
+    """BPE: doc_id, n_tokens, ids (little-endian unsigned 32-bit), ids_sha256 and decoded_sha256 of every document."""
+    return bpe.encoded_digests(docs, with_ids=True)
 
 
 STAGES = [("quality", clean_lines), ("lines", drop_lines), ("near", drop_near), ("leaks", drop_leaks), ("encode", encode)]
 
-#: Components, rolling hashes and a tokenizer are beyond SQL; the tests hold the stages against brute force.
+#: Components, rolling hashes and a tokenizer are beyond SQL; a test holds all stages against brute force on a small corpus.
 ORACLE_SQL = None
 
 
