@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..storage import keep, shared_dir
+from ..storage import discard, keep, shared_dir
 
 __all__ = ["WHITE", "WORD", "components", "keep", "shared_dir", "table"]
 
@@ -26,21 +28,28 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     map side, and a join that adaptive execution splits where a node is hot. Null ends and loops
     carry no link.
     """
-    now = keep(
-        edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct(), "edges"
-    )
-    mark = None
+    spark = edges.sparkSession
+    mark, old = None, None
+
+    def written(df: DataFrame) -> tuple[DataFrame, str, tuple]:
+        """df in shared storage, its path, and its count and hash, observed while it is written."""
+        path, seen = f"{shared_dir(spark)}/edges-{uuid.uuid4().hex}", Observation()
+        df.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).write.parquet(path)
+        return spark.read.schema("u " + df.schema["u"].dataType.simpleString() + ", v " + df.schema["v"].dataType.simpleString()).parquet(path), path, (seen.get["n"], seen.get["h"])
+
+    now, path, found = written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct())
     for _ in range(max_rounds):
-        found = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(found) == mark or not found[0]:
+        if old:
+            discard(spark, old)
+        if found == mark or not found[0]:
             break
-        mark = tuple(found)
+        mark, old = found, path
         both = now.select("u", "v").union(now.select(F.col("v"), F.col("u")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = now.select(F.col("v").alias("u"), F.col("u").alias("v")).join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select("v", "m").where("v != m").union(low)
-        now = keep(small.toDF("u", "v").distinct(), "edges")
+        now, path, found = written(small.toDF("u", "v").distinct())
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     # Settled: every node that isn't a root points at its root, and roots point nowhere.

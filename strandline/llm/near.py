@@ -169,7 +169,6 @@ def open_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     looked up; a shared item that comes too late for its pair is left out inside the join.
     """
     items = sets.join(members, "node").select("node", "root", F.size("items").alias("n"), F.explode("items").alias("item"))
-    items = keep(items, "open-items")
     common = items.groupBy("item").agg(F.count("*").alias("c")).where("c > 1")
     ranked = items.join(common, "item").groupBy("node", "root", "n").agg(F.sort_array(F.collect_list(F.struct("c", "item"))).alias("shared"))
     # Places from 1 on; those of the node's own items come first.
@@ -185,7 +184,7 @@ def open_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return asked.join(held, "item").where(ordered & (F.col("r") != F.col("s")) & enough).select("a", "b").distinct()
 
 
-def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = SHINGLE, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS, centres: int = 2) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = SHINGLE, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS, centres: int = 1) -> DataFrame:
     """Components of documents linked by a Jaccard similarity of word shingles of percent / 100 or more.
 
     Returns doc_id, n_shingles, component_id (the smallest doc_id reachable) and kept (doc_id is
