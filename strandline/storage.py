@@ -35,3 +35,19 @@ def discard(spark: SparkSession, path: str) -> None:
     """Delete a table that nothing will read again."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+class Scratch:
+    """Tables of one job that its result doesn't read: written in a folder of their own, which goes when the job is done."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.root, self.count = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}", 0
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        self.count += 1
+        path = f"{self.root}/{self.count}"
+        df.write.option("compression", "zstd").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def discard(self) -> None:
+        discard(self.spark, self.root)

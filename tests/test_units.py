@@ -231,3 +231,17 @@ def test_depth_holds_supplementary_alignments(spark):
     aln = spark.createDataFrame(rows, "qname string, flag int, tname string, ref_start long, ref_end long, mapq int, cigar string, seq string")
     got = C.classify(aln, spark.createDataFrame([("c", 1000)], "name string, length long"), ScrubOptions(coverage_ratio=1.0)).collect()
     assert sorted((r.qname, r.local_cov, r.threshold, r.outcome) for r in got) == [("a", 3.0, 3.0, "clean"), ("b", 3.0, 3.0, "clean"), ("x", 3.0, 3.0, "clean")]
+
+
+def test_scratch_tables_go(spark):
+    from pathlib import Path
+
+    from strandline.storage import Scratch
+
+    work = Scratch(spark, "some")
+    first = work.keep(spark.range(5))
+    second = work.keep(first.where("id > 2"))
+    root = Path(work.root.removeprefix("file:").replace("//", "/", 1))
+    assert second.count() == 2 and sorted(p.name for p in root.iterdir()) == ["1", "2"]
+    work.discard()
+    assert not root.exists()
