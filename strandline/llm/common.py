@@ -7,9 +7,9 @@ import uuid
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..storage import discard, keep, shared_dir
+from ..storage import Scratch, discard, keep, shared_dir
 
-__all__ = ["WHITE", "WORD", "components", "keep", "shared_dir", "table"]
+__all__ = ["WHITE", "WORD", "Scratch", "components", "keep", "shared_dir", "table"]
 
 #: A word is a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"

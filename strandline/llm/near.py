@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, keep, table
+from .common import Scratch, components, keep, table
 
 #: Coordinates of a sketch = BANDS x ROWS. A pair at the threshold 0.8 shares no band with probability (1 - 0.8^6)^42 < 3e-6.
 BANDS, ROWS = 42, 6
@@ -202,24 +202,25 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     row whose doc_id is the component's). doc_id is read as a long. Ties of sets or ids change
     nothing; other columns are ignored, whatever their names.
     """
-    spark = docs.sparkSession
+    # What the result reads is kept; all else is scratch and goes before it is returned.
+    work = Scratch(docs.sparkSession, "near")
     source = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")).where("doc_id IS NOT NULL")
-    base = keep(sketched(source, width, bands, rows), "sketches")
+    base = work.keep(sketched(source, width, bands, rows))
     filled = base.where("n_shingles > 0")
     # Written once, so that a set keeps its number.
-    nodes = keep(filled.groupBy("digest").agg(F.min_by("keys", "doc_id").alias("keys"), F.min("doc_id").alias("rep")).select(F.monotonically_increasing_id().alias("node"), "digest", "rep", "keys"), "nodes")
+    nodes = work.keep(filled.groupBy("digest").agg(F.min_by("keys", "doc_id").alias("keys"), F.min("doc_id").alias("rep")).select(F.monotonically_increasing_id().alias("node"), "digest", "rep", "keys"))
     member = keep(filled.select("doc_id", "digest").join(nodes.select("node", "digest", "rep"), "digest").select("doc_id", "node", "rep"), "members")
     several = member.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a != z").select("doc_id", "a")
     same_id = member.join(several, "doc_id").where("a != node").select("a", F.col("node").alias("b"))
 
     posted = nodes.select("node", F.posexplode("keys").alias("band", "key"))
     full = posted.groupBy("key").agg(F.count("*").alias("c"), F.min("node").alias("first")).where("c > 1").select("key", "first")
-    buckets = keep(posted.join(full, "key").select("key", "band", "node", "first"), "buckets")
+    buckets = work.keep(posted.join(full, "key").select("key", "band", "node", "first"))
     wanted = buckets.select("node").distinct().join(nodes.select("node", "digest", F.col("rep").alias("doc_id")), "node")
     texts = source.join(wanted, "doc_id").dropDuplicates(["doc_id", "node", "text"])
-    sets = keep(_sets_of(texts.select("node", "digest", "text"), width), "sets")
+    sets = work.keep(_sets_of(texts.select("node", "digest", "text"), width))
 
-    links = keep(_verified(buckets.where("node != first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct(), sets, percent).union(same_id), "links")
+    links = work.keep(_verified(buckets.where("node != first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct(), sets, percent).union(same_id))
     for turn in (*range(centres), None):
         roots = components(links)
         placed = buckets.select("key", "band", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -229,12 +230,14 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
             pairs = placed.join(split, "key").where("root != at").select(F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b")).distinct()
         else:
             pairs = open_pairs(placed.join(split.select("key"), "key", "left_semi").select("node", "root").distinct(), sets, percent)
-        links = links.unionByName(keep(_verified(pairs, sets, percent), "links"))
+        links = links.unionByName(work.keep(_verified(pairs, sets, percent)))
     roots = components(links)
-    by_root = keep(nodes.select("node", "rep").join(roots, "node").groupBy("root").agg(F.min("rep").alias("component_id")), "component-ids")
+    by_root = work.keep(nodes.select("node", "rep").join(roots, "node").groupBy("root").agg(F.min("rep").alias("component_id")))
     of_node = keep(roots.join(by_root, "root").select("node", "component_id"), "component-nodes")
+    sizes = keep(base.select("doc_id", "n_shingles"), "sizes")
+    work.discard()
     placed = member.join(of_node, "node", "left").groupBy("doc_id").agg(F.min(F.coalesce("component_id", "rep")).alias("component_id"))
-    done = base.select("doc_id", "n_shingles").join(placed, "doc_id", "left")
+    done = sizes.join(placed, "doc_id", "left")
     return done.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")).withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
