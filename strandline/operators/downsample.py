@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import seq as S
+from ..storage import keep
 
 
 def _with_length(reads: DataFrame, contigs: DataFrame) -> DataFrame:
@@ -33,40 +34,45 @@ def fill_bins(reads: DataFrame, contigs: DataFrame, target: int, size: int) -> D
 
 
 def _fill(frame: pd.DataFrame, target: int, size: int, once: bool) -> list:
-    """Names kept on one contig, bins in ascending order."""
-    order = frame.sort_values(["length", "mean_q", "st", "name"], ascending=[False, False, True, True])
-    by_bin: dict[int, list] = {}
-    for r in order.itertuples(index=False):
-        for b in range(r.first, r.last + 1):
-            by_bin.setdefault(b, []).append(r)
-    have: dict[int, int] = dict.fromkeys(by_bin, 0)
+    """Names kept in one stretch of a contig, bins in ascending order."""
+    have: dict[int, int] = {}
     kept: set = set()
-    for b in sorted(by_bin):
-        for r in by_bin[b]:
-            if have[b] >= target * size:
-                break
-            if once and r.name in kept:
-                continue
-            kept.add(r.name)
-            for x in range(r.first, r.last + 1):
-                have[x] += r.credit
+    for r in frame.sort_values(["bin", "place"]).itertuples(index=False):
+        if have.get(r.bin, 0) >= target * size or (once and r.name in kept):
+            continue
+        kept.add(r.name)
+        for x in range(r.first, r.last + 1):
+            have[x] = have.get(x, 0) + r.credit
     return sorted(kept)
 
 
+def stretches(rows: DataFrame) -> DataFrame:
+    """(ref, first, stretch): stretches of bins that no row of rows(ref, first, last) leaves, numbered by their first bin. A contig's window holds a row a bin at most."""
+    ends = rows.groupBy("ref", "first").agg(F.max("last").alias("last"))
+    along = Window.partitionBy("ref").orderBy("first")
+    reach = F.max("last").over(along.rowsBetween(Window.unboundedPreceding, -1))
+    begun = ends.withColumn("begin", F.when(reach.isNull() | (reach < F.col("first")), F.col("first")))
+    return begun.select("ref", "first", F.max("begin").over(along).alias("stretch"))
+
+
 def greedy(reads: DataFrame, contigs: DataFrame, target: int = 200, size: int = 500, credit_once: bool = False) -> DataFrame:
     """Names kept by the sequential rule: a taken read credits all its bins, again for each bin that takes it (unless credit_once).
 
-    The rule runs along a contig from bin to bin, so a contig is one task; contigs are independent.
-    fill_bins is the variant without that dependence.
+    A read is looked at in a bin only while the reads before it there, all of them credited by
+    then, are short of target * size. So the rule runs over those prefixes of the bins alone,
+    which depend on target and not on depth, one task a stretch of bins that no such read leaves.
+    fill_bins is the variant in which bins are independent.
     """
-    rows = _with_length(reads, contigs).withColumn("first", S.first_bin(F.col("st"), size)).withColumn("last", S.last_bin(F.col("en"), F.col("contig_len"), size)).where("first <= last")
-    rows = rows.select("ref", "name", "length", "mean_q", "st", "first", "last", F.floor((F.col("en") - F.col("st")) / (F.col("last") - F.col("first") + 1)).cast("long").alias("credit"))
+    w = Window.partitionBy("ref", "bin").orderBy(F.desc("length"), F.desc("mean_q"), "st", "name")
+    before = F.coalesce(F.sum("credit").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranked = binned(reads, contigs, size).withColumn("before", before).withColumn("place", F.row_number().over(w))
+    near = keep(ranked.where(F.col("before") < target * size).select("ref", "name", "first", "last", "credit", "bin", "place"), "fill-prefixes")
     kind = reads.schema["name"].dataType.simpleString()
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"name": _fill(frame, target, size, credit_once)})
 
-    return rows.groupBy("ref").applyInPandas(run, f"name {kind}").distinct()
+    return near.join(stretches(near), ["ref", "first"]).groupBy("ref", "stretch").applyInPandas(run, f"name {kind}").distinct()
 
 
 def achieved(reads: DataFrame, names: DataFrame, contigs: DataFrame) -> DataFrame:

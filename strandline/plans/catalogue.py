@@ -230,9 +230,9 @@ def classify_reads(spark, d):
 B_DNA = DNA.replace("doc_id", "item_id").replace("documents", "benchmark")
 
 
-@query(f"WITH {B_DNA}, t AS (SELECT ord, name, length(seq) AS len, substr(seq, 1, 40) AS head, right(seq, 40) AS tail FROM dna), o(end_a, end_b, orientation) AS (VALUES ('tail', 'head', '+/+'), ('tail_rc', 'head', '-/+'), ('tail', 'head_rc', '+/-'), ('tail_rc', 'head_rc', '-/-')) SELECT a.name AS seg_a, b.name AS seg_b, end_a, end_b, orientation, CASE end_a WHEN 'tail' THEN a.tail ELSE reverse(translate(a.tail, 'ACGT', 'TGCA')) END AS query, CASE end_b WHEN 'head' THEN b.head ELSE reverse(translate(b.head, 'ACGT', 'TGCA')) END AS target FROM t a JOIN t b ON a.ord < b.ord, o")
+@query(f"WITH {B_DNA}, t AS (SELECT ord, name, length(seq) AS len, substr(seq, 1, 40) AS head, right(seq, 40) AS tail FROM dna), o(end_a, end_b, orientation) AS (VALUES ('tail', 'head', '+/+'), ('tail_rc', 'head', '-/+'), ('tail', 'head_rc', '+/-'), ('tail_rc', 'head_rc', '-/-')) SELECT a.name AS seg_a, b.name AS seg_b, end_a, end_b, orientation, CASE end_a WHEN 'tail' THEN a.tail ELSE reverse(translate(a.tail, 'ACGT', 'TGCA')) END AS query, CASE end_b WHEN 'head' THEN b.head ELSE reverse(translate(b.head, 'ACGT', 'TGCA')) END AS target FROM t a JOIN t b ON a.ord <> b.ord, o")
 def join_orientations(spark, d):
-    return G.join_candidates(dna(spark, d, "benchmark", "item_id"), 40, compat=True).select("seg_a", "seg_b", "end_a", "end_b", "orientation", "query", "target")
+    return G.join_candidates(dna(spark, d, "benchmark", "item_id"), 40).select("seg_a", "seg_b", "end_a", "end_b", "orientation", "query", "target")
 
 
 @query("WITH r AS (SELECT source, length(coalesce(text, '')) AS len FROM documents), c AS (SELECT source, len, sum(len) OVER (PARTITION BY source ORDER BY len DESC RANGE UNBOUNDED PRECEDING) AS run, sum(len) OVER (PARTITION BY source) AS total FROM r) SELECT source, CAST(max(len) AS BIGINT) AS n50 FROM c WHERE run * 2 >= total GROUP BY source")
@@ -399,4 +399,4 @@ def overlap_edges(spark, d):
 
 @query()
 def candidate_joins(spark, d):
-    return G.candidate_joins(dna(spark, d, "benchmark", "item_id"), 40, 50.0, 10, compat=True)
+    return G.candidate_joins(dna(spark, d, "benchmark", "item_id"), 40, 50.0, 10)

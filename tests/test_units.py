@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from strandline.functions import seq as S
@@ -245,3 +246,33 @@ def test_scratch_tables_go(spark):
     assert second.count() == 2 and sorted(p.name for p in root.iterdir()) == ["1", "2"]
     work.discard()
     assert not root.exists()
+
+
+@pytest.mark.parametrize("once", [False, True])
+def test_greedy_against_the_rule_spelled_out(spark, once):
+    """Two contigs, one of them deep and with gaps that no read crosses."""
+    rng, target, size, length = random.Random(7), 3, 100, {"c": 6000, "d": 900}
+    rows = []
+    for k in range(400):
+        ref = "c" if k % 4 else "d"
+        base = rng.choice([0, 2000, 2050, 4500]) if ref == "c" else 0
+        st = base + rng.randrange(0, 500)
+        rows.append((f"r{k:03}", rng.randrange(50, 60), float(rng.randrange(8, 12)), ref, st, min(st + rng.randrange(20, 400), length[ref])))
+    want = set()
+    for ref in length:
+        mine = sorted((r for r in rows if r[3] == ref), key=lambda r: (-r[1], -r[2], r[4], r[0]))
+        span = {r[0]: range(r[4] // size, min(r[5] - 1, length[ref] - 1) // size + 1) for r in mine}
+        have, took = {}, set()
+        for b in range(length[ref] // size + 1):
+            for r in (r for r in mine if b in span[r[0]]):
+                if have.get(b, 0) >= target * size:
+                    break
+                if once and r[0] in took:
+                    continue
+                took.add(r[0])
+                for x in span[r[0]]:
+                    have[x] = have.get(x, 0) + (r[5] - r[4]) // len(span[r[0]])
+        want |= took
+    reads = spark.createDataFrame(rows, "name string, length int, mean_q double, ref string, st int, en int")
+    contigs = spark.createDataFrame(list(length.items()), "name string, length long")
+    assert {r.name for r in D.greedy(reads, contigs, target, size, credit_once=once).collect()} == want and len(want) < 400
