@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, ids, leaks, licenses, lines, near, passages, quality, suffixes
+from . import bpe, chat, ids, infill, leaks, licenses, lines, near, passages, quality, suffixes
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_bpe_encoding": bpe.op8_bpe_encoding,
     "op9_exact_substrings": suffixes.op9_exact_substrings,
     "op10_license_scan": licenses.op10_license_scan,
+    "op12_fill_in_middle": infill.op12_fill_in_middle,
 }
 ORACLES = {
     "op1_quality_rules": quality.ORACLE_SQL,
@@ -22,4 +23,5 @@ ORACLES = {
     "op4_decontamination": leaks.ORACLE_SQL,
     "op6_chat_formatting": chat.ORACLE_SQL,
     "op10_license_scan": licenses.ORACLE_SQL,
+    "op12_fill_in_middle": infill.ORACLE_SQL,
 }
