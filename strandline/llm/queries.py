@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, ids, infill, leaks, licenses, lines, near, passages, quality, suffixes
+from . import bpe, chat, crosstok, ids, infill, leaks, licenses, lines, near, passages, quality, suffixes
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_exact_substrings": suffixes.op9_exact_substrings,
     "op10_license_scan": licenses.op10_license_scan,
     "op12_fill_in_middle": infill.op12_fill_in_middle,
+    "op13_token_alignment": crosstok.op13_token_alignment,
 }
 ORACLES = {
     "op1_quality_rules": quality.ORACLE_SQL,
