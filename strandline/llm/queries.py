@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, crosstok, ids, infill, leaks, licenses, lines, near, passages, quality, suffixes
+from . import bpe, chat, crosstok, ids, infill, leaks, licenses, lines, near, passages, quality, suffixes, suffixtree
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_bpe_encoding": bpe.op8_bpe_encoding,
     "op9_exact_substrings": suffixes.op9_exact_substrings,
     "op10_license_scan": licenses.op10_license_scan,
+    "op11_lm_scoring": suffixtree.op11_lm_scoring,
     "op12_fill_in_middle": infill.op12_fill_in_middle,
     "op13_token_alignment": crosstok.op13_token_alignment,
 }
