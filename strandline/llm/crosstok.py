@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import uuid
 from collections.abc import Iterator
 
@@ -11,15 +12,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bpe import Encoder, default_tokenizer
+from .bpe import Encoder, _byte_of, default_tokenizer
 from .common import Scratch, table
 
 #: UTF-8 bytes of text in one chunk, whose pairs are counted together before anything is shuffled.
 CHUNK_BYTES = 16 << 20
 #: States that a worker's transducer holds before it begins anew, with a new chunk.
 STATES = 300_000
-#: Words that a worker's cache of pieces holds.
-CACHE_WORDS = 150_000
+#: Words that a worker's caches hold.
+CACHE_WORDS = 200_000
 
 
 def piece_tokenizer() -> str:
@@ -29,12 +30,7 @@ def piece_tokenizer() -> str:
 
 
 class Pieces:
-    """A sentencepiece BPE model whose work on repeated words is kept.
-
-    Where no piece holds a space behind another character, no merge crosses such a border, so a text
-    is the concatenation of its words, each with the spaces before it. Otherwise, and where a text
-    ends with a space, texts are given to the library whole.
-    """
+    """A sentencepiece BPE model. by_word: no piece holds a space behind another character, so no merge crosses such a border, and a text's ids are those of its words, each with the spaces before it."""
 
     def __init__(self, path: str):
         import sentencepiece
@@ -45,16 +41,12 @@ class Pieces:
         self.by_word = not any(p[k] == "▁" != p[k - 1] for p in pieces for k in range(1, len(p)))
         probe = "Ab  c1 éﬁ あx , .  d'e\n f"
         self.by_word = self.by_word and sum((self.sp.encode(w) for w in self._words(probe)), []) == self.sp.encode(probe)
-        self.cache: dict[str, list[int]] = {}
 
     @staticmethod
     def _words(text: str) -> list[str]:
         """The words of a text, each with all but one of the spaces before it; the one is what the library adds itself."""
-        parts = text.split(" ")
-        if "" not in parts:
-            return parts
         out, gap = [], 0
-        for p in parts:
+        for p in text.split(" "):
             if p:
                 out.append(" " * gap + p)
                 gap = 0
@@ -63,23 +55,7 @@ class Pieces:
         return out
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        """The ids of each text."""
-        out: list[list[int] | None] = [None] * len(texts)
-        cut = {k: self._words(t) for k, t in enumerate(texts) if self.by_word and t and t[-1] != " " and "▁" not in t}
-        if len(self.cache) > CACHE_WORDS:
-            self.cache.clear()
-        new = list(set().union(*cut.values()).difference(self.cache)) if cut else []
-        self.cache.update(zip(new, self.sp.encode(new, num_threads=1) if new else [], strict=True))
-        get = self.cache.__getitem__
-        for k, words in cut.items():
-            ids: list[int] = []
-            for x in map(get, words):
-                ids += x
-            out[k] = ids
-        rest = [k for k, x in enumerate(out) if x is None]
-        for k, ids in zip(rest, self.sp.encode([texts[k] for k in rest], num_threads=1) if rest else [], strict=True):
-            out[k] = ids
-        return out
+        return self.sp.encode(texts, num_threads=1) if texts else []
 
 
 class Transducer:
@@ -95,16 +71,19 @@ class Transducer:
             raise ValueError("a vocabulary has more than 2^20 ids")
         self.bytes_of = (a_bytes, b_bytes)
         self.step: dict[int, int] = {}
-        #: By state: whether side B is to be read next, the bytes ahead, and the step that led here.
-        self.turn, self.ahead, self.came = [False], [b""], [(0, 0, 0)]
+        #: By state, without its last bit, which is 1 if side B is to be read next: the bytes ahead, and the step that led here.
+        self.ahead, self.came = [b""], [(0, 0, 0)]
         self.groups: dict[tuple, int] = {}
         self.names: list[str] = []
         self.links: list[np.ndarray] = []
+        #: By group: tokens of either side, and bytes.
+        self.sizes: list[tuple[int, int]] = []
+        self.width: list[int] = []
 
     def _learn(self, key: int) -> int:
         """The state that key, a state and a token, leads to; -1 - g where it closes group g; raises ValueError where the bytes differ."""
         state, token = key >> 20, key & 0xFFFFF
-        side = self.turn[state]
+        side, state = state & 1, state >> 1
         new, ahead = self.bytes_of[side][token], self.ahead[state]
         n = min(len(new), len(ahead))
         if new[:n] != ahead[:n]:
@@ -113,9 +92,8 @@ class Transducer:
         # At the start side A is read and leads; else the side that was behind has caught up, or leads by what is left.
         left = new[n:] or ahead[n:]
         if left:
-            self.turn.append(not side if len(new) > n else side)
             self.ahead.append(left)
-            out = len(self.turn) - 1
+            out = 2 * len(self.ahead) - 2 + (1 - side if len(new) > n else side)
         else:
             out = -1 - self._close()
             self.came.pop()
@@ -144,35 +122,130 @@ class Transducer:
                 if end_b <= end_a:
                     j, at_b = j + 1, end_b
             self.links.append(np.array(pairs, np.int64))
+            self.sizes.append((len(a), len(b)))
+            self.width.append(sum(len(self.bytes_of[0][i]) for i in a))
         return self.groups[a, b]
 
     def run(self, a: list[int], b: list[int]) -> list[int] | None:
         """The groups of two token lists in order, or None where their bytes differ."""
-        next_a, next_b, turn, get, state, out = iter(a).__next__, iter(b).__next__, self.turn, self.step.get, 0, []
+        rest, more, get, state, out = iter(b), iter(a), self.step.get, 0, []
         try:
-            while True:
-                key = state << 20 | (next_b() if turn[state] else next_a())
+            for token in more:
+                key = state << 20 | token
                 state = get(key)
                 if state is None:
                     state = self._learn(key)
+                while state > 0 and state & 1:
+                    key = state << 20 | next(rest)
+                    state = get(key)
+                    if state is None:
+                        state = self._learn(key)
                 if state < 0:
                     out.append(-1 - state)
                     state = 0
-        except StopIteration:
-            return None if state or next(iter(next_b, None), None) is not None else out
-        except ValueError:
+            return None if state or next(rest, None) is not None else out
+        except (StopIteration, ValueError):  # side B ends first, or its bytes differ
             return None
 
 
-_pairs: dict[tuple, tuple[Encoder, Pieces]] = {}
+#: Fixed value: the pattern of byte-level pre-tokens.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def ranked(path: str):
+    """The same vocabulary as a tiktoken encoding, which is several times faster, where each merge's id is its rank; else None. Its classes of characters are another library's, so only ASCII is given to it."""
+    import tiktoken
+
+    with open(path, encoding="utf-8") as f:
+        parts = json.load(f)
+    ids, byte_of, added = parts["model"]["vocab"], _byte_of(), {x["content"] for x in parts["added_tokens"]}
+    made = [ids["".join(m if isinstance(m, list) else m.split(" "))] for m in parts["model"]["merges"]]
+    if parts["pre_tokenizer"] != {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True} or any(x >= y for x, y in zip(made, made[1:], strict=False)) or not all(c in byte_of for k in ids if k not in added for c in k):
+        return None
+    return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks={bytes(byte_of[c] for c in k): v for k, v in ids.items() if k not in added}, special_tokens={})
+
+
+class Aligner:
+    """Both tokenizers and the transducer, with the groups of repeated words kept.
+
+    Where single spaces stand between visible characters both sides' tokens end before the space, so
+    a text's groups are those of its words, each with its space. Other texts are encoded and run whole.
+    """
+
+    def __init__(self, a: str, b: str):
+        self.a, self.b = Encoder(a), Pieces(b)
+        self.a.tok.encode_special_tokens = True
+        self.fast = ranked(a)
+        self.forget()
+
+    def forget(self) -> None:
+        self.machine = Transducer(self.a.bytes_of, self.b.bytes_of)
+        self.cache: dict[str, bytes | None] = {}
+        self.older: dict[str, bytes | None] = {}
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        """Side A's ids of a space and each text."""
+        if self.fast and all(map(str.isascii, texts)):
+            return [self.fast.encode_ordinary(" " + t) for t in texts]
+        return [np.frombuffer(x, "<u4").tolist() for x in self.a._ids([" " + t for t in texts])]
+
+    def _run(self, texts: list[str]) -> list[bytes | None]:
+        """The groups of a space and each text as 32-bit integers, None where either side doesn't give its bytes back."""
+        out: list[bytes | None] = []
+        for t, mine, ids in zip(texts, self._ids(texts), self.b.encode(texts), strict=True):
+            ok = b"".join(map(self.a.bytes_of.__getitem__, mine)) == (" " + t).encode()
+            groups = self.machine.run(mine, ids) if ok else None
+            out.append(None if groups is None else np.array(groups, "<i4").tobytes())
+        return out
+
+    def _learn(self, words: list[str]) -> None:
+        """Many words as one text, whose groups are cut at the words' ends."""
+        for k in range(0, len(words), 1000):
+            part = words[k : k + 1000]
+            (raw,) = self._run([" ".join(part)])
+            if raw is None:
+                self.cache.update(zip(part, self._run(part), strict=True))
+                continue
+            width = self.machine.width
+            at = np.cumsum([width[g] for g in np.frombuffer(raw, "<i4").tolist()])
+            last = np.searchsorted(at, np.cumsum([len(w.encode()) + 1 for w in part])) + 1
+            self.cache.update(zip(part, map(raw.__getitem__, map(slice, (4 * np.append(0, last[:-1])).tolist(), (4 * last).tolist())), strict=True))
+
+    def groups(self, texts: list[str]) -> list[bytes | None]:
+        split = [t.split(" ") if t and self.b.by_word else [""] for t in texts]
+        new = set().union(*split).difference(self.cache)
+        if len(self.cache) + len(new) > CACHE_WORDS:
+            # Words that are met again come back from the older half, the others go when it is filled anew.
+            new = set().union(*split)
+            self.older, self.cache = self.cache, {}
+        again = new.intersection(self.older)
+        self.cache.update(zip(again, map(self.older.__getitem__, again), strict=True))
+        new = list(new.difference(again))
+        good = [w for w in new if w and "▁" not in w and self.a._visible(w[0]) and self.a._visible(w[-1])]
+        self.cache.update(dict.fromkeys(new))
+        for ascii_ in (True, False):
+            self._learn([w for w in good if w.isascii() == ascii_])
+        out: list[bytes | None] = []
+        whole = []
+        for k, words in enumerate(split):
+            try:
+                out.append(b"".join(map(self.cache.__getitem__, words)))
+            except TypeError:  # a word that doesn't stand for itself
+                out.append(None)
+                if texts[k]:
+                    whole.append(k)
+        for k, x in zip(whole, self._run([texts[k] for k in whole]), strict=True):
+            out[k] = x
+        return out
+
+
+_aligners: dict[tuple, Aligner] = {}
 
 
-def _both(a: str, b: str) -> tuple[Encoder, Pieces]:
-    if (a, b) not in _pairs:
-        one = Encoder(a)
-        one.tok.encode_special_tokens = True
-        _pairs[a, b] = (one, Pieces(b))
-    return _pairs[a, b]
+def aligner(a: str, b: str) -> Aligner:
+    if (a, b) not in _aligners:
+        _aligners[a, b] = Aligner(a, b)
+    return _aligners[a, b]
 
 
 _SCHEMA = "chunk string, row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, at array<int>, times array<int>, pairs array<long>, totals array<long>"
@@ -212,35 +285,34 @@ def align_tokens(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one, two = _both(a, b)
-        machine = Transducer(one.bytes_of, two.bytes_of)
+        both = aligner(a, b)
         none = (np.zeros(0, np.int64), np.zeros(0, np.int64))
         out, held, size = [], [], 0
         for whole in batches:
             for start in range(0, whole.num_rows, 200):
                 part = whole.slice(start, 200)
                 texts = part.column(1).to_pylist()
-                for key, t, x, ids_b in zip(part.column(0).to_pylist(), texts, one.encode([" " + t for t in texts]), two.encode(texts), strict=True):
-                    ids_a = np.frombuffer(x, "<u4").tolist() if t else []
+                for key, t, raw in zip(part.column(0).to_pylist(), texts, both.groups(texts), strict=True):
                     size += len(t) + 200
-                    # Side A gives back its text, and side B the same bytes, or there are no groups.
-                    ok = bool(t) and b"".join(map(one.bytes_of.__getitem__, ids_a)) == (" " + t).encode()
-                    groups = machine.run(ids_a, ids_b) if ok else None
-                    if groups is None:
+                    if raw is None:
                         out.append((key, 0, 0, 0, 0, ""))
                         held.append(none)
-                    else:
-                        kinds, often = np.unique(np.array(groups, np.int64), return_counts=True)
-                        links = [machine.links[g] for g in kinds.tolist()]
-                        often = np.repeat(often, [len(x) for x in links])
-                        codes, at = np.unique(np.concatenate(links), return_inverse=True)
-                        held.append((codes, np.bincount(at, often, len(codes)).astype(np.int64)))
-                        out.append((key, len(ids_a), len(ids_b), len(groups), int(often.sum()), hashlib.sha256(";".join(map(machine.names.__getitem__, groups)).encode()).hexdigest()))
-                    if size >= chunk_bytes or len(machine.turn) > STATES:
+                        continue
+                    groups, m = np.frombuffer(raw, "<i4"), both.machine
+                    kinds, often = np.unique(groups, return_counts=True)
+                    kinds, each = kinds.tolist(), often.tolist()
+                    links = [m.links[g] for g in kinds]
+                    codes, at = np.unique(np.concatenate(links), return_inverse=True)
+                    often = np.repeat(often, [len(x) for x in links])
+                    held.append((codes, np.bincount(at, often, len(codes)).astype(np.int64)))
+                    n_a, n_b = (sum(n * m.sizes[g][side] for g, n in zip(kinds, each, strict=True)) for side in (0, 1))
+                    out.append((key, n_a, n_b, len(groups), int(often.sum()), hashlib.sha256(";".join(map(m.names.__getitem__, groups.tolist())).encode()).hexdigest()))
+                if size >= chunk_bytes or len(both.machine.ahead) > STATES:
+                    if out:
                         yield _chunk(out, held)
-                        out, held, size = [], [], 0
-                        if len(machine.turn) > STATES:
-                            machine = Transducer(one.bytes_of, two.bytes_of)
+                    out, held, size = [], [], 0
+                    if len(both.machine.ahead) > STATES:
+                        both.forget()
         if out:
             yield _chunk(out, held)
 

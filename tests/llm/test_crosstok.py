@@ -68,22 +68,30 @@ def test_against_brute_force(spark, monkeypatch):
     assert {tuple(r) for r in pairs.collect()} == counts
 
 
-def test_forgetting_changes_nothing(monkeypatch):
-    one, two = crosstok._both(bpe.default_tokenizer(), crosstok.piece_tokenizer())
-    whole = crosstok.Transducer(one.bytes_of, two.bytes_of)
-    for t in filter(None, texts()):
-        a, b = np.frombuffer(one.encode([" " + t])[0], "<u4").tolist(), two.encode([t])[0]
-        new = crosstok.Transducer(one.bytes_of, two.bytes_of)
-        x, y = whole.run(a, b), new.run(a, b)
-        assert (x is None) == (y is None)
-        assert x is None or [whole.names[g] for g in x] == [new.names[g] for g in y]
+def test_forgetting_changes_nothing():
+    whole = crosstok.Aligner(bpe.default_tokenizer(), crosstok.piece_tokenizer())
+    new = crosstok.Aligner(bpe.default_tokenizer(), crosstok.piece_tokenizer())
+    data = [t or "" for t in texts()]
+    for t, x in zip(data, whole.groups(data), strict=True):
+        new.forget()
+        (y,) = new.groups([t])
+        name = lambda al, g: g and [al.machine.names[k] for k in np.frombuffer(g, "<i4")]
+        assert name(whole, x) == name(new, y)
+        (z,) = new._run([t]) if t else (None,)
+        assert name(new, y) == name(new, z)
 
 
-def test_words_equal_the_library():
-    two = crosstok.Pieces(crosstok.piece_tokenizer())
-    assert two.by_word
+def test_both_sides_equal_their_libraries(monkeypatch):
+    monkeypatch.setattr(crosstok, "CACHE_WORDS", 50)
+    both = crosstok.Aligner(bpe.default_tokenizer(), crosstok.piece_tokenizer())
+    assert both.b.by_word and both.fast
     data = [t or "" for t in texts()]
-    assert two.encode(data) == two.sp.encode(data)
+    tok = Tokenizer.from_file(bpe.default_tokenizer())
+    tok.encode_special_tokens = True
+    assert both._ids(data) == [tok.encode(" " + t, add_special_tokens=False).ids for t in data]
+    assert [both._ids([t])[0] for t in data] == both._ids(data)
+    once, again = both.groups(data), [both.groups([t])[0] for t in data]
+    assert once == again
 
 
 def test_empty_table(spark):
