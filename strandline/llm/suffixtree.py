@@ -16,12 +16,14 @@ from .ids import _file, _publish
 from .near import _LOWER, _mix
 
 #: Words of context at most; training occurrences that a context has at least; nats of leave-one-out gain from which it is retained; its parent's distribution counts for WEIGHT * count^GROWTH observations.
-DEPTH, LEAST, CUT, WEIGHT, GROWTH = 2, 8, 4.0, 4.0, 0.8
+DEPTH, LEAST, CUT, WEIGHT, GROWTH = 2, 16, 4.0, 4.0, 0.8
 #: UTF-8 bytes of text in one chunk, and bytes of text for which there is one bucket of keys.
 CHUNK_BYTES, BUCKET_BYTES = 8 << 20, 4 << 20
 #: Gains are summed as whole numbers of this part of a nat, so that their order doesn't matter.
 NAT = 1 << 16
 _U = np.uint64
+#: Names of words have all 64 bits, those of sequences and contexts so many less: they are most of what is shuffled.
+SHORT = _U(8)
 
 
 def _pack(x: np.ndarray) -> bytes:
@@ -86,9 +88,9 @@ class Chunk:
             return np.arange(len(self.word)), np.zeros(0, np.int64), self.words, self.word
         events = np.flatnonzero(self.context(r) >= least) if r <= depth else np.zeros(0, np.int64)
         tests = np.flatnonzero(self.n[r - 1] >= 0) if r > 1 else np.zeros(0, np.int64)
-        names = [self.gram(r)[events]] if len(events) else []
+        names = [self.gram(r)[events] >> SHORT] if len(events) else []
         if len(tests):
-            names.append(_mix(self.gram(r - 2)[tests - 1] ^ _U(0xD6E8FEB86659FD93)))
+            names.append(_mix(self.gram(r - 2)[tests - 1] ^ _U(0xD6E8FEB86659FD93)) >> SHORT)
         return events, tests, *np.unique(np.concatenate(names or [np.zeros(0, np.uint64)]), return_inverse=True)
 
     def chance(self, levels: int, tokens: float, words: float, weight: float, without: np.ndarray | float = 0.0) -> np.ndarray:
@@ -100,9 +102,9 @@ class Chunk:
         return p
 
 
-def _rows(chunk: str, names: np.ndarray, values: np.ndarray, bits: int) -> list[tuple]:
-    """A chunk's sorted names, as differences, and their values, by bucket: the names' first bits. A chunk has a row at least."""
-    cut = np.searchsorted(names, np.arange(1 << bits, dtype=np.uint64) << _U(64 - bits)) if bits else np.zeros(1, np.int64)
+def _rows(chunk: str, names: np.ndarray, values: np.ndarray, bits: int, size: int = 64) -> list[tuple]:
+    """A chunk's sorted names of `size` bits, as differences, and their values, by bucket: the names' first bits. A chunk has a row at least."""
+    cut = np.searchsorted(names, np.arange(1 << bits, dtype=np.uint64) << _U(size - bits)) if bits else np.zeros(1, np.int64)
     ends = np.append(cut[1:], len(names))
     return [(chunk, b, _pack(np.diff(names[x:y], prepend=_U(0)).view("<i8")), _pack(values[x:y])) for b, (x, y) in enumerate(zip(cut.tolist(), ends.tolist(), strict=True)) if y > x or not b]
 
@@ -147,7 +149,8 @@ def score_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     context is frequent, and contexts under test) with its own sums to buckets by the names' first
     bits, which give back the sums over all chunks. So a frequent word or context is one entry a
     chunk, wherever it occurs, no task holds more than a chunk or a bucket, and a table ends each
-    round. Names are 64-bit hashes. The rows of a round are chunks x buckets: raise both sizes with the
+    round. Words' names are 64-bit hashes, longer sequences' have 56 bits, so
+    one pair of sequences in 2^56 counts as the same. The rows of a round are chunks x buckets: raise both sizes with the
     corpus.
 
     Null and empty texts have the end only; null ids count as empty ones (held out), and stay null;
@@ -158,7 +161,7 @@ def score_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     root = f"{shared_dir(spark)}/suffix-tree-{uuid.uuid4().hex}"
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     whole = int(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
-    bits = max(0, (whole // bucket_bytes).bit_length())
+    bits = min(24, (whole // bucket_bytes).bit_length())
 
     def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -194,7 +197,10 @@ def score_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
             yield from close().to_batches()
 
     def told(asked: DataFrame) -> DataFrame:
-        return keep(asked.groupBy("bucket").applyInArrow(_sum_bucket, _TOLD), "suffix-tree-sums")
+        out = keep(asked.groupBy("bucket").applyInArrow(_sum_bucket, _TOLD), "suffix-tree-sums")
+        # What a finished round shuffled is of no more use; Spark deletes it once the driver's JVM has collected its garbage.
+        spark._jvm.System.gc()
+        return out
 
     sums = told(rows.mapInArrow(begin, _ASKED))
     found = sums.where("chunk IS NULL").agg(F.sum("distinct"), F.sum("total")).first()
@@ -233,7 +239,7 @@ def score_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
                 p = smoothed(c.n[k][tests] - own[tests], c.context(k)[tests] - own[tests], parent, weight)
                 gain = np.where(c.train[tests], np.rint(np.log(p / parent) * NAT), 0)
                 amounts = amounts + np.bincount(at[len(events) :], gain, len(names))
-            return _asked_table(_rows(c.name, names, amounts.astype(np.int64), bits))
+            return _asked_table(_rows(c.name, names, amounts.astype(np.int64), bits, 64 - int(SHORT)))
 
         return run
 
