@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.options import ScrubOptions
+from ..storage import keep
 
 #: Positions of one block: running sums are taken within blocks and over block totals, so that a contig is not one task.
 BLOCK = 1 << 14
@@ -22,6 +26,35 @@ def _running(rows: DataFrame, sums: list[str]) -> DataFrame:
     return joined.select(*[c for c in rows.columns], *[(F.sum(c).over(inside) + F.col(f"b_{c}")).alias(f"run_{c}") for c in sums])
 
 
+def covered(start: int, cigar: str, seq: str) -> list[tuple[int, int]]:
+    """The reference bases that an alignment covers as (first, first behind): its matches, without deletions, skips and bases other than A, C, G and T. Without a sequence all matches count."""
+    out: list[tuple[int, int]] = []
+    ref, at = start, 0
+    for size, op in re.findall(r"(\d+)([MIDNSHP=X])", cigar or ""):
+        n = int(size)
+        if op in "M=X":
+            for a, b in [m.span() for m in re.finditer("[ACGT]+", seq[at : at + n].upper())] if seq else [(0, n)]:
+                if out and out[-1][1] == ref + a:
+                    out[-1] = (out[-1][0], ref + b)
+                else:
+                    out.append((ref + a, ref + b))
+        ref += n * (op in "M=XDN")
+        at += n * (op in "M=XIS")
+    return out
+
+
+def aligned_blocks(aln: DataFrame) -> DataFrame:
+    """Alignments (tname, ref_start, cigar, seq) as the blocks they cover: ref, st, en, and the other columns but cigar and seq. Alignments that cover nothing have no row."""
+
+    @F.pandas_udf("array<struct<st:long,en:long>>")
+    def blocks(start: pd.Series, cigar: pd.Series, seq: pd.Series) -> pd.Series:
+        return pd.Series([[{"st": a, "en": b} for a, b in covered(int(s), c, q)] for s, c, q in zip(start, cigar, seq.fillna(""), strict=True)])
+
+    others = [c for c in aln.columns if c not in ("tname", "cigar", "seq", "st", "en", "ref")]
+    made = aln.where("ref_start IS NOT NULL").withColumn("__b", F.explode(blocks("ref_start", "cigar", "seq")))
+    return made.select(F.col("tname").alias("ref"), F.col("__b.st").alias("st"), F.col("__b.en").alias("en"), *others)
+
+
 def depth_runs(iv: DataFrame) -> DataFrame:
     """Maximal runs (ref, start, end, depth) of equal positive depth between events."""
     ends = iv.select("ref", F.explode(F.array(F.struct(F.col("st").alias("pos"), F.lit(1).alias("d")), F.struct(F.col("en").alias("pos"), F.lit(-1).alias("d")))).alias("e"))
@@ -58,22 +91,57 @@ def window_means(iv: DataFrame, contigs: DataFrame, window: int = 500, step: int
     return out.select("ref", "win_start", ((F.col("hi") - F.col("lo")) / F.col("width")).alias("mean_cov"))
 
 
+def value_counts(means: DataFrame) -> DataFrame:
+    """ref, mean_cov, n: how many windows have each mean; written, since medians read it more than once."""
+    return keep(means.where("mean_cov IS NOT NULL").groupBy("ref", "mean_cov").agg(F.count("*").alias("n")), "window-values")
+
+
+def median_of_counts(counts: DataFrame, value: str, by: list[str]) -> DataFrame:
+    """by and median, the exact median of value, n times each, in every group.
+
+    Ranks are first found over the sums of the values' integer parts, then over the distinct values
+    of the one or two parts that hold the middle. So no task sorts a group: a window has a row an
+    integer part, or a row a distinct value within one.
+    """
+    counts = counts.withColumn("__b", F.floor(value))
+    parts = counts.groupBy(*by, "__b").agg(F.sum("n").alias("__n"))
+    along = Window.partitionBy(*by).orderBy("__b")
+    parts = parts.withColumn("__end", F.sum("__n").over(along)).withColumn("__all", F.sum("__n").over(Window.partitionBy(*by)))
+    holds = lambda n: ((F.col("__end") > n) & (F.col("__end") - F.col("__n") <= n))
+    low, high = F.floor((F.col("__all") - 1) / 2), F.floor(F.col("__all") / 2)
+    middle = parts.where(holds(low) | holds(high)).select(*by, "__b", (F.col("__end") - F.col("__n")).alias("__base"), low.alias("__low"), high.alias("__high"))
+    # Null groups are groups, too.
+    both = counts.alias("c").join(middle.alias("m"), [F.col(f"c.{k}").eqNullSafe(F.col(f"m.{k}")) for k in [*by, "__b"]])
+    both = both.select(*[F.col(f"c.{k}") for k in [*by, "__b", value, "n"]], "__base", "__low", "__high")
+    inside = F.sum("n").over(Window.partitionBy(*by, "__b").orderBy(value)) + F.col("__base")
+    placed = both.withColumn("__to", inside).withColumn("__from", inside - F.col("n"))
+    at = lambda k: F.max(F.when((F.col("__from") <= F.col(k)) & (F.col("__to") > F.col(k)), F.col(value)))
+    return placed.groupBy(*by).agg(((at("__low") + at("__high")) / 2).alias("median"))
+
+
 def baselines(means: DataFrame) -> DataFrame:
-    return means.groupBy("ref").agg(F.median("mean_cov").alias("baseline"))
+    """The median window of each contig. means may be value_counts of them."""
+    counts = means if "n" in means.columns else value_counts(means)
+    return median_of_counts(counts, "mean_cov", ["ref"]).select("ref", F.col("median").alias("baseline"))
 
 
 def global_baseline(means: DataFrame) -> DataFrame:
-    return means.agg(F.coalesce(F.median("mean_cov"), F.lit(0.0)).alias("baseline"))
+    """The median of all windows, one row; 0 without any. means may be value_counts of them."""
+    counts = means if "n" in means.columns else value_counts(means)
+    whole = median_of_counts(counts.groupBy("mean_cov").agg(F.sum("n").alias("n")), "mean_cov", [])
+    return whole.agg(F.coalesce(F.max("median"), F.lit(0.0)).alias("baseline"))
 
 
-def local_coverage(iv: DataFrame) -> DataFrame:
-    """iv(name, ref, st, en) with local_cov, the mean depth over each interval. With a boolean column counted, only intervals where it holds make up the depth.
+def local_coverage(iv: DataFrame, depth: DataFrame | None = None) -> DataFrame:
+    """iv(name, ref, st, en) with local_cov, the mean depth over each interval. The depth is that of depth(ref, st, en) if given, else of iv; with a boolean column counted, of those where it holds.
 
     Bases below x are x * (starts - ends) - (sum of starts - sum of ends), both up to x; so two
     lookups in running sums replace the join of intervals with positions.
     """
     one = F.col("counted").cast("int") if "counted" in iv.columns else F.lit(1)
-    ends = iv.select("ref", F.explode(F.array(F.struct(F.col("st").alias("pos"), one.alias("d")), F.struct(F.col("en").alias("pos"), (-one).alias("d")))).alias("e"))
+    both = lambda rows, d: rows.select("ref", F.explode(F.array(F.struct(F.col("st").cast("long").alias("pos"), d.alias("d")), F.struct(F.col("en").cast("long").alias("pos"), (-d).alias("d")))).alias("e"))
+    # With a depth of its own, the intervals only mark where it is looked up.
+    ends = both(iv, one) if depth is None else both(depth, F.lit(1)).unionAll(both(iv, F.lit(0)))
     events = ends.groupBy("ref", F.col("e.pos").alias("pos")).agg(F.sum("e.d").alias("d")).withColumn("s", F.col("pos") * F.col("d"))
     below = _running(events, ["d", "s"]).select("ref", "pos", (F.col("pos") * F.col("run_d") - F.col("run_s")).alias("below"))
     lo = below.select("ref", F.col("pos").alias("st"), F.col("below").alias("below_st"))
@@ -105,18 +173,26 @@ def primary(aln: DataFrame) -> DataFrame:
 
 
 def classify(aln: DataFrame, contigs: DataFrame, options: ScrubOptions = ScrubOptions()) -> DataFrame:
-    """Primary alignments (qname, flag, tname, ref_start, ref_end, mapq, cigar, seq) with their outcome.
+    """Primary alignments (qname, flag, tname, ref_start, ref_end, mapq, cigar, seq) with their outcome."""
+    return classified(aln, contigs, options)[0]
+
+
+def classified(aln: DataFrame, contigs: DataFrame, options: ScrubOptions = ScrubOptions()) -> tuple[DataFrame, DataFrame]:
+    """(primary alignments with their outcome, baselines of all contigs: ref, baseline).
 
-    Depth is that of mapped alignments, supplementary ones included, without secondary, duplicate
-    and failed ones; it is taken for baselines and for the rule. Only primary alignments are judged.
+    Depth is that of the blocks that mapped alignments cover, supplementary ones included, without
+    secondary, duplicate and failed ones; it is taken for baselines and for the rule. Only primary
+    alignments are judged.
     """
     from ..functions import seq as S
 
-    p = aln.where(without(UNMAPPED + SECONDARY)).withColumn("counted", without(QC_FAIL + DUPLICATE)).withColumn("read_len", S.read_length(F.col("cigar"), F.col("seq")))
+    p = aln.where(without(UNMAPPED + SECONDARY)).withColumn("read_len", S.read_length(F.col("cigar"), F.col("seq")))
     p = p.withColumn("mapped_fraction", S.aligned_query_length(F.col("cigar")) / F.col("read_len")).withColumn("softclip_fraction", S.softclip_length(F.col("cigar")) / F.col("read_len"))
-    iv = p.withColumnsRenamed({"tname": "ref", "ref_start": "st", "ref_end": "en"})
-    base = baselines(window_means(iv.where("counted"), contigs, options.window, options.step)).select("ref", (F.col("baseline") * options.coverage_ratio).alias("threshold"))
-    return outcomes(local_coverage(iv).where(without(SUPPLEMENTARY)).join(base, "ref", "left"), options)
+    depth = keep(aligned_blocks(aln.where(without(UNMAPPED + SECONDARY + QC_FAIL + DUPLICATE)).select("tname", "ref_start", "cigar", "seq")).select("ref", "st", "en"), "aligned-blocks")
+    base = keep(baselines(window_means(depth, contigs, options.window, options.step)), "baselines")
+    judged = p.where(without(SUPPLEMENTARY)).withColumnsRenamed({"tname": "ref", "ref_start": "st", "ref_end": "en"})
+    limits = base.select("ref", (F.col("baseline") * options.coverage_ratio).alias("threshold"))
+    return outcomes(local_coverage(judged, depth).join(limits, "ref", "left"), options), base
 
 
 def read_verdicts(judged: DataFrame) -> DataFrame:

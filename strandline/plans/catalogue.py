@@ -174,10 +174,22 @@ def sliding_coverage(spark, d):
 
 @query(f"WITH {MEANS_SQL}, a AS (SELECT median(mean_cov) AS all_baseline FROM means) SELECT ref, median(mean_cov) AS baseline, max(all_baseline) AS all_baseline FROM means, a GROUP BY ref")
 def coverage_baseline(spark, d):
-    means = C.window_means(iv(spark, d), contigs(spark, d))
+    means = C.value_counts(C.window_means(iv(spark, d), contigs(spark, d)))
     return C.baselines(means).join(F.broadcast(C.global_baseline(means).withColumnRenamed("baseline", "all_baseline")))
 
 
+BLOCKS_SQL = "al AS (SELECT l_returnflag || l_linestatus AS ref, (l_partkey * 7919) % 40000 AS st, CAST(l_quantity AS BIGINT) AS q, l_linenumber AS k FROM lineitem), bl AS (SELECT ref, st, st + q * 20 AS en FROM al UNION ALL SELECT ref, st + q * 20 + k, st + q * 20 + k + 50 FROM al UNION ALL SELECT ref, st + q * 20 + k + 50 + 100 * k, st + q * 20 + k + 80 + 100 * k FROM al)"
+
+
+@query(f"WITH {BLOCKS_SQL}, e AS (SELECT ref, st AS pos, 1 AS d FROM bl UNION ALL SELECT ref, en, -1 FROM bl), s AS (SELECT ref, pos, sum(d) AS d FROM e GROUP BY ref, pos HAVING sum(d) <> 0), r AS (SELECT ref, pos AS start, lead(pos) OVER w AS \"end\", sum(d) OVER w AS depth FROM s WINDOW w AS (PARTITION BY ref ORDER BY pos)) SELECT ref, start, \"end\", CAST(depth AS BIGINT) AS depth FROM r WHERE depth > 0")
+def aligned_depth(spark, d):
+    """Depth of lines as alignments with clips, insertions, deletions and skips, which cover their matches only."""
+    q, k = F.col("l_quantity").cast("long"), F.col("l_linenumber").cast("long")
+    cigar = F.format_string("3S%dM2I%dD50M%dN30=4H", q * 20, k, k * 100)
+    rows = _t(spark, d, "lineitem").select(F.concat("l_returnflag", "l_linestatus").alias("tname"), ((F.col("l_partkey") * 7919) % 40000).alias("ref_start"), cigar.alias("cigar"), F.lit("").alias("seq"))
+    return C.depth_runs(C.aligned_blocks(rows))
+
+
 LOCAL_SQL = f"{MEANS_SQL}, base AS MATERIALIZED (SELECT ref, median(mean_cov) * 0.95 AS threshold FROM means GROUP BY ref), e AS (SELECT ref, st AS pos, 1 AS d FROM iv UNION ALL SELECT ref, en, -1 FROM iv), s AS (SELECT ref, pos, sum(d) AS d FROM e GROUP BY ref, pos), cu AS MATERIALIZED (SELECT ref, pos, CAST(pos * sum(d) OVER w - sum(pos * d) OVER w AS BIGINT) AS below FROM s WINDOW w AS (PARTITION BY ref ORDER BY pos)), loc AS MATERIALIZED (SELECT iv.*, (h.below - l.below) / CAST(iv.en - iv.st AS DOUBLE) AS local_cov FROM iv JOIN cu l ON l.ref = iv.ref AND l.pos = iv.st JOIN cu h ON h.ref = iv.ref AND h.pos = iv.en)"
 
 

@@ -14,6 +14,7 @@ from ..operators import coverage as C
 from ..operators import downsample as D
 from ..operators import pools as P
 from ..operators import stats as T
+from ..sources import bam
 from ..sources import readers as R
 from ..sources import writers as W
 from ..storage import keep
@@ -52,12 +53,34 @@ def extract_reads(reads: DataFrame, names: DataFrame, path: str) -> int:
     return kept.count()
 
 
-def keep_alignments(spark: SparkSession, sam: str, names: DataFrame, path: str) -> None:
-    """The header and the alignments of names(name), as SAM text."""
-    lines = spark.read.text(sam)
+def is_binary(path: str) -> bool:
+    return R.blocked(path)
+
+
+def read_alignment_file(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(alignments, contigs) of SAM text or a binary file."""
+    if is_binary(path):
+        return bam.read_bam(spark, path), bam.read_bam_contigs(spark, path)
+    return R.read_sam(spark, path), R.read_sam_contigs(spark, path)
+
+
+def keep_alignments(spark: SparkSession, path: str, names: DataFrame, out: str) -> None:
+    """The header and the alignments of names(name), every one of them with all its fields.
+
+    Of SAM text: text parts that make up one file in order, the header first, then the alignments as
+    they came. Of a binary file: a sorted binary folder with its index.
+    """
+    wanted = names.select("name").distinct()
+    if is_binary(path):
+        text, refs, _ = bam.read_header(path)
+        rows = bam.read_bam(spark, path, columns=("qname", "record"))
+        bam.write_bam(rows.join(wanted, F.col("qname") == F.col("name"), "left_semi").select("record"), out, text, refs)
+        return
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"))
     head = lines.where("value LIKE '@%'")
-    body = lines.where("value NOT LIKE '@%'").withColumn("name", F.split("value", "\t")[0])
-    body.join(names.select("name").distinct(), "name", "left_semi").select("value").unionAll(head).select("value").sortWithinPartitions(F.col("value").startswith("@").desc()).write.mode("overwrite").text(path)
+    body = lines.where("value NOT LIKE '@%'").withColumn("name", F.split("value", "\t")[0]).join(wanted, "name", "left_semi")
+    rows = head.select(F.lit(0).alias("kind"), "file", "block", "id", "value").unionByName(body.select(F.lit(1).alias("kind"), "file", "block", "id", "value"))
+    rows.orderBy("kind", "file", "block", "id").select("value").write.mode("overwrite").text(out)
 
 
 def restricted(reads: DataFrame, chroms: list[str] | None) -> DataFrame:
@@ -131,8 +154,8 @@ def pool_run(spark: SparkSession, paf: str, reads: R.Paths, reference: R.Paths,
 def downsample_run(spark: SparkSession, sam: str, reads: R.Paths, out: str, options: DownsampleOptions = DownsampleOptions(), chroms: list[str] | None = None, keep_sam: bool = False) -> DataFrame:
     """Alignments and reads to a normalised set of reads, all chromosomes in one job; returns and writes their statistics."""
     validate(options)
-    contigs = R.read_sam_contigs(spark, sam)
-    placed = restricted(R.read_alignments(R.read_sam(spark, sam), options.min_mapq), chroms)
+    aln, contigs = read_alignment_file(spark, sam)
+    placed = restricted(R.read_alignments(aln, options.min_mapq), chroms)
     names = keep(D.downsample(placed, contigs, options.target_coverage, options.bin_size, options.spanning_fraction, options.skip), "downsampled")
     extract_reads(R.read_reads(spark, reads), names, f"{out}/reads")
     stats = downsample_stats(placed, contigs, options, names)
@@ -145,10 +168,9 @@ def downsample_run(spark: SparkSession, sam: str, reads: R.Paths, out: str, opti
 def scrub_run(spark: SparkSession, sam: str, reads: R.Paths, out: str, options: ScrubOptions = ScrubOptions(), keep_sam: bool = False) -> DataFrame:
     """Alignments and reads to the reads whose alignments pass; returns and writes the outcome counts."""
     validate(options)
-    contigs = R.read_sam_contigs(spark, sam)
-    judged = keep(C.classify(R.read_sam(spark, sam), contigs, options), "judged")
-    # The threshold is the baseline's share, so baselines come back from it where the ratio isn't 0.
-    base = judged.groupBy("ref").agg(F.max(F.col("threshold") / (options.coverage_ratio or 1.0)).alias("baseline"))
+    aln, contigs = read_alignment_file(spark, sam)
+    judged, base = C.classified(aln, contigs, options)
+    judged = keep(judged, "judged")
     clean = judged.where("outcome = 'clean'").select(F.col("qname").alias("name")).distinct()
     extract_reads(R.read_reads(spark, reads), clean, f"{out}/reads")
     stats = scrub_stats(judged, base)

@@ -61,7 +61,7 @@ def is_blocked(uri: str) -> bool:
 def pack_block(payload: bytes, level: int = 6) -> bytes:
     c = zlib.compressobj(level, zlib.DEFLATED, -15)
     body = c.compress(payload) + c.flush()
-    return MAGIC + struct.pack("<IBBHHHHH", 0, 0, 255, 6, 0x4342, 2, len(body) + 25, 0)[:14] + body + struct.pack("<II", zlib.crc32(payload), len(payload))
+    return MAGIC + struct.pack("<IBBHHHH", 0, 0, 255, 6, 0x4342, 2, len(body) + 25) + body + struct.pack("<II", zlib.crc32(payload), len(payload))
 
 
 def first_block(file, size: int, at: int) -> int:
@@ -147,6 +147,8 @@ def records(file, size: int, start: int, stop: int, cut: Cut, border: Border, sk
         buf = b"".join(parts)
 
     more()
+    while skip and len(buf) < skip and not whole:
+        more()
     while pos is None:
         pos = border(buf, 0, whole)
         if pos is None:

@@ -95,3 +95,32 @@ def test_sinks_and_text_reports(spark, tmp_path):
     rings = spark.createDataFrame([(["A", "B"], 100), (["C", "D"], 300)], "path array<string>, total long")
     said = report.joins_text(joins, rings)
     assert said.index("300") < said.index("A -> B")
+
+
+def test_kept_alignments_are_a_valid_file(spark, tmp_path, files):
+    sam = files[3]
+    run.keep_alignments(spark, sam, spark.createDataFrame([("r3",), ("r0",), ("r4",)], "name string"), str(tmp_path / "kept"))
+    text = "".join(p.read_text() for p in sorted((tmp_path / "kept").glob("part-*")))
+    whole = open(sam).read().splitlines()
+    assert text.splitlines() == whole[:2] + [x for x in whole[2:] if x.split("\t")[0] in ("r0", "r3", "r4")]
+
+
+def test_baselines_do_not_need_a_ratio(spark, tmp_path, files):
+    fastq, _, _, sam = files
+    got = [run.scrub_run(spark, sam, fastq, str(tmp_path / str(r)), ScrubOptions(window=100, step=50, coverage_ratio=r)).first().per_contig_baselines for r in (0.0, 0.2)]
+    assert got[0] == got[1] and got[0]["c1"] > 0 and got[0]["c2"] == 0.0
+
+
+def test_binary_alignments_give_the_same_run(spark, tmp_path, files):
+    from strandline.sources import bam, blocks
+
+    fastq, _, _, sam = files
+    head, rows = "@SQ\tSN:c1\tLN:200\n@SQ\tSN:c2\tLN:4\n", [x for x in open(sam).read().splitlines() if x[0] != "@"]
+    data = bam.header_bytes(head, [("c1", 200), ("c2", 4)]) + b"".join(bam.encode_line(x, {"c1": 0, "c2": 1}) for x in rows)
+    (tmp_path / "a.bam").write_bytes(blocks.pack_block(data) + blocks.LAST)
+    for f, o in ((run.scrub_run, ScrubOptions(window=100, step=50)), (run.downsample_run, DownsampleOptions(1, 50, 0.8, 10))):
+        a = f(spark, sam, fastq, str(tmp_path / "a" / f.__name__), o, keep_sam=True).collect()
+        b = f(spark, str(tmp_path / "a.bam"), fastq, str(tmp_path / "b" / f.__name__), o, keep_sam=True).collect()
+        assert sorted(map(repr, a)) == sorted(map(repr, b))
+        texts = sorted(map(tuple, R.read_sam(spark, str(tmp_path / "a" / f.__name__ / "alignments")).collect()))
+        assert sorted(map(tuple, bam.read_bam(spark, str(tmp_path / "b" / f.__name__ / "alignments")).collect())) == texts and texts

@@ -12,6 +12,7 @@ from strandline.operators import downsample as D
 from strandline.operators import graph as G
 from strandline.operators import pools as P
 from strandline.operators import stats as T
+from strandline.plans.options import ScrubOptions
 
 ALN = "qname string, tname string, n_match long, aln_len long"
 IV = "name string, length long, mean_q double, ref string, st long, en long"
@@ -276,3 +277,29 @@ def test_greedy_against_the_rule_spelled_out(spark, once):
     reads = spark.createDataFrame(rows, "name string, length int, mean_q double, ref string, st int, en int")
     contigs = spark.createDataFrame(list(length.items()), "name string, length long")
     assert {r.name for r in D.greedy(reads, contigs, target, size, credit_once=once).collect()} == want and len(want) < 400
+
+
+def test_blocks_of_alignments(spark):
+    assert C.covered(10, "2S3M1I2M2D4M5N1=3H", "TTACGTACGTACG") == [(10, 15), (17, 21), (26, 27)]
+    assert C.covered(0, "5M", "ACNGT") == [(0, 2), (3, 5)] and C.covered(0, "*", "AC") == [] and C.covered(3, "4M", "") == [(3, 7)] and C.covered(0, "3M", "acg") == [(0, 3)]
+    rows = spark.createDataFrame([("c", 5, "2M3D2M", None), ("c", 5, "10M", ""), (None, None, "3M", ""), ("c", 1, None, "A")], "tname string, ref_start long, cigar string, seq string")
+    assert sorted((r.ref, r.st, r.en) for r in C.aligned_blocks(rows).collect()) == [("c", 5, 7), ("c", 5, 15), ("c", 10, 12)]
+
+
+def test_depth_leaves_deletions_out(spark):
+    aln = spark.createDataFrame([("a", 0, "c", 0, 1000, 60, "400M200D400M", ""), ("b", 0, "c", 0, 1000, 60, "1000M", ""), ("d", 0, "c", 420, 580, 60, "160M", "")], "qname string, flag int, tname string, ref_start long, ref_end long, mapq int, cigar string, seq string")
+    judged, base = C.classified(aln, spark.createDataFrame([("c", 1000), ("e", 700)], "name string, length long"), ScrubOptions(window=100, step=100))
+    assert {r.qname: round(r.local_cov, 6) for r in judged.collect()} == {"a": 1.96, "b": 1.96, "d": 2.0}
+    assert {r.ref: r.baseline for r in base.collect()} == {"c": 2.0, "e": 0.0}
+
+
+def test_medians_equal_the_built_in(spark):
+    import random
+
+    rng = random.Random(9)
+    rows = [(rng.choice("abc"), rng.choice([0.0, 1.25, 7.5, rng.random() * 40, -3.5])) for _ in range(999)] + [("d", 4.0), ("e", None), ("f", 1.0), ("f", 2.0), (None, 3.0)]
+    means = spark.createDataFrame(rows, "ref string, mean_cov double")
+    want = {r[0]: r[1] for r in means.where("mean_cov IS NOT NULL").groupBy("ref").agg(F.median("mean_cov")).collect()}
+    assert {r.ref: r.baseline for r in C.baselines(means).collect()} == want
+    assert C.global_baseline(means).first()[0] == means.agg(F.median("mean_cov")).first()[0]
+    assert C.global_baseline(means.limit(0)).first()[0] == 0.0
