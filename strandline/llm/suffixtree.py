@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -15,8 +16,8 @@ from .common import keep, shared_dir, table
 from .ids import _file, _publish
 from .near import _LOWER, _mix
 
-#: Words of context at most; training occurrences that a context has at least; nats of leave-one-out gain from which it is retained; its parent's distribution counts for WEIGHT * count^GROWTH observations.
-DEPTH, LEAST, CUT, WEIGHT, GROWTH = 2, 16, 4.0, 4.0, 0.8
+#: Words of context at most; training occurrences that a context has at least, also as a share of all tokens (the P_min of such trees); nats of leave-one-out gain from which it is retained; its parent's distribution counts for WEIGHT * count^GROWTH observations.
+DEPTH, LEAST, SHARE, CUT, WEIGHT, GROWTH = 2, 16, 1e-6, 4.0, 4.0, 0.8
 #: UTF-8 bytes of text in one chunk, and bytes of text for which there is one bucket of keys.
 CHUNK_BYTES, BUCKET_BYTES = 8 << 20, 4 << 20
 #: Gains are summed as whole numbers of this part of a nat, so that their order doesn't matter.
@@ -130,7 +131,7 @@ def _sum_bucket(rows: pa.Table) -> pa.Table:
     return pa.table([pa.array([*chunk, None], pa.string()), pa.array([*bucket, bucket[0]], pa.int32()), pa.array([*told, None], pa.binary()), pa.array([None] * n + [int((sums > 0).sum())], pa.int64()), pa.array([None] * n + [int(sums.sum())], pa.int64())], names=["chunk", "bucket", "sums", "distinct", "total"])
 
 
-def score_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", depth: int = DEPTH, least: int = LEAST, cut: float = CUT, weight: float = WEIGHT, folds: int = 10, chunk_bytes: int = CHUNK_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+def score_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", depth: int = DEPTH, least: int = LEAST, share: float = SHARE, cut: float = CUT, weight: float = WEIGHT, folds: int = 10, chunk_bytes: int = CHUNK_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, state_words: one row a row of docs.
 
     Tokens are words, A-Z lower-cased, and one end a document. Documents whose crc32 of the id's
@@ -138,7 +139,7 @@ def score_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     log10 of add-0.1 unigram probabilities.
 
     The tree: its root is that unigram distribution. A context of up to `depth` words with `least`
-    training occurrences or more is tested: over its occurrences, each left out of all counts in
+    training occurrences or more, and `share` of all training tokens or more, is tested: over its occurrences, each left out of all counts in
     turn, the log-likelihood it gains over the longest state that is its suffix is summed, which is
     its count times an estimate of their divergence; from `cut` nats on it is a state. A state's
     distribution is its counts smoothed by `weight` * count^0.8 observations of its parent's. A token is scored
@@ -205,6 +206,7 @@ def score_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     sums = told(rows.mapInArrow(begin, _ASKED))
     found = sums.where("chunk IS NULL").agg(F.sum("distinct"), F.sum("total")).first()
     words, tokens = found[0] or 0, found[1] or 0
+    least = max(least, math.ceil(share * tokens))
 
     def received(rows: pa.Table, r: int) -> Chunk:
         """A chunk with what round r - 1 asked for, and has now been told, in its place."""
