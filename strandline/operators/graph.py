@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import seq as S
-from ..functions.align import align
+from ..functions.align import Floors, align
 from ..plans.options import GraphOptions
 from ..storage import keep
 
@@ -35,18 +35,44 @@ def circular(hits: DataFrame, min_identity: float = 75.0, min_overlap: int = 100
     return hits.withColumn("circular_possible", ok if window is None else ok & (F.col("length") > window))
 
 
-def build_edges(segments: DataFrame, options: GraphOptions = GraphOptions()) -> DataFrame:
+#: A q-gram of so many letters is rare in windows of some hundred: such grams are joined on, shorter ones leave no pair out.
+SELECTIVE = 12
+
+
+def _grams(rows: DataFrame, seq: str, q: int) -> DataFrame:
+    """rows with a row for each distinct q-gram of seq."""
+    cut = F.transform(F.sequence(F.lit(1), F.greatest(F.length(seq) - q + 1, F.lit(1))), lambda i: F.substring(F.col(seq), i, F.lit(q)))
+    return rows.withColumn("__gram", F.explode(F.array_distinct(F.filter(cut, lambda x: F.length(x) == q))))
+
+
+def possible_pairs(left: DataFrame, right: DataFrame, query: str, target: str, on, floors: Floors, by: tuple[list[str], list[str]]) -> DataFrame:
+    """Pairs of left and right for which on holds and whose alignment may reach the floors.
+
+    Where the floors imply a common q-gram that is rare by chance, pairs are found by a join on
+    grams, each once; by names the columns that tell rows of either side apart. Else nearly all pairs have such a gram
+    by chance, and all are returned; the alignment leaves most of them out by counting matches.
+    """
+    q = floors.gram()
+    if q < SELECTIVE:
+        return left.join(right, on)
+    a, b = _grams(left.select(*by[0], query), query, q).drop(query), _grams(right.select(*by[1], target), target, q).drop(target)
+    named = a.join(b, "__gram").select(*by[0], *by[1]).distinct()
+    return named.join(left, by[0]).join(right, by[1]).where(on)
+
+
+def build_edges(segments: DataFrame, options: GraphOptions = GraphOptions(), exact: bool = False) -> DataFrame:
     """Edges between oriented segments whose tail and head align well, the best top_out a node.
 
-    All pairs of different segments are aligned: that product is the operator's definition, over
-    contigs of an assembly. Pairs are dealt out evenly before the alignment.
+    The operator is about all pairs of different segments of an assembly. Only those that can reach
+    the floors are aligned (all with exact, to the same result). Pairs are dealt out evenly before the alignment.
     """
     t = oriented_terminals(segments, options.window)
     n = int(segments.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     src = t.select(F.col("seg").alias("src_seg"), F.col("orient").alias("src_orient"), F.col("length").alias("src_len"), F.col("tail").alias("query"))
     dst = t.select(F.col("seg").alias("dst_seg"), F.col("orient").alias("dst_orient"), F.col("length").alias("dst_len"), F.col("head").alias("target"))
-    pairs = src.join(dst, F.col("src_seg") != F.col("dst_seg")).repartition(n)
-    hits = align(pairs).where((F.col("identity") >= options.min_identity) & (F.col("overlap") >= options.min_overlap))
+    floors, differ = Floors(options.min_identity, options.min_overlap), F.col("src_seg") != F.col("dst_seg")
+    pairs = src.join(dst, differ) if exact else possible_pairs(src, dst, "query", "target", differ, floors, (["src_seg", "src_orient"], ["dst_seg", "dst_orient"]))
+    hits = align(pairs.repartition(n), floors=None if exact else floors).where((F.col("identity") >= options.min_identity) & (F.col("overlap") >= options.min_overlap))
     edges = hits.select("src_seg", "src_orient", "dst_seg", "dst_orient", F.round("identity", 2).alias("identity"), "overlap", "src_len", "dst_len")
     return top_edges(edges.withColumn("score", F.col("identity") * F.col("overlap")), options.top_out)
 
@@ -125,9 +151,51 @@ def sized_paths(edges: DataFrame, options: GraphOptions = GraphOptions()) -> tup
     return cycles.orderBy(*order).limit(options.max_cycles), linear.orderBy(*order).limit(options.max_linear)
 
 
+def closed_walks(edges: DataFrame, max_depth: int) -> DataFrame:
+    """The cycles of up to max_depth edges, each as one closed walk from its smallest segment, with the columns of walks.
+
+    A cycle is a walk out of that segment and a walk back into it, of as many edges or one less,
+    which meet in a node and share no other segment. So walks of half the depth are joined on both
+    ends, and no walk of full depth is made. Each step is written to shared storage.
+    """
+    e = keep(edges.select(_node("src_seg", "src_orient").alias("src"), _node("dst_seg", "dst_orient").alias("dst"), "identity", "overlap", F.col("score").alias("e_score"), "src_len", "dst_len"), "edges")
+    nodes = e.select(F.col("src").alias("start")).distinct()
+    none = [F.lit(0).alias("depth"), F.lit(0.0).alias("sum_identity"), F.lit(None).cast("double").alias("min_identity"), F.lit(0).cast("long").alias("total_overlap"), F.lit(0.0).alias("score"), F.lit(0).cast("long").alias("len")]
+    add = [(F.col("depth") + 1).alias("depth"), (F.col("sum_identity") + F.col("identity")).alias("sum_identity"), F.coalesce(F.least("min_identity", "identity"), "identity").alias("min_identity"), (F.col("total_overlap") + F.col("overlap")).alias("total_overlap"), (F.col("score") + F.col("e_score")).alias("score")]
+
+    def halves(forward: bool, steps: int) -> list[DataFrame]:
+        """Walks of 1 to steps edges out of, or back into, every start over greater segments: start, end, path without the start, and sums."""
+        prefix = "a" if forward else "b"
+        front, out = nodes.select("start", F.col("start").alias("end"), F.array().cast(f"array<{NODE}>").alias("path"), *none), []
+        here, there = ("src", "dst") if forward else ("dst", "src")
+        # The edge that closes the cycle adds no length.
+        size = F.col("dst_len") if forward else F.when(F.col("depth") > 0, F.col("dst_len")).otherwise(0)
+        for _ in range(steps):
+            grown = front.join(e, F.col("end") == F.col(here)).where((F.col(f"{there}.seg") > F.col("start.seg")) & ~F.exists("path", lambda x: x["seg"] == F.col(f"{there}.seg")))
+            path = F.concat("path", F.array(there)) if forward else F.concat(F.array(there), "path")
+            front = keep(grown.select("start", F.col(there).alias("end"), path.alias("path"), *add, (F.col("len") + size).cast("long").alias("len")), "half-walks")
+            out.append(front.select(*[F.col(c).alias(f"{prefix}_{c}") for c in front.columns]))
+        return out
+
+    forth, back = halves(True, (max_depth + 1) // 2), halves(False, max_depth // 2)
+    starts, found = e.groupBy("src").agg(F.max("src_len").alias("start_len")), []
+    for n in range(2, max_depth + 1):
+        # Both paths hold the node where they meet, the one at its end and the other at its beginning.
+        meet = (F.col("a_start") == F.col("b_start")) & (F.col("a_end") == F.col("b_end"))
+        rest = F.slice("b_path", F.lit(2), F.size("b_path"))
+        apart = ~F.exists(rest, lambda x: F.exists("a_path", lambda y: x["seg"] == y["seg"]))
+        found.append(forth[(n + 1) // 2 - 1].join(back[n // 2 - 1], meet).where(apart).select("a_start", F.concat(F.array("a_start"), "a_path", rest, F.array("a_start")).alias("nodes"), *[F.col(f"{x}_{c}") for x in "ab" for c in ("len", "depth", "sum_identity", "min_identity", "total_overlap", "score")]))
+    if not found:
+        return walks(edges, max_depth)[1]
+    both = reduce(DataFrame.union, found).join(starts, F.col("a_start") == F.col("src"))
+    plus = lambda c: F.col(f"a_{c}") + F.col(f"b_{c}")
+    overlap = plus("total_overlap")
+    return both.select("nodes", (F.col("start_len") + plus("len") - overlap).cast("long").alias("total_len"), plus("depth").alias("depth"), plus("sum_identity").alias("sum_identity"), F.least("a_min_identity", "b_min_identity").alias("min_identity"), overlap.alias("total_overlap"), plus("score").alias("score"))
+
+
 def any_cycles(edges: DataFrame, options: GraphOptions = GraphOptions()) -> DataFrame:
     """Cycles of any size, best identity first, as many as asked for."""
-    _, closed = walks(edges, options.max_depth)
+    closed = closed_walks(edges, options.max_depth)
     return _finished(distinct_cycles(closed), "cycle_any").orderBy(F.desc("mean_identity"), F.desc("score"), "total_len", F.col("nodes").asc()).limit(options.max_any)
 
 
@@ -187,10 +255,11 @@ def join_candidates(segments: DataFrame, window: int = 500, compat: bool = False
     return pairs.select(F.col("a_name").alias("seg_a"), F.col("b_name").alias("seg_b"), F.col("a_length").alias("len_a"), F.col("b_length").alias("len_b"), F.explode(kinds).alias("k")).select("seg_a", "k.end_a", "seg_b", "k.end_b", "k.orientation", "k.note", "len_a", "len_b", "k.query", "k.target")
 
 
-def candidate_joins(segments: DataFrame, window: int = 500, min_identity: float = 75.0, min_overlap: int = 100, compat: bool = False) -> DataFrame:
-    """Joins whose ends align well enough, on unrounded identity; best identity first."""
+def candidate_joins(segments: DataFrame, window: int = 500, min_identity: float = 75.0, min_overlap: int = 100, compat: bool = False, exact: bool = False) -> DataFrame:
+    """Joins whose ends align well enough, on unrounded identity; best identity first. Only pairs that can reach the floors are aligned (all with exact, to the same result)."""
     n = int(segments.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hits = align(join_candidates(segments, window, compat).repartition(n)).where((F.col("identity") >= min_identity) & (F.col("overlap") >= min_overlap))
+    floors = None if exact else Floors(min_identity, min_overlap)
+    hits = align(join_candidates(segments, window, compat).repartition(n), floors=floors).where((F.col("identity") >= min_identity) & (F.col("overlap") >= min_overlap))
     return hits.select("seg_a", "end_a", "seg_b", "end_b", "orientation", F.round("identity", 2).alias("identity_pct"), F.col("overlap").alias("overlap_bp"), (F.col("len_a") + F.col("len_b") - F.col("overlap")).alias("combined_len_bp"), "note").orderBy(F.desc("identity_pct"))
 
 
@@ -198,23 +267,34 @@ def circular_joins(joins: DataFrame, segments: DataFrame, expected: float = 4940
     """Rings of '+/+' joins whose size fits the expected one; every rotation is its own row: path, total, size.
 
     size is the sum of the segments' lengths without their overlaps, the closing one included, and
-    is what is tested; total is the plain sum of lengths. An open path ends where its size, without
-    the closing overlap, grows beyond the window, or where it comes back to one of its segments;
-    rings may have any number of segments.
-    Each step is one join, written to shared storage.
+    is what is tested; total is the plain sum of lengths. A rotation counts only if its open path,
+    before the closing overlap, stays within the window at every step; rings may have any number of segments.
+
+    A ring is found once, from its smallest segment over greater ones, and turned afterwards; an open
+    path ends where no closing overlap could bring it back. Each step is one join, written to shared storage.
     """
     lo, hi = expected * (1 - tolerance), expected * (1 + tolerance)
     lens = segments.select("name", F.length("seq").cast("long").alias("length"))
     e = joins.where("orientation = '+/+'").select("seg_a", "seg_b", "overlap_bp").join(lens.select(F.col("name").alias("seg_b"), F.col("length").alias("b_len")), "seg_b")
-    e = keep(e.select(F.col("seg_a").alias("src"), F.col("seg_b").alias("dst"), F.col("overlap_bp").alias("ov"), "b_len"), "ring-edges")
-    front = e.select("src").distinct().join(lens, F.col("src") == F.col("name")).select(F.array("src").alias("path"), F.col("length").alias("total"), F.col("length").alias("size"))
+    e = keep(e.select(F.col("seg_a").alias("src"), F.col("seg_b").alias("dst"), F.col("overlap_bp").cast("long").alias("ov"), "b_len"), "ring-edges")
+    most, least = e.agg(F.coalesce(F.max("ov"), F.lit(0)), F.coalesce(F.min(F.col("b_len") - F.col("ov")), F.lit(0))).first()
+    front = e.select("src").distinct().join(lens, F.col("src") == F.col("name")).select(F.array("src").alias("path"), F.array("length").alias("lens"), F.array().cast("array<bigint>").alias("ovs"), F.col("length").alias("size"))
     rings = []
     while True:
         closes = F.col("dst") == F.col("path")[0]
         size = F.col("size") - F.col("ov") + F.when(closes, 0).otherwise(F.col("b_len"))
-        grown = front.join(e, F.element_at("path", -1) == F.col("src")).where((closes & size.between(lo, hi)) | (~F.array_contains("path", F.col("dst")) & (size <= hi)))
-        grown = keep(grown.select(closes.alias("closes"), F.when(closes, F.col("path")).otherwise(F.concat("path", F.array("dst"))).alias("path"), (F.col("total") + F.when(closes, 0).otherwise(F.col("b_len"))).alias("total"), size.alias("size")), "rings")
+        # Where an overlap is longer than what follows it, later steps may take back more than the closing one.
+        room = F.lit(True) if least < 0 else size - most <= hi
+        grown = front.join(e, F.element_at("path", -1) == F.col("src")).where((closes & size.between(lo, hi)) | ((F.col("dst") > F.col("path")[0]) & ~F.array_contains("path", F.col("dst")) & room))
+        more = lambda c, x: F.when(closes, F.col(c)).otherwise(F.concat(c, F.array(x)))
+        grown = keep(grown.select(closes.alias("closes"), more("path", "dst").alias("path"), more("lens", "b_len").alias("lens"), F.concat("ovs", F.array("ov")).alias("ovs"), size.alias("size")), "rings")
         rings.append(grown.where("closes").drop("closes"))
         front = grown.where("NOT closes").drop("closes")
         if front.isEmpty():
-            return reduce(DataFrame.union, rings)
+            break
+    turn = lambda c: F.concat(F.slice(c, F.col("k") + 1, F.size(c)), F.slice(c, F.lit(1), F.col("k")))
+    turned = reduce(DataFrame.union, rings).withColumn("k", F.explode(F.sequence(F.lit(0), F.size("path") - 1))).select(turn("path").alias("path"), turn("lens").alias("lens"), turn("ovs").alias("ovs"), "size")
+    upto = lambda c, n: F.aggregate(F.slice(c, F.lit(1), n), F.lit(0).cast("long"), lambda s, x: s + x)
+    # The path of m segments is m lengths less the m - 1 overlaps between them.
+    over = F.exists(F.sequence(F.lit(1), F.size("path")), lambda m: (m > 1) & (upto("lens", m) - upto("ovs", m - 1) > hi))
+    return turned.where(~over).select("path", upto("lens", F.size("lens")).alias("total"), "size")

@@ -303,3 +303,94 @@ def test_medians_equal_the_built_in(spark):
     assert {r.ref: r.baseline for r in C.baselines(means).collect()} == want
     assert C.global_baseline(means).first()[0] == means.agg(F.median("mean_cov")).first()[0]
     assert C.global_baseline(means.limit(0)).first()[0] == 0.0
+
+
+def _random_segments(spark, n, seed, size=700, joined=0):
+    """Segments of random bases; some begin with the last bases of another, with errors."""
+    rng = random.Random(seed)
+    seqs = ["".join(rng.choices("ACGT", k=size)) for _ in range(n)]
+    for k in range(joined):
+        a, b, m = rng.randrange(n), rng.randrange(n), rng.choice([110, 160, 300])
+        tail = list(seqs[a][-m:])
+        for i in rng.sample(range(m), m // 25):
+            tail[i] = rng.choice(["", "A", "CG"])
+        seqs[b] = ("".join(tail) + seqs[b][m:])[:size] if rng.random() < 0.7 else seqs[b]
+    return spark.createDataFrame([(k, f"s{k:02d}", s) for k, s in enumerate(seqs)], "ord long, name string, seq string")
+
+
+@pytest.mark.parametrize("identity", [75.0, 90.0])
+def test_only_possible_pairs_are_aligned(spark, identity):
+    from strandline.functions.align import Floors, gram_index, possible
+    from strandline.plans.options import GraphOptions
+
+    segs = _random_segments(spark, 9, 3, 300, 7)
+    options = GraphOptions(window=200, min_identity=identity, min_overlap=100)
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    edges = rows(G.build_edges(segs, options, exact=True))
+    assert rows(G.build_edges(segs, options)) == edges and edges
+    joins = rows(G.candidate_joins(segs, 200, identity, 100, exact=True))
+    assert rows(G.candidate_joins(segs, 200, identity, 100)) == joins and joins
+    floors = Floors(identity, 100)
+    q = floors.gram()
+    rng = random.Random(1)
+    seqs = ["".join(rng.choices("ACGT", k=500)) for _ in range(40)]
+    tried = [possible(a, gram_index(b, q), q, floors.windows(q, 500)) for a in seqs for b in seqs if a != b]
+    assert q == (7 if identity == 75.0 else 16) and sum(tried) < 0.05 * len(tried)
+
+
+def test_no_alignment_that_reaches_the_floors_is_left_out():
+    from strandline.functions.align import Floors, gram_index, possible
+
+    rng = random.Random(11)
+    tried = []
+    for _ in range(400):
+        floors = Floors(rng.choice([60.0, 75.0, 90.0]), rng.choice([12, 30, 60]))
+        a = rng.choices("ACGT", k=rng.randrange(60, 160))
+        b = list(a[rng.randrange(20) :])
+        for _ in range(rng.randrange(0, len(b) // 6)):
+            k = rng.randrange(len(b))
+            b[k] = rng.choice(["", b[k] + rng.choice("ACGT") * rng.randrange(1, 5), rng.choice("ACGT")])
+        tried.append((floors, "".join(a), "".join(b) + "".join(rng.choices("ACGT", k=40))))
+    checked = 0
+    for (floors, a, b), score, span in zip(tried, *align_batch([a for _, a, _ in tried], [b for _, _, b in tried]), strict=True):
+        if span >= floors.overlap and 100 * score / span >= floors.identity:
+            q = floors.gram()
+            assert q and possible(a, gram_index(b, q), q, floors.windows(q, len(a)))
+            checked += 1
+    assert checked > 150
+
+
+def test_cycles_by_halves_equal_whole_walks(spark):
+    for seed, n, depths in ((1, 6, (2, 5)), (2, 8, (4,))):
+        rng = random.Random(seed)
+        pairs = {(rng.randrange(n), rng.choice("+-"), rng.randrange(n), rng.choice("+-")) for _ in range(4 * n)}
+        rows = [(f"n{a}", x, f"n{b}", y, float(70 + (a * 7 + b) % 30), 10 + (a + 3 * b) % 20, 100 + a, 100 + b, float((70 + (a * 7 + b) % 30) * (10 + (a + 3 * b) % 20))) for a, x, b, y in pairs if a != b]
+        e = spark.createDataFrame(rows, "src_seg string, src_orient string, dst_seg string, dst_orient string, identity double, overlap int, src_len int, dst_len int, score double")
+        for depth in depths:
+            cols = ["nodes", "total_len", "depth", "sum_identity", "min_identity", "total_overlap", "score"]
+            want = sorted(map(repr, G.distinct_cycles(G.walks(e, depth)[1]).select(*cols).collect()))
+            got = G.closed_walks(e, depth)
+            assert sorted(map(repr, G.distinct_cycles(got).select(*cols).collect())) == want
+            assert got.count() == got.select("nodes").distinct().count() and all(r.nodes[0].seg == min(x.seg for x in r.nodes) for r in got.collect())
+
+
+def test_rings_are_found_once_and_turned(spark):
+    import itertools
+
+    rng = random.Random(8)
+    lens = {f"s{k}": rng.randrange(50, 200) for k in range(6)}
+    joins = {(a, b): rng.randrange(1, 60) for a in lens for b in lens if a != b and rng.random() < 0.55}
+    lo, hi = 400 * 0.75, 400 * 1.25
+    want = []
+    for n in range(1, 7):
+        for path in itertools.permutations(lens, n):
+            size, ok = lens[path[0]], True
+            for a, b in itertools.pairwise(path):
+                ok = ok and (a, b) in joins and (size := size - joins[a, b] + lens[b]) <= hi
+                if not ok:
+                    break
+            if ok and (path[-1], path[0]) in joins and lo <= size - joins[path[-1], path[0]] <= hi:
+                want.append((list(path), sum(lens[x] for x in path), size - joins[path[-1], path[0]]))
+    j = spark.createDataFrame([(a, b, "+/+", o) for (a, b), o in joins.items()], "seg_a string, seg_b string, orientation string, overlap_bp long")
+    s = spark.createDataFrame([(k, "A" * n) for k, n in lens.items()], "name string, seq string")
+    assert sorted(map(tuple, G.circular_joins(j, s, 400, 0.25).collect())) == sorted(map(tuple, want)) and want
