@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from ..functions import seq as S
 from ..storage import keep
@@ -33,17 +36,29 @@ def fill_bins(reads: DataFrame, contigs: DataFrame, target: int, size: int) -> D
     return binned(reads, contigs, size).withColumn("before", before).where(F.col("before") < target * size).select("name").distinct()
 
 
-def _fill(frame: pd.DataFrame, target: int, size: int, once: bool) -> list:
-    """Names kept in one stretch of a contig, bins in ascending order."""
-    have: dict[int, int] = {}
-    kept: set = set()
-    for r in frame.sort_values(["bin", "place"]).itertuples(index=False):
-        if have.get(r.bin, 0) >= target * size or (once and r.name in kept):
-            continue
-        kept.add(r.name)
-        for x in range(r.first, r.last + 1):
-            have[x] = have.get(x, 0) + r.credit
-    return sorted(kept)
+class _Fill:
+    """The sequential rule over reads by bin and place, holding only what later bins can still ask for: the bases of bins not yet left, and the names of taken reads that reach them."""
+
+    def __init__(self, target: int, size: int, once: bool):
+        self.full, self.once, self.key = target * size, once, None
+        self.most = 0
+
+    def take(self, key: tuple, name, bin_: int, first: int, last: int, credit: int) -> bool:
+        """Whether the next read is taken, and for the first time."""
+        if key != self.key:
+            self.key, self.bin, self.have, self.kept = key, bin_, {}, {}
+        if bin_ != self.bin:
+            self.bin = bin_
+            self.have = {x: n for x, n in self.have.items() if x >= bin_}
+            self.kept = {x: end for x, end in self.kept.items() if end >= bin_}
+        if self.have.get(bin_, 0) >= self.full or (self.once and name in self.kept):
+            return False
+        for x in range(max(first, bin_), last + 1):
+            self.have[x] = self.have.get(x, 0) + credit
+        new = name not in self.kept
+        self.kept[name] = max(last, self.kept.get(name, last))
+        self.most = max(self.most, len(self.have) + len(self.kept))
+        return new
 
 
 def stretches(rows: DataFrame) -> DataFrame:
@@ -60,19 +75,26 @@ def greedy(reads: DataFrame, contigs: DataFrame, target: int = 200, size: int =
 
     A read is looked at in a bin only while the reads before it there, all of them credited by
     then, are short of target * size. So the rule runs over those prefixes of the bins alone,
-    which depend on target and not on depth, one task a stretch of bins that no such read leaves.
+    which depend on target and not on depth, in order along each stretch of bins that no such read
+    leaves. What is held is that of the bins which reads at the current one reach, so it doesn't grow
+    with a contig's length.
     fill_bins is the variant in which bins are independent.
     """
     w = Window.partitionBy("ref", "bin").orderBy(F.desc("length"), F.desc("mean_q"), "st", "name")
     before = F.coalesce(F.sum("credit").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     ranked = binned(reads, contigs, size).withColumn("before", before).withColumn("place", F.row_number().over(w))
     near = keep(ranked.where(F.col("before") < target * size).select("ref", "name", "first", "last", "credit", "bin", "place"), "fill-prefixes")
-    kind = reads.schema["name"].dataType.simpleString()
+    cols = ["ref", "stretch", "bin", "place", "name", "first", "last", "credit"]
+    rows = near.join(stretches(near), ["ref", "first"]).select(*cols).repartition("ref", "stretch").sortWithinPartitions("ref", "stretch", "bin", "place")
 
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"name": _fill(frame, target, size, credit_once)})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fill = _Fill(target, size, credit_once)
+        for b in batches:
+            ref, stretch, bin_, _, name, first, last, credit = (b.column(k).to_pylist() for k in range(len(cols)))
+            taken = [fill.take(key, *read) for key, *read in zip(zip(ref, stretch, strict=True), name, bin_, first, last, credit, strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(4).filter(pa.array(taken, pa.bool_()))], names=["name"])
 
-    return near.join(stretches(near), ["ref", "first"]).groupBy("ref", "stretch").applyInPandas(run, f"name {kind}").distinct()
+    return rows.mapInArrow(run, StructType([StructField("name", reads.schema["name"].dataType)])).distinct()
 
 
 def achieved(reads: DataFrame, names: DataFrame, contigs: DataFrame) -> DataFrame:

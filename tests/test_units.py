@@ -394,3 +394,17 @@ def test_rings_are_found_once_and_turned(spark):
     j = spark.createDataFrame([(a, b, "+/+", o) for (a, b), o in joins.items()], "seg_a string, seg_b string, orientation string, overlap_bp long")
     s = spark.createDataFrame([(k, "A" * n) for k, n in lens.items()], "name string, seq string")
     assert sorted(map(tuple, G.circular_joins(j, s, 400, 0.25).collect())) == sorted(map(tuple, want)) and want
+
+
+def test_fill_holds_open_bins_only(spark):
+    """The rule along a contig ten times as long holds no more."""
+    most = []
+    for n in (200, 2000):
+        fill = D._Fill(3, 10, False)
+        for k in range(n):
+            for p in range(4):
+                fill.take(("c", 0), f"r{k}-{p}", k, k, k + 3, 10)
+                if k:
+                    fill.take(("c", 0), f"r{k - 1}-{p}", k, k - 1, k + 2, 10)
+        most.append(fill.most)
+    assert most[0] == most[1] < 40
