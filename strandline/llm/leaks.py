@@ -41,6 +41,15 @@ def _tokens(words: Column) -> Column:
     return F.transform(pairs, lambda p: F.struct(F.xxhash64(p["f"]).alias("a"), (~p["f"].startswith("\x01") & (p["c"] != F.lower(p["c"]))).alias("up")))
 
 
+def _slot(w: Column) -> Column:
+    return _folded(w).startswith("\x01") | _template(w).startswith("\x01")
+
+
+def _plain(words: Column) -> Column:
+    """Tokens as _tokens gives them, of words that stand for themselves only."""
+    return F.transform(words, lambda w: F.struct(F.xxhash64(F.lower(w)).alias("a"), F.lit(False).alias("up")))
+
+
 def _keyed(rows: DataFrame, widths: Column, most: int) -> DataFrame:
     """rows(..., tokens) to a row a window of a width in widths and form of it: ..., at, width, key. Each capitalised word counts as itself and as a name.
 
@@ -70,33 +79,52 @@ def contaminated(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", i
     short items). All of them meet all windows of the documents; a pair with fewer windows in
     common than PERCENT percent of matching tokens leave whole is dropped before its text is read.
     A pair is aligned at each offset of its windows, alone and as a chain that moves to offsets less
-    than n away where words were put in or left out, and compared token by token. Each alignment is
+    than n away where words were put in or left out, and compared token by token; a task holds the offsets of a
+    stretch of some n, however long a document is. Each alignment is
     judged by itself and the best counts (verbatim before template, then by n_matched, n_equal).
     It is verbatim if PERCENT percent of the item's tokens are equal; it is a template match if that share matches,
     LITERALS equal words that are no slots among it, and the slots are consistent, that is, each
-    value of the item stands for one value in the document and the other way round. Null texts and
+    value of the item stands for one value in the document and the other way round. Items with fewer
+    such words can only be held verbatim, and their windows are of words, not templates: numbers of a table don't meet those of another. Null texts and
     items without tokens match nothing; rows with a null id are compared too and keep their null;
     rows equal in id and text give one row; other columns are ignored.
+    Empty tables give an empty result.
     """
     d = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")).where("text IS NOT NULL").withColumn("tkey", F.xxhash64("text"))
     b = items.select(F.col(f"`{item_id}`").alias("item_id"), _words(F.col(f"`{text}`")).alias("item_words")).withColumn("ikey", F.xxhash64("item_words")).withColumn("n", F.size("item_words"))
     b = b.where("n > 0").dropDuplicates(["item_id", "ikey"]).withColumn("differ", F.floor(F.col("n") * (100 - PERCENT) / 100).cast("int"))
     b = b.withColumn("width", F.floor(F.col("n") / (F.col("differ") + 1)).cast("int"))
-    widths = {r["width"]: r["total"] for r in b.groupBy("width").agg(F.sum("n").alias("total")).collect()}
-    small, most = sum(widths.values()) <= BROADCAST_WINDOWS, max(widths, default=1)
-
-    of_items = _keyed(b.select("item_id", "ikey", "n", "differ", F.col("width").alias("own"), _tokens(F.col("item_words")).alias("tokens")), F.array("own"), most).select("item_id", "ikey", "n", "differ", F.col("at").alias("i_at"), "key")
-    tokens = d.select("doc_id", "tkey", _tokens(_words(F.col("text"))).alias("tokens"))
-    windows = _keyed(tokens, F.array(*[F.lit(w) for w in sorted(widths) or [1]]), most)
-    met = windows.join(F.broadcast(of_items) if small else of_items, "key").select("doc_id", "tkey", "item_id", "ikey", "n", "differ", "width", (F.col("at") - F.col("i_at")).alias("shift"), "i_at")
-    pair = met.groupBy(F.col("doc_id").alias("d_id"), F.col("tkey").alias("d_key"), "item_id", "ikey", "n", "differ", "width").agg(F.collect_set(F.struct("shift", "i_at")).alias("anchors"))
-    pair = pair.withColumn("shifts", F.array_sort(F.array_distinct(F.col("anchors.shift"))))
+    # Without LITERALS words of its own an item has no template match; its windows are of words as they are.
+    b = b.withColumn("plain", F.size(F.filter("item_words", lambda w: ~_slot(w))) < LITERALS)
+    sizes = b.groupBy("plain", "width").agg(F.sum("n").alias("total")).collect()
+    small = sum(r["total"] for r in sizes) <= BROADCAST_WINDOWS
+
+    def windows(plain: bool) -> DataFrame:
+        """Windows that documents and items of one kind have in common: doc_id, tkey, item_id, ikey, n, differ, width, shift, i_at."""
+        widths = sorted(r["width"] for r in sizes if r["plain"] == plain) or [1]
+        made, most = _plain if plain else _tokens, max(widths)
+        mine = b.where("plain" if plain else "NOT plain").select("item_id", "ikey", "n", "differ", F.col("width").alias("own"), made(F.col("item_words")).alias("tokens"))
+        of_items = _keyed(mine, F.array("own"), most).select("item_id", "ikey", "n", "differ", F.col("at").alias("i_at"), "key")
+        of_docs = _keyed(d.select("doc_id", "tkey", made(_words(F.col("text"))).alias("tokens")), F.array(*[F.lit(w) for w in widths]), most)
+        return of_docs.join(F.broadcast(of_items) if small else of_items, "key").select("doc_id", "tkey", "item_id", "ikey", "n", "differ", "width", (F.col("at") - F.col("i_at")).alias("shift"), "i_at")
+
+    met = reduce(DataFrame.unionByName, [windows(plain) for plain in sorted({r["plain"] for r in sizes} or {False})])
+    # An alignment begins at one offset and stays less than n from it. Offsets are dealt to stretches of 2n, each with n more on both sides.
+    part, inside = F.floor(F.col("shift") / (2 * F.col("n"))), F.pmod("shift", 2 * F.col("n"))
+    met = met.withColumn("part", F.explode(F.array(part, F.when(inside < F.col("n"), part - 1).otherwise(part + 1))))
+    pair = met.groupBy(F.col("doc_id").alias("d_id"), F.col("tkey").alias("d_key"), "item_id", "ikey", "n", "differ", "width", "part").agg(F.collect_set(F.struct("shift", "i_at")).alias("anchors"))
+    pair = pair.withColumn("near", F.array_sort(F.array_distinct(F.col("anchors.shift"))))
+    pair = pair.withColumn("shifts", F.filter("near", lambda x: F.floor(x / (2 * F.col("n"))) == F.col("part"))).where("size(shifts) > 0")
     # A token that differs spoils width windows at most, a change of the offset width - 1.
-    pair = pair.where(F.size("anchors") >= F.col("n") - F.col("width") + 1 - F.col("differ") * F.col("width") - (F.size("shifts") - 1) * (F.col("width") - 1))
+    least = F.col("n") - F.col("width") + 1 - F.col("differ") * F.col("width")
+    pair = pair.where(F.size("anchors") >= least - (F.size("near") - 1) * (F.col("width") - 1))
+    # Offsets that can do alone, and by item token the offsets at which a met window begins.
+    pair = pair.withColumn("singles", F.filter("shifts", lambda x: F.size(F.filter("anchors", lambda y: y["shift"] == x)) >= least))
+    pair = pair.withColumn("begin", F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.transform(F.filter("anchors", lambda x: x["i_at"] == i), lambda x: x["shift"])))
 
     same_doc = F.col("doc_id").eqNullSafe(F.col("d_id")) & (F.col("tkey") == F.col("d_key"))
     # Read twice below, and made from all windows of all documents.
-    pair = keep(pair.drop("n", "differ", "width"), "leak-pairs")
+    pair = keep(pair.drop("n", "differ", "width", "part", "anchors"), "leak-pairs")
     found = d.join(pair, same_doc, "left_semi").dropDuplicates(["doc_id", "tkey"]).select("doc_id", "tkey", _words(F.col("text")).alias("words"))
     aligned = found.join(pair, same_doc).drop("d_id", "d_key")
     right = b.select(F.col("item_id").alias("b_id"), F.col("ikey").alias("b_key"), "item_words", F.col("n").cast("long").alias("n_tokens"))
@@ -118,8 +146,8 @@ def contaminated(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", i
         """From the offset start on: a token that differs there may move to another met offset, nearest first, where a met window begins, further on in the document."""
         def step(acc: Column, i: Column) -> Column:
             def others() -> Column:
-                ahead = F.filter("anchors", lambda x: (x["i_at"] == i) & (x["shift"] + i > acc["last"]) & (F.abs(x["shift"] - start) < F.col("n_tokens")))
-                near = F.array_min(F.transform(ahead, lambda x: F.struct(F.abs(x["shift"] - acc["now"]).alias("far"), x["shift"].alias("shift"))))
+                ahead = F.filter(F.get("begin", i), lambda x: (x + i > acc["last"]) & (F.abs(x - start) < F.col("n_tokens")))
+                near = F.array_min(F.transform(ahead, lambda x: F.struct(F.abs(x - acc["now"]).alias("far"), x.alias("shift"))))
                 return F.coalesce(near["shift"], acc["now"])
 
             def put(now: Column) -> Column:
@@ -145,11 +173,12 @@ def contaminated(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", i
         # In the order of preference.
         return F.struct(verbatim.alias("verbatim"), template.alias("template"), F.size(spots).cast("long").alias("n_matched"), F.size(equal).cast("long").alias("n_equal"), F.size(slots).cast("long").alias("n_slots"), consistent.alias("consistent"))
 
-    alone = F.transform(F.transform("shifts", at), judge)
-    chained = F.when(F.size("shifts") > 1, F.transform(F.transform("shifts", chain), judge)).otherwise(F.array().cast("array<struct<verbatim:boolean,template:boolean,n_matched:long,n_equal:long,n_slots:long,consistent:boolean>>"))
+    alone = F.transform(F.transform("singles", at), judge)
+    chained = F.when(F.size("near") > 1, F.transform(F.transform("shifts", chain), judge)).otherwise(F.array().cast("array<struct<verbatim:boolean,template:boolean,n_matched:long,n_equal:long,n_slots:long,consistent:boolean>>"))
     # No alignment has more than all offsets together.
-    reach = F.size(F.array_distinct(F.flatten(F.transform("shifts", lambda s: F.transform(at(s), lambda p: p["i"])))))
-    judged = pairs.select("doc_id", "item_id", "n_tokens", F.explode_outer(F.array(F.when(reach * 100 >= F.col("n_tokens") * PERCENT, F.array_max(F.concat(alone, chained))))).alias("best")).where("best.verbatim OR best.template")
+    reach = F.size(F.array_distinct(F.flatten(F.transform("near", lambda s: F.transform(at(s), lambda p: p["i"])))))
+    judged = pairs.select("doc_id", "tkey", "item_id", "ikey", "n_tokens", F.explode_outer(F.array(F.when(reach * 100 >= F.col("n_tokens") * PERCENT, F.array_max(F.concat(alone, chained))))).alias("best")).where("best.verbatim OR best.template")
+    judged = judged.groupBy("doc_id", "tkey", "item_id", "ikey", "n_tokens").agg(F.max("best").alias("best"))
     return judged.select("doc_id", "item_id", "n_tokens", "best.n_matched", "best.n_equal", "best.n_slots", "best.consistent", F.when(F.col("best.verbatim"), F.lit("verbatim")).otherwise(F.lit("template")).alias("kind"))
 
 
