@@ -182,7 +182,7 @@ def write_ids(docs: DataFrame, root: str, *, doc_id: str = "doc_id", text: str =
     """Encode docs and write their ids, end_id after each document, in ascending doc_id order; returns the manifest, one row a shard.
 
     docs are dealt out by ranges of doc_id (and of a digest of the text, so that very many copies of
-    one id part), into as many shards as the texts fill at shard_bytes each, or as given. Each
+    one id part), into as many shards as the texts fill at shard_bytes each (for little text a shard a core), or as given. Each
     range becomes one shard of three files under root: .ids, the raw ids as 16- or 32-bit
     little-endian integers; .keys, the doc_ids in order; .idx, the index. Ids of null and empty
     texts are the end id alone; null doc_ids come first; rows that repeat a doc_id keep an order by
@@ -192,7 +192,9 @@ def write_ids(docs: DataFrame, root: str, *, doc_id: str = "doc_id", text: str =
     """
     spark = docs.sparkSession
     path = tokenizer or default_tokenizer()
-    n = shards or max(1, -(-int(docs.agg(F.sum(F.octet_length(F.col(f"`{text}`")))).first()[0] or 0) // shard_bytes))
+    size = int(docs.agg(F.sum(F.octet_length(F.col(f"`{text}`")))).first()[0] or 0) if not shards else 0
+    # Less text than shards of that size for all cores still goes to all of them, a megabyte each at least.
+    n = shards or max(1, -(-size // shard_bytes), min(spark.sparkContext.defaultParallelism, size >> 20))
     dealt = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")).withColumn("__d", F.xxhash64("text"))
     dealt = dealt.repartitionByRange(n, "doc_id", "__d").sortWithinPartitions("doc_id", "__d").select("doc_id", "text")
 
@@ -274,11 +276,22 @@ def read_ids(spark: SparkSession, root: str) -> DataFrame:
 
 
 def lookup_ids(keys: DataFrame, root: str) -> DataFrame:
-    """The ids of keys(doc_id): doc_id, found, ids; the first copy of each id. Keys meet their shard by a range join on the manifest, which has one row a shard."""
+    """The ids of keys(doc_id): doc_id, found, ids; the first copy of each id. A key's shard is searched in the sorted bounds of the manifest, which has one row a shard; keys then go to their shard."""
     spark = keys.sparkSession
-    shards = spark.read.schema(_MANIFEST).parquet(f"{root}/manifest").select("shard", "first_doc", "last_doc", "id_bytes")
-    wanted = keys.select("doc_id").where("doc_id IS NOT NULL").distinct()
-    at = wanted.join(F.broadcast(shards), (F.col("doc_id") >= F.col("first_doc")) & (F.col("doc_id") <= F.col("last_doc"))).select("shard", "id_bytes", "doc_id").repartition("shard").sortWithinPartitions("shard")
+    shards = spark.read.schema(_MANIFEST).parquet(f"{root}/manifest").where("first_doc IS NOT NULL").select("shard", "first_doc", "last_doc", "id_bytes").orderBy("shard").toPandas()
+    numbers, firsts, lasts, widths = (shards[c].to_numpy(np.int64) for c in ("shard", "first_doc", "last_doc", "id_bytes"))
+    wanted = keys.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL").distinct()
+
+    def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            doc = b.column(0).to_numpy()
+            # The first shard that doesn't end before the key holds the key's first copy, if any does.
+            k = np.searchsorted(lasts, doc)
+            ok = k < len(lasts)
+            ok[ok] = firsts[k[ok]] <= doc[ok]
+            yield pa.RecordBatch.from_arrays([pa.array(numbers[k[ok]].astype(np.int32)), pa.array(widths[k[ok]].astype(np.int32)), pa.array(doc[ok])], names=["shard", "id_bytes", "doc_id"])
+
+    at = wanted.mapInArrow(searched, "shard int, id_bytes int, doc_id long").repartition("shard").sortWithinPartitions("shard")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
