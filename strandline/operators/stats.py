@@ -39,12 +39,39 @@ def read_stats(reads: DataFrame, length: str = "length", mean_q: str = "mean_q")
     )
 
 
+#: Labels from the highest bound down. A contig is longer than its bound, a coverage reaches it.
+STATUS = ((50_000, "chromosome-scale"), (10_000, "large"))
+BADGES = ((80, "green"), (30, "yellow"))
+
+
 def contig_status(length: Column) -> Column:
-    return F.when(length > 50_000, "chromosome-scale").when(length > 10_000, "large").otherwise("fragment")
+    return F.when(length > STATUS[0][0], STATUS[0][1]).when(length > STATUS[1][0], STATUS[1][1]).otherwise("fragment")
 
 
 def coverage_badge(cov: Column) -> Column:
-    return F.when(cov >= 80, "green").when(cov >= 30, "yellow").otherwise("red")
+    return F.when(cov >= BADGES[0][0], BADGES[0][1]).when(cov >= BADGES[1][0], BADGES[1][1]).otherwise("red")
+
+
+def status_of(length: int) -> str:
+    return next((label for bound, label in STATUS if length > bound), "fragment")
+
+
+def badge_of(coverage: float) -> str:
+    return next((label for bound, label in BADGES if coverage >= bound), "red")
+
+
+def coverage_rows(documents: DataFrame) -> DataFrame:
+    """chrom, coverage, length, badge from downsampling documents (maps achieved_coverage and ref_lengths): contigs without a length stay, with a null one."""
+    cover = documents.select(F.explode("achieved_coverage").alias("chrom", "coverage"))
+    lengths = documents.select(F.explode("ref_lengths").alias("chrom", "length")).groupBy("chrom").agg(F.max("length").alias("length"))
+    return cover.join(lengths, "chrom", "left").select("chrom", "coverage", "length", coverage_badge(F.col("coverage")).alias("badge"))
+
+
+def displayed_coverage(documents: DataFrame) -> DataFrame:
+    """One row, mean: by length where documents have lengths (null if those of their contigs sum to 0), plain without any."""
+    rows = coverage_rows(documents).agg(F.sum(F.col("coverage") * F.coalesce("length", F.lit(0))).alias("s"), F.sum(F.coalesce("length", F.lit(0))).alias("n"), F.avg("coverage").alias("plain"))
+    known = documents.agg(F.coalesce(F.sum(F.size(F.coalesce("ref_lengths", F.create_map().cast("map<string,bigint>")))), F.lit(0)).alias("known"))
+    return rows.join(F.broadcast(known)).select(F.when(F.col("known") > 0, F.col("s") / F.nullif("n", F.lit(0))).otherwise(F.col("plain")).alias("mean"))
 
 
 def assembly_stats(contigs: DataFrame) -> DataFrame:

@@ -268,6 +268,16 @@ def coverage_badges(spark, d):
     return _t(spark, d, "customer").groupBy(F.col("c_nationkey").alias("nation")).agg((F.sum("c_acctbal") / 1000).alias("cov")).select("nation", T.coverage_badge(F.col("cov")).alias("badge"))
 
 
+@query("WITH c AS (SELECT c_nationkey AS k, CAST(count(*) AS DOUBLE) AS coverage FROM customer GROUP BY 1), l AS (SELECT *, CASE WHEN k % 3 <> 0 THEN CAST(1000 + k * 100 AS BIGINT) END AS length FROM c), m AS (SELECT sum(coverage * coalesce(length, 0)) / sum(coalesce(length, 0)) AS mean FROM l) SELECT 'n' || k AS chrom, coverage, length, CASE WHEN coverage >= 80 THEN 'green' WHEN coverage >= 30 THEN 'yellow' ELSE 'red' END AS badge, round(mean, 6) AS mean FROM l, m")
+def coverage_with_lengths(spark, d):
+    """Coverage joined with the lengths that are known, and the mean by length."""
+    c = _t(spark, d, "customer").groupBy(F.col("c_nationkey").alias("k")).agg(F.count("*").cast("double").alias("coverage"))
+    name = F.concat(F.lit("n"), F.col("k").cast("string"))
+    lengths = F.when(F.col("k") % 3 != 0, F.create_map(name, (F.lit(1000) + F.col("k") * 100).cast("long"))).otherwise(F.create_map().cast("map<string,bigint>"))
+    documents = c.select(F.create_map(name, "coverage").alias("achieved_coverage"), lengths.alias("ref_lengths"))
+    return T.coverage_rows(documents).join(F.broadcast(T.displayed_coverage(documents).select(F.round("mean", 6).alias("mean"))))
+
+
 @query("WITH c AS (SELECT o_custkey AS name, CAST(sum(floor(o_totalprice / 10)) AS BIGINT) AS length FROM orders GROUP BY 1) SELECT CASE WHEN length > 50000 THEN 'chromosome-scale' WHEN length > 10000 THEN 'large' ELSE 'fragment' END AS status, count(*) AS n_contigs, CAST(sum(length) AS BIGINT) AS total_length, max(length) AS longest FROM c GROUP BY 1")
 def assembly_status(spark, d):
     c = _t(spark, d, "orders").groupBy(F.col("o_custkey").alias("name")).agg(F.sum(F.floor(F.col("o_totalprice") / 10)).cast("long").alias("length"))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.seq import path_text
+from ..operators import stats as T
 
 #: Rows of each excerpt.
 EDGES, HITS, CYCLES, JOINS, RINGS = 15, 15, 20, 20, 5
@@ -63,11 +64,8 @@ def breakdown(parts: dict[str, int]) -> str:
 
 def run_report(title: str, raw: dict, scrubbed: dict, final: dict, scrub: dict | None = None, downsample: DataFrame | None = None, contigs: list[tuple[str, int]] | None = None, parameters: dict | None = None) -> str:
     """The whole report of a run from the figures of its three read sets; downsample has one row a contig."""
-    rows = downsample.collect() if downsample is not None else []
-    cover = [(k, v) for r in rows for k, v in (r.achieved_coverage or {}).items()]
-    lens = {k: v for r in rows for k, v in (r.ref_lengths or {}).items()}
-    weight = sum(lens.get(k, 0) for k, _ in cover)
-    mean = sum(c * lens.get(k, 0) for k, c in cover) / weight if weight else (sum(c for _, c in cover) / len(cover) if cover else None)
+    cover = [(r.chrom, r.coverage) for r in T.coverage_rows(downsample).collect()] if downsample is not None else []
+    mean = T.displayed_coverage(downsample).first()[0] if downsample is not None else None
     cards = {"raw reads": raw["count"], "raw bases": megabases(raw["total_bases"]), "N50": kilobases(raw.get("n50", 0)), "removed": max(0, raw["count"] - scrubbed["count"]), "final reads": final["count"], "reduction": f"{round((1 - final['count'] / raw['count']) * 100, 1) if raw['count'] else 0} %", "coverage": "N/A" if mean is None else f"{mean:.1f}x"}
     bins = raw.get("q_bins", [])
     bars = list(zip(bins, pad_hist(raw.get("q_histogram", []), len(bins)), strict=True))
@@ -78,14 +76,12 @@ def run_report(title: str, raw: dict, scrubbed: dict, final: dict, scrub: dict |
 def report_html(title: str, cards: dict, histogram: list[tuple[str, int]], coverage: list[tuple[str, float]], contigs: list[tuple[str, int]], outcomes: dict[str, int] | None = None, parameters: dict | None = None) -> str:
     """A page of cards, the quality histogram, coverage badges, contig status and outcome counts. Numbers in scripts are plain JSON."""
     e = html.escape
-    badge = lambda c: "green" if c >= 80 else "yellow" if c >= 30 else "red"
-    status = lambda n: "chromosome-scale" if n > 50_000 else "large" if n > 10_000 else "fragment"
     top = max((n for _, n in histogram), default=0) or 1
     parts = [f"<!doctype html><meta charset=utf-8><title>{e(title)}</title><h1>{e(title)}</h1>"]
     parts += ["<dl>"] + [f"<dt>{e(str(k))}</dt><dd>{v:,}</dd>" if isinstance(v, (int, float)) else f"<dt>{e(str(k))}</dt><dd>{e(str(v))}</dd>" for k, v in cards.items()] + ["</dl>"]
     parts += ["<h2>Read quality</h2><table>"] + [f"<tr><td>{e(k)}</td><td><div style='background:#69c;height:1em;width:{300 * n // top}px'></div></td><td>{n:,}</td></tr>" for k, n in histogram] + ["</table>"]
-    parts += ["<h2>Coverage</h2><table>"] + [f"<tr><td>{e(k)}</td><td class={badge(c)}>{c:.1f}x</td></tr>" for k, c in sorted(coverage)] + ["</table>"]
-    parts += ["<h2>Contigs</h2><table>"] + [f"<tr><td>{e(k)}</td><td>{n:,}</td><td>{status(n)}</td></tr>" for k, n in contigs] + ["</table>"]
+    parts += ["<h2>Coverage</h2><table>"] + [f"<tr><td>{e(k)}</td><td class={T.badge_of(c)}>{c:.1f}x</td></tr>" for k, c in sorted(coverage)] + ["</table>"]
+    parts += ["<h2>Contigs</h2><table>"] + [f"<tr><td>{e(k)}</td><td>{n:,}</td><td>{T.status_of(n)}</td></tr>" for k, n in contigs] + ["</table>"]
     if outcomes:
         parts += ["<h2>Outcomes</h2><table>"] + [f"<tr><td>{e(k)}</td><td>{n:,}</td></tr>" for k, n in outcomes.items() if n > 0] + ["</table>"]
     parts.append(f"<script>const data = {json.dumps({'histogram': [n for _, n in histogram], 'parameters': parameters or {}})};</script>")

@@ -12,12 +12,14 @@ from pyspark.sql import functions as F
 from ..functions import seq as S
 from ..operators import coverage as C
 from ..operators import downsample as D
+from ..operators import graph as G
 from ..operators import pools as P
 from ..operators import stats as T
 from ..sources import bam
 from ..sources import readers as R
 from ..sources import writers as W
 from ..storage import keep
+from . import report
 from .options import DownsampleOptions, GraphOptions, JoinOptions, PoolOptions, RunOptions, ScrubOptions
 
 #: Options whose values are shares of one, and those that are percent.
@@ -180,6 +182,56 @@ def scrub_run(spark: SparkSession, sam: str, reads: R.Paths, out: str, options:
     return stats
 
 
+def graph_run(spark: SparkSession, gfa: R.Paths, out: str, options: GraphOptions = GraphOptions()) -> dict[str, DataFrame]:
+    """Segments to terminal overlaps, self hits, paths, cycles of any size, contig support, the sequences of the chosen paths and a text report, all under out.
+
+    Returns the tables: edges, hits, cycles, linear, any, support, fasta. Only the excerpts of the report reach the driver.
+    """
+    validate(options)
+    segments = keep(R.read_gfa(spark, gfa), "segments")
+    edges = keep(G.build_edges(segments, options), "graph-edges")
+    hits = keep(G.circular(G.self_terminals(segments, options.window), options.min_identity, options.min_overlap), "self-hits")
+    cycles, linear = (keep(x, "paths") for x in G.sized_paths(edges, options))
+    any_size = keep(G.any_cycles(edges, options), "any-cycles")
+    support = keep(G.contig_support(segments, hits, edges, any_size, options), "support")
+    chosen = keep(G.fasta_choice(any_size, cycles, linear, options.fasta_top, options.expected_size).withColumn("rank", F.monotonically_increasing_id()), "chosen")
+    made = G.stitch(chosen.select(F.concat_ws(":", F.col("rank").cast("string"), "kind").alias("kind"), "nodes"), segments, edges).select(F.split("kind", ":")[0].cast("long").alias("rank"), "seq")
+    named = chosen.join(made, "rank").select("rank", S.merged_name(F.col("nodes"), F.col("kind"), F.col("total_len"), F.col("mean_identity")).alias("name"), "seq")
+    W.write_edges(edges, f"{out}/edges")
+    W.write_self_hits(hits, f"{out}/self_hits")
+    W.write_paths(cycles.unionByName(linear), f"{out}/paths")
+    W.write_paths(any_size, f"{out}/cycles_any")
+    support.orderBy("contig").write.mode("overwrite").csv(f"{out}/support", sep="\t", header=True)
+    W.write_fasta(named.orderBy("rank"), f"{out}/fasta")
+    text = report.graph_text(edges, hits, any_size, support)
+    spark.createDataFrame([(text.rstrip("\n"),)], "value string").coalesce(1).write.mode("overwrite").text(f"{out}/report")
+    return {"edges": edges, "hits": hits, "cycles": cycles, "linear": linear, "any": any_size, "support": support, "fasta": named}
+
+
+def joins_run(spark: SparkSession, contigs: R.Paths, out: str, options: JoinOptions = JoinOptions()) -> dict[str, DataFrame]:
+    """Contigs (FASTA) or segments (GFA, by its name's end) to candidate joins, circular paths and a text report under out; returns joins and rings."""
+    validate(options)
+    first = contigs if isinstance(contigs, str) else contigs[0]
+    segments = keep((R.read_gfa if first.endswith(".gfa") else R.read_fasta)(spark, contigs), "segments")
+    joins = keep(G.candidate_joins(segments, options.window, options.min_identity, options.min_overlap, options.compat), "joins")
+    rings = keep(G.circular_joins(joins, segments, options.expected_size, options.size_tolerance), "rings")
+    W.write_joins(joins, f"{out}/joins")
+    rings.select(F.array_join("path", " -> ").alias("path"), "total", "size").orderBy(F.desc("total"), "path").write.mode("overwrite").csv(f"{out}/rings", sep="\t", header=True)
+    text = report.joins_text(joins, rings)
+    spark.createDataFrame([(text.rstrip("\n"),)], "value string").coalesce(1).write.mode("overwrite").text(f"{out}/report")
+    return {"joins": joins, "rings": rings}
+
+
+def report_run(spark: SparkSession, raw: R.Paths, scrubbed: R.Paths, final: R.Paths, scrub_json: str, downsample_json: R.Paths, contigs: R.Paths, out: str, title: str = "Run") -> str:
+    """The HTML page of a run from its files; written under out and returned."""
+    scrub = R.read_scrub_json(spark, scrub_json).first().asDict()
+    outcomes = {k: v for k, v in scrub.items() if isinstance(v, int) and k != "total_alignments"}
+    sizes = [(r.name, r.length) for r in R.read_fasta(spark, contigs).select("name", "length").collect()]
+    page = report.run_report(title, *(read_figures(R.read_reads(spark, x)) for x in (raw, scrubbed, final)), outcomes, R.read_stats_json(spark, downsample_json), sizes)
+    spark.createDataFrame([(page,)], "value string").coalesce(1).write.mode("overwrite").text(out)
+    return page
+
+
 def read_figures(reads: DataFrame) -> dict:
     """Count, bases, mean length, N50, mean quality and the nine-bin histogram of reads(seq, qual), for a report."""
     rows = reads.select(F.length("seq").cast("long").alias("length"), S.mean_phred(F.col("qual")).alias("mean_q"))

@@ -124,3 +124,45 @@ def test_binary_alignments_give_the_same_run(spark, tmp_path, files):
         assert sorted(map(repr, a)) == sorted(map(repr, b))
         texts = sorted(map(tuple, R.read_sam(spark, str(tmp_path / "a" / f.__name__ / "alignments")).collect()))
         assert sorted(map(tuple, bam.read_bam(spark, str(tmp_path / "b" / f.__name__ / "alignments")).collect())) == texts and texts
+
+
+def test_graph_and_joins_from_files_to_files(spark, tmp_path):
+    import random
+
+    from strandline.plans.options import GraphOptions
+
+    rng = random.Random(12)
+    seq = {n: "".join(rng.choices("ACGT", k=400)) for n in "ABC"}
+    # A ring A -> B -> C -> A: each begins with the last 120 bases of the one before.
+    seq["B"] = seq["A"][-120:] + seq["B"][120:]
+    seq["C"] = seq["B"][-120:] + seq["C"][120:]
+    seq["A"] = seq["C"][-120:] + seq["A"][120:]
+    gfa = put(tmp_path, "g.gfa", "".join(f"S\t{n}\t{s}\n" for n, s in seq.items()))
+    out = str(tmp_path / "graph")
+    made = run.graph_run(spark, gfa, out, GraphOptions(window=150, expected_size=840, size_tolerance=0.2, max_depth=4))
+    ring = [r.nodes for r in made["any"].collect()]
+    # The other strand goes round the other way.
+    assert sorted("".join(x.seg + x.orient for x in n) for n in ring) == ["A+B+C+A+", "A-C-B-A-"] and made["cycles"].count() == 2
+    got = {r.name: r.seq for r in R.read_fasta(spark, f"{out}/fasta").collect()}
+    whole = (seq["A"] + seq["B"][120:] + seq["C"][120:])[: 1200 - 3 * 120]
+    assert got["A__B__C|cycle|840|100.00"] == whole and any(n.startswith("A__B__C|cycle_any") for n in got)
+    text = "".join(r.value + "\n" for r in spark.read.text(f"{out}/report").collect())
+    assert "A+ -> B+" in text and spark.read.csv(f"{out}/support", sep="\t", header=True).count() == 3
+    assert {r.nodes for r in spark.read.csv(f"{out}/paths", sep="\t", header=True).where("kind = 'cycle'").collect()} == {"A+ -> B+ -> C+ -> A+", "A- -> C- -> B- -> A-"}
+
+    fasta = put(tmp_path, "c.fa", "".join(f">{n}\n{s}\n" for n, s in seq.items()))
+    for path in (fasta, gfa):
+        both = run.joins_run(spark, path, str(tmp_path / "joins"), JoinOptions(window=150, expected_size=840, size_tolerance=0.3))
+        assert sorted(r.path for r in both["rings"].collect()) == [["A", "B", "C"], ["B", "C", "A"], ["C", "A", "B"]]
+    assert spark.read.csv(str(tmp_path / "joins/rings"), sep="\t", header=True).first().path == "A -> B -> C"
+
+
+def test_html_report_of_a_run(spark, tmp_path, files):
+    fastq, fasta, _, sam = files
+    out = str(tmp_path / "r")
+    run.scrub_run(spark, sam, fastq, out + "/s", ScrubOptions(window=100, step=50))
+    run.downsample_run(spark, sam, fastq, out + "/d", DownsampleOptions(1, 50, 0.8, 10))
+    page = run.report_run(spark, fastq, out + "/s/reads", out + "/d/reads", out + "/s/scrub_stats", out + "/d/downsample_stats", fasta, out + "/page")
+    assert "66.7 %" in page and "class=red>1.0x" in page and spark.read.text(out + "/page").count() > 5
+    none = spark.createDataFrame([({"c": 9.0}, {"c": 0}), ({"d": 3.0}, {})], "achieved_coverage map<string,double>, ref_lengths map<string,long>")
+    assert run.T.displayed_coverage(none).first()[0] is None and run.T.displayed_coverage(none.selectExpr("achieved_coverage", "CAST(NULL AS MAP<STRING,BIGINT>) AS ref_lengths")).first()[0] == 6.0
