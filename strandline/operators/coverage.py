@@ -58,7 +58,12 @@ def aligned_blocks(aln: DataFrame) -> DataFrame:
 def depth_runs(iv: DataFrame) -> DataFrame:
     """Maximal runs (ref, start, end, depth) of equal positive depth between events."""
     ends = iv.select("ref", F.explode(F.array(F.struct(F.col("st").alias("pos"), F.lit(1).alias("d")), F.struct(F.col("en").alias("pos"), F.lit(-1).alias("d")))).alias("e"))
-    events = ends.groupBy("ref", F.col("e.pos").alias("pos")).agg(F.sum("e.d").alias("d")).where("d != 0")
+    return runs_of(ends.select("ref", "e.pos", "e.d"))
+
+
+def runs_of(changes: DataFrame) -> DataFrame:
+    """Runs as in depth_runs of changes(ref, pos, d): by how much the depth changes at a position, in any number of rows."""
+    events = changes.groupBy("ref", "pos").agg(F.sum("d").alias("d")).where("d != 0")
     run = _running(events, ["d"])
     # The next event may lie blocks ahead: within a block by lead, across blocks by the next block's first event.
     block = F.floor(F.col("pos") / BLOCK)
