@@ -153,7 +153,11 @@ def downsample_document(spark, d):
     return made.select("chrom", "input_alignments", "spanning_reads", "selected_reads", "target_coverage", F.round(F.element_at("achieved_coverage", F.col("chrom")), 6).alias("coverage"))
 
 
-@query()
+#: A bin's reads are taken in order until it is full, counting what reads taken in earlier bins that reach it left there; each taking credits all bins from this one on.
+GREEDY_SQL = f"WITH RECURSIVE {BINS_SQL}, k AS (SELECT name, ref, bin, credit, l AS last, coalesce(sum(credit) OVER (PARTITION BY ref, bin ORDER BY length DESC, mean_q DESC, st, name ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM x), g(ref, bin, name, last, credit, taken) AS (SELECT name, CAST(-1 AS BIGINT), CAST(NULL AS BIGINT), length // {BIN} + 1, CAST(0 AS BIGINT), false FROM contigs UNION ALL (SELECT ref, bin + 1, name, last, credit, false FROM g WHERE last > bin UNION ALL SELECT k.ref, k.bin, k.name, k.last, k.credit, true FROM k JOIN (SELECT ref, bin + 1 AS bin, sum(credit) AS have FROM g WHERE last > bin GROUP BY ref, bin) h ON h.ref = k.ref AND h.bin = k.bin WHERE have + before < {TARGET * BIN}))"
+
+
+@query(f"{GREEDY_SQL} SELECT ref, count(*) AS n_reads, CAST(sum(en - st) AS BIGINT) AS bases FROM iv WHERE name IN (SELECT name FROM g WHERE taken) GROUP BY ref")
 def greedy_bins_exact(spark, d):
     reads = iv(spark, d)
     return P.keep_reads(reads, D.greedy(reads, contigs(spark, d), TARGET, BIN)).groupBy("ref").agg(F.count("*").alias("n_reads"), F.sum(F.col("en") - F.col("st")).alias("bases"))
@@ -401,7 +405,35 @@ def contig_support(spark, d):
     return G.contig_support(segs, hits, e, G.distinct_cycles(G.walks(e, 6)[1]))
 
 
-@query()
+def alignment_sql(before: str, width: int) -> str:
+    """A WITH clause over pairs(pid, query, target) of up to `width` letters that ends in aligned(pid, score, span, identity).
+
+    Affine local alignment by anti-diagonals: a step of the recursion takes a row for every query offset i of every pair from one
+    diagonal to the next. A state is one number, 1000 * (2 * score) + where it began, so the greater number is the better
+    state; of alignments of the best score the first end counts, then the shortest span.
+    """
+    low = -1_000_000_000
+    return (
+        f"WITH RECURSIVE {before}, dp(pid, i, d, v, v2, e, f, best, span) AS (SELECT pid, CAST(i AS INTEGER), 1, CAST(i AS INTEGER), CAST(i AS INTEGER), {low}, {low}, 0, 0 FROM pairs, range(0, {width} + 1) r(i) "
+        f"UNION ALL SELECT pid, i, d, v, v1, e, f, CASE WHEN v // 1000 > best THEN v // 1000 ELSE best END, CASE WHEN v // 1000 > best THEN i - v % 1000 WHEN v // 1000 = best AND best > 0 THEN least(span, i - v % 1000) ELSE span END "
+        f"FROM (SELECT pid, i, d, v1, e, f, best, span, CASE WHEN inside AND greatest(g, e, f) >= 1000 THEN greatest(g, e, f) ELSE i END AS v "
+        f"FROM (SELECT x.pid, x.i, x.d + 1 AS d, x.v AS v1, x.best, x.span, x.i >= 1 AND x.d + 1 - x.i BETWEEN 1 AND {width} AS inside, "
+        f"CASE WHEN inside THEN greatest(x.v - 4000, x.e - 1000) ELSE {low} END AS e, CASE WHEN inside THEN greatest(y.v - 4000, y.f - 1000) ELSE {low} END AS f, "
+        f"y.v2 + CASE WHEN x.i <= length(query) AND substr(query, x.i, 1) = substr(target, x.d + 1 - x.i, 1) THEN 2000 ELSE -2000 END AS g "
+        f"FROM dp x JOIN pairs USING (pid) LEFT JOIN dp y ON y.pid = x.pid AND y.i = x.i - 1 WHERE x.d < 2 * {width}))), "
+        f"ends AS (SELECT pid, best, span, i FROM dp WHERE d = 2 * {width} QUALIFY row_number() OVER (PARTITION BY pid ORDER BY best DESC, i, span) = 1), "
+        f"aligned AS (SELECT pid, best / CAST(2 AS DOUBLE) AS score, CAST(span AS BIGINT) AS span, CASE WHEN span > 0 THEN 100 * (best / CAST(2 AS DOUBLE)) / span ELSE CAST(0 AS DOUBLE) END AS identity FROM ends)"
+    )
+
+
+ENDS = "t AS (SELECT ord, name, length(seq) AS len, substr(seq, 1, {w}) AS head, right(seq, {w}) AS tail FROM dna), flipped AS (SELECT ord, name AS seg, len AS length, '+' AS orient, head, tail FROM t UNION ALL SELECT ord, name, len, '-', reverse(translate(tail, 'ACGT', 'TGCA')), reverse(translate(head, 'ACGT', 'TGCA')) FROM t)"
+NEXT_SQL = alignment_sql(f"{B_DNA}, pairs AS (SELECT a.name AS pid, b.name AS other, right(a.seq, 60) AS query, substr(b.seq, 1, 60) AS target FROM dna a JOIN dna b ON b.ord = a.ord + 1)", 60)
+SELF_SQL = alignment_sql(f"{B_DNA}, {ENDS.format(w=60)}, pairs AS (SELECT seg || orient AS pid, seg, orient, length, tail AS query, head AS target FROM flipped)", 60)
+OVERLAP_SQL = alignment_sql(f"{B_DNA}, {ENDS.format(w=40)}, pairs AS (SELECT a.seg || a.orient || b.seg || b.orient AS pid, a.seg AS src_seg, a.orient AS src_orient, b.seg AS dst_seg, b.orient AS dst_orient, a.length AS src_len, b.length AS dst_len, a.tail AS query, b.head AS target FROM flipped a JOIN flipped b ON a.seg <> b.seg)", 40)
+JOINS_SQL = alignment_sql(f"{B_DNA}, {ENDS.format(w=40)}, pairs AS (SELECT a.seg || b.seg || orientation AS pid, a.seg AS seg_a, b.seg AS seg_b, end_a, end_b, orientation, note, a.length + b.length AS bases, CASE end_a WHEN 'tail' THEN a.tail ELSE reverse(translate(a.tail, 'ACGT', 'TGCA')) END AS query, CASE end_b WHEN 'head' THEN b.head ELSE reverse(translate(b.head, 'ACGT', 'TGCA')) END AS target FROM flipped a JOIN flipped b ON a.seg <> b.seg AND a.orient = '+' AND b.orient = '+', (VALUES ('tail', 'head', '+/+', 'direct'), ('tail_rc', 'head', '-/+', 'first reversed'), ('tail', 'head_rc', '+/-', 'second reversed'), ('tail_rc', 'head_rc', '-/-', 'both reversed')) o(end_a, end_b, orientation, note))", 40)
+
+
+@query(f"{NEXT_SQL} SELECT pid AS name, other, score AS align_score, span AS overlap, identity FROM aligned JOIN pairs USING (pid)")
 def local_alignment(spark, d):
     """Every benchmark sequence's last 60 bases against the first 60 of the next."""
     s = dna(spark, d, "benchmark", "item_id").select("ord", "name", "seq")
@@ -409,16 +441,16 @@ def local_alignment(spark, d):
     return align(s.join(nxt, "ord").select("name", "other", S.tail(F.col("seq"), 60).alias("query"), "target")).select("name", "other", "align_score", "overlap", "identity")
 
 
-@query()
+@query(f"{SELF_SQL}, r AS (SELECT seg, orient, length, round(identity, 2) AS identity, span AS overlap FROM aligned JOIN pairs USING (pid)) SELECT *, identity * overlap AS score, identity >= 75 AND overlap >= 10 AS circular_possible FROM r")
 def self_terminals(spark, d):
     return G.circular(G.self_terminals(dna(spark, d, "benchmark", "item_id"), 60), 75.0, 10)
 
 
-@query()
+@query(f"{OVERLAP_SQL}, r AS (SELECT src_seg, src_orient, dst_seg, dst_orient, round(identity, 2) AS identity, span AS overlap, src_len, dst_len FROM aligned JOIN pairs USING (pid) WHERE identity >= 50 AND span >= 10) SELECT *, identity * overlap AS score FROM r QUALIFY row_number() OVER (PARTITION BY src_seg, src_orient ORDER BY identity * overlap DESC, identity DESC, overlap DESC, dst_seg, dst_orient) <= 5")
 def overlap_edges(spark, d):
     return G.build_edges(dna(spark, d, "benchmark", "item_id"), GraphOptions(window=40, min_identity=50.0, min_overlap=10))
 
 
-@query()
+@query(f"{JOINS_SQL} SELECT seg_a, end_a, seg_b, end_b, orientation, round(identity, 2) AS identity_pct, span AS overlap_bp, bases - span AS combined_len_bp, note FROM aligned JOIN pairs USING (pid) WHERE identity >= 50 AND span >= 10")
 def candidate_joins(spark, d):
     return G.candidate_joins(dna(spark, d, "benchmark", "item_id"), 40, 50.0, 10)
