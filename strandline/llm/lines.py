@@ -278,3 +278,23 @@ def line_dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", o
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row a document: how many of its lines go, and which."""
     return line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+#: DuckDB measures edits in bytes: characters beyond ASCII are put as control characters first, enough for 26 different ones. Documents are ordered by doc_id alone, so ids must differ.
+ORACLE_SQL = f"""
+WITH RECURSIVE cut AS (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents),
+every AS (SELECT doc_id, unnest(parts) AS line, CAST(unnest(range(len(parts))) AS INTEGER) AS no FROM cut),
+rows_ AS (SELECT * FROM every WHERE trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) <> ''),
+beyond AS (SELECT c, row_number() OVER (ORDER BY c) AS k FROM (SELECT DISTINCT unnest(string_split(line, '')) AS c FROM rows_) WHERE ord(c) > 127),
+spelled AS (SELECT coalesce(string_agg(c, '' ORDER BY k), '') AS was, coalesce(string_agg(chr(CAST(CASE WHEN k <= 8 THEN k ELSE k + 5 END AS INTEGER)), '' ORDER BY k), '') AS now FROM beyond),
+kinds AS (SELECT line, min((doc_id, no)) AS first FROM rows_ GROUP BY line),
+long_ AS (SELECT line, length(line) AS n, translate(line, was, now) AS plain FROM kinds, spelled WHERE length(line) >= {LEAST}),
+sized AS (SELECT *, unnest(range(n - {EDITS}, n + {EDITS} + 1)) AS m FROM long_),
+near AS (SELECT a.line AS x, b.line AS y FROM sized a JOIN long_ b ON a.m = b.n WHERE a.line <> b.line AND levenshtein(a.plain, b.plain) <= {EDITS}),
+reach AS (SELECT line AS a, line AS b FROM kinds WHERE line IN (SELECT x FROM near) UNION SELECT reach.a, near.y FROM reach JOIN near ON near.x = reach.b),
+starts AS (SELECT a AS line, min(first) AS start FROM reach JOIN kinds ON kinds.line = reach.b GROUP BY a),
+degree AS (SELECT x AS line, count(*) AS links FROM near GROUP BY x),
+marks AS (SELECT r.doc_id, r.no, (r.doc_id, r.no) <> coalesce(s.start, k.first) AS removed, (r.doc_id, r.no) = k.first AND k.first <> coalesce(s.start, k.first) AS near, coalesce(g.links, 0) AS links FROM rows_ r JOIN kinds k USING (line) LEFT JOIN starts s USING (line) LEFT JOIN degree g USING (line)),
+docs AS (SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(count(*) FILTER (removed) AS BIGINT) AS n_removed, CAST(count(*) FILTER (near) AS BIGINT) AS n_near, CAST(sum(links) AS BIGINT) AS n_links, list(no ORDER BY no) FILTER (removed) AS gone FROM marks GROUP BY doc_id)
+SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(n_near, 0) AS n_near, coalesce(n_links, 0) AS n_links, coalesce(gone, CAST([] AS INTEGER[])) AS removed_lines FROM documents LEFT JOIN docs USING (doc_id)
+"""

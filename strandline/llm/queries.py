@@ -23,6 +23,7 @@ ORACLES = {
     "op1_quality_rules": quality.ORACLE_SQL,
     "op3_minhash_dedup": near.ORACLE_SQL,
     "op4_decontamination": leaks.ORACLE_SQL,
+    "op5_line_dedup": lines.ORACLE_SQL,
     "op6_chat_formatting": chat.ORACLE_SQL,
     "op10_license_scan": licenses.ORACLE_SQL,
     "op12_fill_in_middle": infill.ORACLE_SQL,
