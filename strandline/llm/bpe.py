@@ -278,7 +278,8 @@ def encode_documents(docs: DataFrame, *, text: str = "text", tokenizer: str | No
 
     Null texts count as empty and have no ids. Equal texts share a key, so copies of any number are
     encoded once; they are combined on the map side before the exchange. Other columns of docs are
-    kept; one named __key gives way.
+    kept; one named __key gives way. Rows that repeat are kept and have one text between them, null ids are
+    like others; an empty table gives two empty ones.
     """
     whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     keyed = docs.withColumn("__key", F.coalesce(F.unhex(F.md5(F.encode(whole, "UTF-8"))), F.lit(b"")))

@@ -29,7 +29,7 @@ def format_chats(turns: DataFrame, *, learn: tuple[str, ...] = ("assistant",)) -
     (start, n), 0-based in code points of formatted, of the escaped texts of the roles in learn.
     Turns are ordered by turn, then role and text, so that ties have one order; null turns come
     first, null roles and texts are empty strings, rows with a null conv_id form one conversation,
-    repeated rows are turns of their own, other columns are ignored. One conversation is one output
+    repeated rows are turns of their own, other columns are ignored, an empty table gives an empty result. One conversation is one output
     string, so it must fit in a task; nothing larger is ever gathered.
     """
     t = turns.select("conv_id", F.struct(F.col("turn").cast("long").alias("turn"), F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).alias("t"))

@@ -88,7 +88,7 @@ def license_scan(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     without any word that a notice needs cannot hold it and are passed over, whole texts are read
     for that, and so are windows without such a word. The notices are a parameter of bounded size, so their table is broadcast. Null and
     wordless texts hold nothing; rows equal in id and text give one row; null ids are kept; other
-    columns are ignored.
+    columns are ignored, whatever their names; an empty table of documents gives an empty result.
     """
     spark = docs.sparkSession
     known = templates(spark, notices)

@@ -185,7 +185,8 @@ def exact_dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     row for each row of docs. Every copy goes, the first included; strings are judged on the input;
     matches stay within a document and may overlap, in the same document too. Texts shorter than
     WIDTH and null texts lose nothing. Every row is a document of its own, so rows that are equal
-    lose their long texts; null ids are kept; other columns are ignored.
+    lose their long texts; null ids are kept; other columns are ignored, whatever their names; an empty
+    table gives an empty result.
     """
     source = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")).withColumn("tkey", F.xxhash64("text")).select("doc_id", "tkey", "text")
     runs = repeated_runs(source, group)
