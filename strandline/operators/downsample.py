@@ -14,13 +14,22 @@ from ..storage import keep
 
 
 def _with_length(reads: DataFrame, contigs: DataFrame) -> DataFrame:
-    """Unknown contigs count as one base long."""
-    return reads.join(contigs.select(F.col("name").alias("ref"), F.col("length").alias("contig_len")), "ref", "left").withColumn("contig_len", F.coalesce("contig_len", F.lit(1)))
+    """Unknown contigs count as one base long. Contigs are broadcast, so reads stay where they are."""
+    return reads.join(F.broadcast(contigs.select(F.col("name").alias("ref"), F.col("length").alias("contig_len"))), "ref", "left").withColumn("contig_len", F.coalesce("contig_len", F.lit(1)))
+
+
+def _spans(fraction: float):
+    return (F.col("en") - F.col("st")) / F.col("contig_len") >= fraction
 
 
 def spanning(reads: DataFrame, contigs: DataFrame, fraction: float = 0.80) -> DataFrame:
     """Reads that cover at least that fraction of their contig."""
-    return _with_length(reads, contigs).where((F.col("en") - F.col("st")) / F.col("contig_len") >= fraction).drop("contig_len")
+    return _with_length(reads, contigs).where(_spans(fraction)).drop("contig_len")
+
+
+def marked_spanning(reads: DataFrame, contigs: DataFrame, fraction: float = 0.80) -> DataFrame:
+    """Reads with spans, whether they are among spanning()."""
+    return _with_length(reads, contigs).withColumn("spans", F.coalesce(_spans(fraction), F.lit(False))).drop("contig_len")
 
 
 def binned(reads: DataFrame, contigs: DataFrame, size: int) -> DataFrame:
@@ -29,11 +38,48 @@ def binned(reads: DataFrame, contigs: DataFrame, size: int) -> DataFrame:
     return rows.select(*reads.columns, "first", "last", F.floor((F.col("en") - F.col("st")) / F.greatest(F.col("last") - F.col("first") + 1, F.lit(1))).cast("long").alias("credit"), F.explode(F.sequence("first", "last")).alias("bin"))
 
 
-def fill_bins(reads: DataFrame, contigs: DataFrame, target: int, size: int) -> DataFrame:
-    """Names kept when every bin is filled on its own: longest reads first until the bin holds target * size bases. Bins are independent, so contigs are not tasks."""
+def _grade(value, steps: int):
+    """A whole number that never falls where value rises, steps of it an octave; of 0 and less, null and NaN one each."""
+    x = value.cast("double")
+    return F.when(F.isnan(x), F.lit(1 << 30)).when(x > 0, F.floor(F.log2(F.least(x, F.lit(1.7e308))) * steps).cast("int")).when(x.isNull(), F.lit(-(1 << 30))).otherwise(F.lit(-(1 << 29)))
+
+
+#: Rows that leading() sorts without parting them further.
+SORTED = 1_000_000
+
+
+def _until_full(rows: DataFrame, full: int, order: list[str]) -> tuple[DataFrame, int]:
+    """(binned rows up to the value of the columns order, which fall along a bin, in which it holds full bases, an upper bound of their number)."""
+    zero = F.lit(0).cast("long")
+    sums = rows.groupBy("ref", "bin", *order).agg(F.sum("credit").alias("all"), F.sum(F.least("credit", zero)).alias("less"), F.count("*").alias("n"))
+    down = Window.partitionBy("ref", "bin").orderBy(*[F.desc(c) for c in order]).rowsBetween(Window.unboundedPreceding, -1)
+    # A negative span takes bases away, so a value is left out only if the bin is full there whatever such rows take.
+    open_ = sums.withColumn("ahead", F.coalesce(F.sum("all").over(down), zero)).withColumn("to", F.coalesce(F.sum("n").over(down), zero) + F.col("n")).where(F.col("ahead") + F.col("less") < full)
+    ends = keep(open_.groupBy(F.col("ref").alias("e_ref"), F.col("bin").alias("e_bin")).agg(F.min(F.struct(*order)).alias("end"), F.max("to").alias("to")), "fill-ends")
+    near = rows.join(ends.drop("to"), F.col("ref").eqNullSafe(F.col("e_ref")) & (F.col("bin") == F.col("e_bin"))).where(F.struct(*order) >= F.col("end"))
+    return near.drop("e_ref", "e_bin", "end"), ends.agg(F.coalesce(F.sum("to"), zero)).first()[0]
+
+
+def leading(reads: DataFrame, contigs: DataFrame, target: int, size: int) -> DataFrame:
+    """Of binned rows, the first of every bin until it holds target * size bases, longest reads first: with before, the bases ahead of a row, and its place.
+
+    Sums by bin and grade of length, which are combined where the reads are, tell the grade in which
+    a bin is full; where reads up to that grade are still many, as they are all of one length, sums
+    by length and grade of quality do. Only the rows up to there are dealt out and sorted, so what a
+    task sorts depends on target and on one grade's rows, not on a bin's depth.
+    """
+    rows = binned(reads, contigs, size).withColumn("__length", _grade(F.col("length"), 16))
+    near, n = _until_full(rows, target * size, ["__length"])
+    if n > SORTED:
+        near, _ = _until_full(near.withColumn("__q", _grade(F.col("mean_q"), 8)), target * size, ["length", "__q"])
     w = Window.partitionBy("ref", "bin").orderBy(F.desc("length"), F.desc("mean_q"), "st", "name")
-    before = F.coalesce(F.sum("credit").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return binned(reads, contigs, size).withColumn("before", before).where(F.col("before") < target * size).select("name").distinct()
+    before = F.coalesce(F.sum("credit").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long"))
+    return near.drop("__length", "__q").withColumn("before", before).withColumn("place", F.row_number().over(w)).where(F.col("before") < target * size)
+
+
+def fill_bins(reads: DataFrame, contigs: DataFrame, target: int, size: int) -> DataFrame:
+    """Names kept when every bin is filled on its own: longest reads first until the bin holds target * size bases. Bins are independent, so contigs are not tasks. The names are written, so that joins know how many there are."""
+    return keep(leading(reads, contigs, target, size).select("name").distinct(), "fill")
 
 
 class _Fill:

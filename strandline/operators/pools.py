@@ -64,6 +64,18 @@ def pool_reads(pool_rows: DataFrame, reads: DataFrame) -> DataFrame:
     return pool_rows.join(last, F.col("read") == F.col("name")).select("chrom", "read", "r.ord", F.coalesce("r.seq", F.lit("")).alias("seq"), F.coalesce("r.qual", F.lit("")).alias("qual"))
 
 
+#: Names up to this many are broadcast; beyond, reads are dealt by name to a task for so many of them.
+NAMES = 1_000_000
+
+
+def with_names(reads: DataFrame, names: DataFrame, how: str) -> DataFrame:
+    """The join of reads with names(name and more), counted first: reads stay where they are for few names; else a task sorts a bounded number of reads, however many there are."""
+    if names.count() <= NAMES:
+        return reads.join(F.broadcast(names), "name", how)
+    n = max(int(reads.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-reads.count() // NAMES))
+    return reads.repartition(n, "name").join(names.repartition(n, "name"), "name", how)
+
+
 def keep_reads(reads: DataFrame, names: DataFrame) -> DataFrame:
-    """Reads named in names(name), duplicates and all."""
-    return reads.join(names.select("name").distinct(), "name", "left_semi")
+    """Reads named in names(name), duplicates and all. names are counted first: write them if they are work."""
+    return with_names(reads.where("name IS NOT NULL"), names.select("name"), "left_semi")
