@@ -11,6 +11,7 @@ from pyspark.sql.types import StructField, StructType
 
 from ..functions import seq as S
 from ..storage import keep
+from .pools import keep_reads
 
 
 def _with_length(reads: DataFrame, contigs: DataFrame) -> DataFrame:
@@ -144,8 +145,8 @@ def greedy(reads: DataFrame, contigs: DataFrame, target: int = 200, size: int =
 
 
 def achieved(reads: DataFrame, names: DataFrame, contigs: DataFrame) -> DataFrame:
-    """Aligned bases of kept reads over contig length, by contig; 0 where nothing was kept."""
-    sums = reads.join(names.select("name").distinct(), "name", "left_semi").groupBy("ref").agg(F.sum(F.col("en") - F.col("st")).alias("bases"))
+    """Aligned bases of kept reads over contig length, by contig; 0 where nothing was kept. names are counted first: write them if they are work."""
+    sums = keep_reads(reads.select("name", "ref", "st", "en"), names).groupBy("ref").agg(F.sum(F.col("en") - F.col("st")).alias("bases"))
     return contigs.select(F.col("name").alias("ref"), "length").join(sums, "ref", "left").select("ref", (F.coalesce("bases", F.lit(0)) / F.col("length")).alias("coverage"))
 
 

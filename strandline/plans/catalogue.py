@@ -140,9 +140,11 @@ def spanning_reads(spark, d):
 @query(f"WITH {FILL_SQL}, s AS (SELECT DISTINCT name FROM iv WHERE CAST(en - st AS DOUBLE) / 42000 >= {SPAN}), u AS (SELECT name FROM kept UNION SELECT name FROM s), o AS (SELECT name FROM s EXCEPT SELECT name FROM kept) SELECT c.name AS ref, coalesce((SELECT sum(en - st) FROM iv WHERE iv.ref = c.name AND iv.name IN (SELECT name FROM u)), 0) / CAST(42000 AS DOUBLE) AS coverage, (SELECT count(*) FROM o) AS spanning_only FROM contigs c")
 def achieved_coverage(spark, d):
     reads, cs = iv(spark, d), contigs(spark, d)
-    fill, span = keep(D.fill_bins(reads, cs, TARGET, BIN), "fill"), D.spanning(reads, cs, SPAN).select("name").distinct()
-    only = span.join(fill, "name", "left_anti").agg(F.count("*").alias("spanning_only"))
-    return D.achieved(reads, fill.union(span).distinct(), cs).join(F.broadcast(only))
+    fill, span = D.fill_bins(reads, cs, TARGET, BIN), D.spanning(reads, cs, SPAN)
+    names = fill.withColumn("filled", F.lit(True)).union(span.select("name", F.lit(False)))
+    names = keep(names.groupBy("name").agg(F.max("filled").alias("filled")), "kept-names")
+    only = names.agg(F.count_if(~F.col("filled")).alias("spanning_only"))
+    return D.achieved(reads, names, cs).join(F.broadcast(only))
 
 
 @query(f"WITH {FILL_SQL}, s AS (SELECT DISTINCT ref, name FROM iv WHERE CAST(en - st AS DOUBLE) / 42000 >= {SPAN}) SELECT ref AS chrom, count(*) AS input_alignments, count(DISTINCT name) FILTER (WHERE (ref, name) IN (SELECT (ref, name) FROM s)) AS spanning_reads, count(DISTINCT name) FILTER (WHERE name IN (SELECT name FROM kept)) AS selected_reads, CAST({TARGET} AS INTEGER) AS target_coverage, round(coalesce(sum(en - st) FILTER (WHERE name IN (SELECT name FROM kept)), 0) / CAST(42000 AS DOUBLE), 6) AS coverage FROM iv GROUP BY ref")

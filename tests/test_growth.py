@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strandline.operators import downsample as D
+from strandline.plans import catalogue
 
 READS = "name string, length long, mean_q double, ref string, st long, en long"
 
@@ -68,3 +69,9 @@ def test_fill_against_the_rule_spelled_out(spark, few, monkeypatch):
     reads = spark.createDataFrame(rows, READS)
     got = {r.name for r in D.fill_bins(reads, spark.createDataFrame(list(lengths.items()), CONTIGS), target, size).collect()}
     assert got == want and len(want) < 450
+
+
+@pytest.mark.parametrize("name", ["achieved_coverage"])
+def test_reads_stay_where_they_are(spark, name):
+    """Of about 6,000 reads only those that span or fill are dealt out."""
+    assert shuffled(spark, lambda: catalogue.QUERIES[name](spark, "/root/testdata/sf0.001").collect()) < 5_000
