@@ -97,9 +97,11 @@ def downsample_stats(reads: DataFrame, contigs: DataFrame, options: DownsampleOp
     """
     kept = D.downsample(reads, contigs, options.target_coverage, options.bin_size, options.spanning_fraction, options.skip) if names is None else names
     kept = keep(kept.select("name").distinct().withColumn("taken", F.lit(True)), "kept-names")
-    span = D.spanning(reads, contigs, options.spanning_fraction).select("ref", "name").distinct().withColumn("spans", F.lit(True))
-    seen = reads.join(kept, "name", "left").join(span, ["ref", "name"], "left")
-    counts = seen.groupBy("ref").agg(F.count("*").alias("input_alignments"), F.count_distinct(F.when(F.col("spans"), F.col("name"))).alias("spanning_reads"), F.count_distinct(F.when(F.col("taken"), F.col("name"))).alias("selected_reads"), F.sum(F.when(F.col("taken"), F.col("en") - F.col("st")).otherwise(0)).alias("bases"))
+    seen = P.with_names(D.marked_spanning(reads, contigs, options.spanning_fraction), kept, "left").withColumn("taken", F.coalesce("taken", F.lit(False)))
+    # Only reads that span or were taken are counted by name; the rest is combined where it is.
+    by_name = seen.groupBy("ref", F.when(F.col("spans") | F.col("taken"), F.col("name")).alias("name")).agg(F.count("*").alias("n"), F.max("spans").alias("spans"), F.max("taken").alias("taken"), F.sum(F.when(F.col("taken"), F.col("en") - F.col("st"))).alias("bases"))
+    named = F.col("name").isNotNull()
+    counts = by_name.groupBy("ref").agg(F.sum("n").alias("input_alignments"), F.count_if(named & F.col("spans")).alias("spanning_reads"), F.count_if(named & F.col("taken")).alias("selected_reads"), F.sum("bases").alias("bases"))
     out = contigs.select(F.col("name").alias("chrom"), F.col("length").cast("long").alias("length")).join(counts.withColumnRenamed("ref", "chrom"), "chrom", "left").na.fill(0)
     return out.select("chrom", "input_alignments", "spanning_reads", "selected_reads", F.col("selected_reads").alias("output_reads"), F.lit(options.target_coverage).alias("target_coverage"), F.create_map("chrom", F.col("bases") / F.col("length")).alias("achieved_coverage"), F.create_map("chrom", "length").alias("ref_lengths"))
 
