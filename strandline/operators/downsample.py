@@ -127,10 +127,7 @@ def greedy(reads: DataFrame, contigs: DataFrame, target: int = 200, size: int =
     with a contig's length.
     fill_bins is the variant in which bins are independent.
     """
-    w = Window.partitionBy("ref", "bin").orderBy(F.desc("length"), F.desc("mean_q"), "st", "name")
-    before = F.coalesce(F.sum("credit").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ranked = binned(reads, contigs, size).withColumn("before", before).withColumn("place", F.row_number().over(w))
-    near = keep(ranked.where(F.col("before") < target * size).select("ref", "name", "first", "last", "credit", "bin", "place"), "fill-prefixes")
+    near = keep(leading(reads, contigs, target, size).select("ref", "name", "first", "last", "credit", "bin", "place"), "fill-prefixes")
     cols = ["ref", "stretch", "bin", "place", "name", "first", "last", "credit"]
     rows = near.join(stretches(near), ["ref", "first"]).select(*cols).repartition("ref", "stretch").sortWithinPartitions("ref", "stretch", "bin", "place")
 
@@ -141,7 +138,7 @@ def greedy(reads: DataFrame, contigs: DataFrame, target: int = 200, size: int =
             taken = [fill.take(key, *read) for key, *read in zip(zip(ref, stretch, strict=True), name, bin_, first, last, credit, strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(4).filter(pa.array(taken, pa.bool_()))], names=["name"])
 
-    return rows.mapInArrow(run, StructType([StructField("name", reads.schema["name"].dataType)])).distinct()
+    return keep(rows.mapInArrow(run, StructType([StructField("name", reads.schema["name"].dataType)])).distinct(), "greedy")
 
 
 def achieved(reads: DataFrame, names: DataFrame, contigs: DataFrame) -> DataFrame:

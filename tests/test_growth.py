@@ -71,7 +71,7 @@ def test_fill_against_the_rule_spelled_out(spark, few, monkeypatch):
     assert got == want and len(want) < 450
 
 
-@pytest.mark.parametrize("name", ["achieved_coverage", "downsample_document"])
+@pytest.mark.parametrize("name", ["achieved_coverage", "downsample_document", "greedy_bins_exact"])
 def test_reads_stay_where_they_are(spark, name):
     """Of about 6,000 reads only those that span or fill are dealt out."""
     assert shuffled(spark, lambda: catalogue.QUERIES[name](spark, "/root/testdata/sf0.001").collect()) < 5_000
