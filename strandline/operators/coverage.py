@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import re
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,12 +45,77 @@ def covered(start: int, cigar: str, seq: str) -> list[tuple[int, int]]:
     return out
 
 
+_DIGIT, _MATCH, _ON_REF, _ON_READ = (np.isin(np.arange(256), np.frombuffer(x, np.uint8)) for x in (b"0123456789", b"M=X", b"M=XDN", b"M=XIS"))
+_OP = np.isin(np.arange(256), np.frombuffer(b"MIDNSHP=X", np.uint8))
+
+
+def _covered_many(start: np.ndarray, cigar: pa.Array, seq: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """covered() of many alignments at once: (row, st, en) of all blocks in order. CIGARs of another form than (digits letter)*, and sequences with other bases or too short for their CIGAR, go through covered()."""
+    texts = pc.fill_null(cigar, "").cast(pa.large_string())
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    text = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    offsets = offsets - offsets[0]
+    row_of = np.repeat(np.arange(len(texts)), np.diff(offsets))
+    digit, op = _DIGIT[text], _OP[text]
+    first = np.zeros(len(text), bool)
+    first[offsets[:-1][np.diff(offsets) > 0]] = True
+    after_digit = np.append(False, digit[:-1]) & ~first
+    bad = ~(digit | op) | (op & ~after_digit)
+    last = offsets[1:][np.diff(offsets) > 0] - 1
+    bad[last] |= digit[last]
+    at = np.flatnonzero(op)
+    begun = np.flatnonzero(digit & ~after_digit)
+    odd = np.zeros(len(texts), bool)
+    odd[row_of[bad]] = True
+    # Operations of rows in form, each with the digits before it; more than 15 digits don't fit.
+    at, begun = at[~odd[row_of[at]]], begun[~odd[row_of[begun]]]
+    width = at - begun
+    odd[row_of[at[width > 15]]] = True
+    good = ~odd[row_of[at]]
+    at, width = at[good], width[good]
+    size = np.zeros(len(at), np.int64)
+    for k in range(int(width.max(initial=0)), 0, -1):
+        has = width >= k
+        size[has] = size[has] * 10 + (text[at[has] - k] - 48)
+    row, letter = row_of[at], text[at]
+
+    def before(moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The sum of moves ahead of each operation in its row, and of all by row."""
+        run = np.append(0, np.cumsum(moves))
+        borders = np.searchsorted(row, np.arange(len(texts) + 1))
+        return run[:-1] - run[borders[:-1]][row], run[borders[1:]] - run[borders[:-1]]
+
+    ref, _ = before(np.where(_ON_REF[letter], size, 0))
+    length = pc.fill_null(pc.utf8_length(seq), 0).to_numpy(zero_copy_only=False)
+    has_seq = length > 0
+    if has_seq.any():
+        _, asked = before(np.where(_ON_READ[letter], size, 0))
+        odd |= has_seq & ((length < asked) | ~pc.fill_null(pc.match_substring_regex(seq, "^[ACGTacgt]*$"), True).to_numpy(zero_copy_only=False))
+    # A match of no bases is a block only where there is no sequence to look at.
+    use = _MATCH[letter] & ~odd[row] & ((size > 0) | ~has_seq[row])
+    row, st = row[use], start[row[use]] + ref[use]
+    en = st + size[use]
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (st[1:] != en[:-1])
+    heads = np.flatnonzero(new)
+    row, st, en = row[heads], st[heads], en[np.append(heads[1:], len(en)) - 1] if len(heads) else en
+    if odd.any():
+        slow = [(k, *block) for k in np.flatnonzero(odd).tolist() for block in covered(int(start[k]), cigar[k].as_py(), seq[k].as_py() or "")]
+        more = np.array(slow, np.int64).reshape(-1, 3)
+        row, st, en = (np.concatenate([x, y]) for x, y in zip((row, st, en), more.T, strict=True))
+        order = np.argsort(row, kind="stable")
+        row, st, en = row[order], st[order], en[order]
+    return row, st, en
+
+
 def aligned_blocks(aln: DataFrame) -> DataFrame:
-    """Alignments (tname, ref_start, cigar, seq) as the blocks they cover: ref, st, en, and the other columns but cigar and seq. Alignments that cover nothing have no row."""
+    """Alignments (tname, ref_start, cigar, seq) as the blocks they cover: ref, st, en, and the other columns but cigar and seq. Alignments that cover nothing have no row. CIGARs are parsed an Arrow batch at a time."""
 
-    @F.pandas_udf("array<struct<st:long,en:long>>")
-    def blocks(start: pd.Series, cigar: pd.Series, seq: pd.Series) -> pd.Series:
-        return pd.Series([[{"st": a, "en": b} for a, b in covered(int(s), c, q)] for s, c, q in zip(start, cigar, seq.fillna(""), strict=True)])
+    @F.arrow_udf("array<struct<st:long,en:long>>")
+    def blocks(start: pa.Array, cigar: pa.Array, seq: pa.Array) -> pa.Array:
+        row, st, en = _covered_many(start.to_numpy(zero_copy_only=False).astype(np.int64), cigar, seq)
+        ends = np.searchsorted(row, np.arange(len(start) + 1)).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([pa.array(st), pa.array(en)], names=["st", "en"]))
 
     others = [c for c in aln.columns if c not in ("tname", "cigar", "seq", "st", "en", "ref")]
     made = aln.where("ref_start IS NOT NULL").withColumn("__b", F.explode(blocks("ref_start", "cigar", "seq")))
@@ -63,7 +130,8 @@ def depth_runs(iv: DataFrame) -> DataFrame:
 
 def runs_of(changes: DataFrame) -> DataFrame:
     """Runs as in depth_runs of changes(ref, pos, d): by how much the depth changes at a position, in any number of rows."""
-    events = changes.groupBy("ref", "pos").agg(F.sum("d").alias("d")).where("d != 0")
+    # Written, as three branches below read it, which would each work out the changes.
+    events = keep(changes.groupBy("ref", "pos").agg(F.sum("d").alias("d")).where("d != 0"), "depth-changes")
     run = _running(events, ["d"])
     # The next event may lie blocks ahead: within a block by lead, across blocks by the next block's first event.
     block = F.floor(F.col("pos") / BLOCK)

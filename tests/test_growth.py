@@ -3,12 +3,18 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from strandline.operators import coverage as C
 from strandline.operators import downsample as D
-from strandline.plans import catalogue
+from strandline.operators import pools as P
+from strandline.plans.options import DownsampleOptions
+from strandline.plans.run import downsample_stats
 
 READS = "name string, length long, mean_q double, ref string, st long, en long"
 
@@ -71,7 +77,44 @@ def test_fill_against_the_rule_spelled_out(spark, few, monkeypatch):
     assert got == want and len(want) < 450
 
 
-@pytest.mark.parametrize("name", ["achieved_coverage", "downsample_document", "greedy_bins_exact"])
-def test_reads_stay_where_they_are(spark, name):
-    """Of about 6,000 reads only those that span or fill are dealt out."""
-    assert shuffled(spark, lambda: catalogue.QUERIES[name](spark, "/root/testdata/sf0.001").collect()) < 5_000
+@pytest.mark.parametrize("step", ["achieved", "stats", "greedy"])
+def test_reads_stay_where_they_are(spark, step):
+    """Of 40,000 reads only those that span or fill are dealt out."""
+    contigs, reads = spark.createDataFrame([("c", 2000)], CONTIGS), deep(spark)
+    names = spark.createDataFrame([("r1",), ("r2",)], "name string")
+    work = {
+        "achieved": lambda: D.achieved(reads, names, contigs).collect(),
+        "stats": lambda: downsample_stats(reads, contigs, DownsampleOptions(20, 500), names).collect(),
+        "greedy": lambda: D.greedy(reads, contigs, 20, 500).collect(),
+    }
+    assert shuffled(spark, work[step]) < 20_000
+
+
+def test_grid_meets_no_read_twice(spark):
+    """Presets with missing bounds, and one name twice."""
+    held = [(1, 100, 0.9, 50, 0.95), (2, 100, 0.5, 20, 0.9), (2, 30, 0.6, None, 0.1), (3, None, 0.2, 60, None), (4, 80, 0.7, 80, 0.7)]
+    presets = spark.createDataFrame(held, "preset int, len_a long, id_a double, len_b long, id_b double")
+    rng = random.Random(2)
+    rows = [(rng.choice([None, *range(3000)]), rng.choice("cde"), rng.randrange(0, 130), rng.choice([None, *range(0, 130)])) for _ in range(4000)]
+    aln = spark.createDataFrame(rows, "qname long, tname string, aln_len long, n_match long")
+    passed, reads = Counter(), {}
+    for q, t, n, m in rows:
+        for p, la, ia, lb, ib in held:
+            if n > 0 and m is not None and any(a is not None and i is not None and n >= a and m / n >= i for a, i in ((la, ia), (lb, ib))):
+                passed[p, t] += 1
+                reads.setdefault((p, t), set()).add(q)
+    want = {(p, t, n, len(reads[p, t] - {None})) for (p, t), n in passed.items()}
+    assert {tuple(r) for r in P.preset_grid(aln, presets).collect()} == want and len(want) == 9
+    every = spark.range(4000, numPartitions=4).selectExpr("id AS qname", "'c' AS tname", "120 AS aln_len", "119 AS n_match")
+    assert shuffled(spark, lambda: P.preset_grid(every, presets).collect()) < 6_000
+
+
+def test_many_cigars_at_once():
+    rng = random.Random(3)
+    cigars = ["".join(f"{rng.choice([0, 1, 2, 3, 12, 100])}{rng.choice('MMMIDNSHP=X')}" for _ in range(rng.randrange(0, 8))) for _ in range(300)]
+    cigars += [None, "*", "", "M3", "3M*", "5M7", "1234567890123456M", "\u0663M", "4M\u00e92D3M"]
+    seqs = [rng.choice([None, "", "".join(rng.choice("ACGTacgt") for _ in range(700)), "".join(rng.choice("ACGTN") for _ in range(rng.randrange(1, 60)))]) for _ in cigars]
+    starts = [rng.randrange(-5, 1000) for _ in cigars]
+    want = [(k, *b) for k, (s, c, q) in enumerate(zip(starts, cigars, seqs, strict=True)) for b in C.covered(s, c, q or "")]
+    got = C._covered_many(np.array(starts), pa.array(cigars), pa.array(seqs))
+    assert list(zip(*(x.tolist() for x in got), strict=True)) == want
