@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,12 +52,53 @@ def best_hit(aln: DataFrame) -> DataFrame:
     return aln.withColumn("__r", F.row_number().over(w)).where("__r = 1").drop("__r")
 
 
+#: Presets that fit the bits of one mask.
+MASK_BITS = 62
+
+
 def preset_grid(aln: DataFrame, presets: DataFrame) -> DataFrame:
-    """Passed alignments and reads for every preset and chromosome, in one pass; presets are a dozen rows, whose least length goes to the scan."""
-    lowest = presets.agg(F.min(F.least("len_a", "len_b"))).first()[0]
-    least = aln.where((F.col("aln_len") > 0) & (F.col("aln_len") >= (lowest or 0)))
-    both = least.join(F.broadcast(presets), ((F.col("aln_len") >= F.col("len_a")) & (identity() >= F.col("id_a"))) | ((F.col("aln_len") >= F.col("len_b")) & (identity() >= F.col("id_b"))))
-    return both.groupBy("preset", F.col("tname").alias("chrom")).agg(F.count("*").alias("n_passed"), F.count_distinct("qname").alias("n_reads"))
+    """Passed alignments and reads for every preset and chromosome; presets are a dozen rows, which become the bits of a mask (in turns of 62), and their least length goes to the scan.
+
+    An alignment is a row once, whatever the number of presets: alignments are counted by
+    chromosome and mask, reads by chromosome and the union of their masks, and only these few counts
+    meet the presets again.
+    """
+    spark = aln.sparkSession
+    held = sorted(presets.select("preset", "len_a", "id_a", "len_b", "id_b").collect(), key=repr)
+    names = list(dict.fromkeys(r[0] for r in held))
+    kind = presets.schema["preset"].dataType.simpleString()
+    lengths = sorted({n for r in held for n in (r[1], r[3]) if n is not None})
+    identities = sorted({n for r in held for n in (r[2], r[4]) if n is not None})
+    least = aln.where((F.col("aln_len") > 0) & (F.col("aln_len") >= min(lengths, default=0))).select(F.col("tname").alias("chrom"), "qname", "aln_len", identity().alias("__id"))
+
+    def reached(value, bounds):
+        """How many of the rising bounds a value reaches."""
+        return F.coalesce(*[F.when(value >= F.lit(x), F.lit(k)) for k, x in sorted(enumerate(bounds, 1), reverse=True)], F.lit(0))
+
+    def meets(length: int, identity_: int, row) -> bool:
+        """Whether a preset passes what reaches so many of the bounds."""
+        return any(n is not None and i is not None and length > lengths.index(n) and identity_ > identities.index(i) for n, i in ((row[1], row[2]), (row[3], row[4])))
+
+    turns = [held[k : k + MASK_BITS] for k in range(0, max(1, len(held)), MASK_BITS)]
+    masks = [f"__m{k}" for k in range(len(turns))]
+    # What an alignment passes depends on the bounds that it reaches only, so its mask is looked up.
+    at = F.col("__l") * (len(identities) + 1) + F.col("__i") + 1
+    tables = [F.array(*[F.lit(sum(1 << k for k, r in enumerate(part) if meets(n, i, r))).cast("long") for n in range(len(lengths) + 1) for i in range(len(identities) + 1)]) for part in turns]
+    placed = least.select("chrom", "qname", reached(F.col("aln_len"), lengths).alias("__l"), reached(F.col("__id"), identities).alias("__i"))
+    marked = placed.select("chrom", "qname", *[F.element_at(x, at).alias(c) for c, x in zip(masks, tables, strict=True)])
+    n = lambda rows, of: rows.groupBy("chrom", *masks).agg(F.count("*").alias(of))
+    none = F.lit(0).cast("long")
+    alignments = n(marked, "n_passed").withColumn("n_reads", none)
+    # Alignments that pass nothing have no read to count, and are combined where they are.
+    read = F.when(reduce(lambda x, y: x | y, [F.col(c) != 0 for c in masks]), F.col("qname")).alias("qname")
+    by_read = marked.groupBy("chrom", read).agg(*[F.bit_or(c).alias(c) for c in masks])
+    reads = n(by_read.where("qname IS NOT NULL"), "n_reads").withColumn("n_passed", none)
+    # By preset, a mask for each turn of the bits that stand for it.
+    table = spark.createDataFrame([(p, *(sum(1 << i for i, r in enumerate(part) if r[0] == p) for part in turns)) for p in names], f"preset {kind}, " + ", ".join(f"p{c} long" for c in masks))
+    both = alignments.unionByName(reads).join(F.broadcast(table))
+    hits = reduce(lambda x, y: x + y, [F.bit_count(F.col(c).bitwiseAND(F.col(f"p{c}"))) for c in masks])
+    counted = both.withColumn("__hits", hits).where("__hits > 0").groupBy("preset", "chrom").agg(F.sum(F.col("n_passed") * F.col("__hits")).alias("n_passed"), F.sum("n_reads").alias("n_reads"))
+    return counted
 
 
 def pool_reads(pool_rows: DataFrame, reads: DataFrame) -> DataFrame:
