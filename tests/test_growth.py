@@ -118,3 +118,14 @@ def test_many_cigars_at_once():
     want = [(k, *b) for k, (s, c, q) in enumerate(zip(starts, cigars, seqs, strict=True)) for b in C.covered(s, c, q or "")]
     got = C._covered_many(np.array(starts), pa.array(cigars), pa.array(seqs))
     assert list(zip(*(x.tolist() for x in got), strict=True)) == want
+
+
+def test_many_names_are_dealt(spark, monkeypatch):
+    """Reads whose names repeat or are null, joined with names beyond those that are broadcast."""
+    rows = [(f"r{k % 40}" if k % 7 else None, 10, 1.0, "cd"[k % 2], k, k + 10 + k % 3) for k in range(200)]
+    reads, contigs = spark.createDataFrame(rows, READS), spark.createDataFrame([("c", 100), ("d", 50), ("e", 5)], CONTIGS)
+    names = spark.createDataFrame([(f"r{k}",) for k in range(0, 60, 3)], "name string")
+    work = lambda: [sorted(map(repr, df.collect())) for df in (P.keep_reads(reads, names), D.achieved(reads, names, contigs), downsample_stats(reads, contigs, DownsampleOptions(20, 50, 0.11), names))]
+    few = work()
+    monkeypatch.setattr(P, "NAMES", 10)
+    assert work() == few and len(few[0]) == sum(r[0] is not None and int(r[0][1:]) % 3 == 0 for r in rows)
