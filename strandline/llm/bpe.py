@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +20,8 @@ from .gear import chunks
 LEAST, AVERAGE, MOST = 512, 2048, 16384
 #: Words that a worker's cache holds.
 CACHE_WORDS = 150_000
+#: Pre-tokens that it holds, slots of the table in which a pre-token is marked when it is first met, and characters of text that are cut into pre-tokens at once.
+CACHE_PARTS, MARKS, AT_ONCE = 120_000, 1 << 21, 1 << 18
 
 
 def default_tokenizer() -> str:
@@ -35,12 +39,29 @@ def _byte_of() -> dict[str, int]:
     return out
 
 
+@functools.cache
+def _parts() -> re.Pattern:
+    """The pattern of byte-level pre-tokens, with letters and numbers up to U+FFFF spelled as ranges."""
+    runs: dict[str, list[list[int]]] = {"L": [], "N": []}
+    for k in range(1 << 16):
+        mine = runs.get(unicodedata.category(chr(k))[0])
+        if mine and mine[-1][1] == k - 1:
+            mine[-1][1] = k
+        elif mine is not None:
+            mine.append([k, k])
+    letter, number = ("".join(f"\\u{a:04x}-\\u{b:04x}" for a, b in r) for r in runs.values())
+    return re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{letter}]+| ?[{number}]+| ?[^\s{letter}{number}]+|\s+(?!\S)|\s+")
+
+
 class Encoder:
     """A byte-level tokenizer of the tokenizers library, whose work on repeated words is kept.
 
-    A space between two visible characters always begins a pre-token, so a text is the
-    concatenation of its parts between such spaces, and so are its ids. Texts with other spacing
-    are given to the library whole.
+    A text's ids are those of its pre-tokens one after the other. Where the tokenizer cuts by the
+    pattern of byte-level pre-tokens and by nothing else, texts are cut by it here, and the ids of
+    repeated pre-tokens kept. Other tokenizers' texts, and texts with added tokens or with a
+    character that the library puts into another class than this pattern does (asked once a
+    character), are cut at spaces: a space between two visible characters always begins a
+    pre-token. Of these, texts with other spacing are given to the library whole.
     """
 
     def __init__(self, path: str):
@@ -52,7 +73,7 @@ class Encoder:
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
-        self._refuse_unless_byte_level(path)
+        self.cuts_parts = self._refuse_unless_byte_level(path)
         size = self.tok.get_vocab_size(with_added_tokens=True)
         added = self.tok.get_added_tokens_decoder()
         byte_of = _byte_of()
@@ -67,9 +88,13 @@ class Encoder:
         self.cache: dict[str, bytes | None] = {}
         self.heads: dict[str, bytes | None] = {}
         self.plain: dict[str, bool] = {}
+        self.added = [x.content for x in added.values()]
+        self.parts: dict[str, bytes] = {}
+        self.marks = bytearray(MARKS)
+        self.alike: dict[str, bool] = {}
 
-    def _refuse_unless_byte_level(self, path: str) -> None:
-        """What is cut here, at single spaces between visible characters, must be cut by the tokenizer too, and its tokens must be bytes."""
+    def _refuse_unless_byte_level(self, path: str) -> bool:
+        """What is cut here, at single spaces between visible characters, must be cut by the tokenizer too, and its tokens must be bytes. True if it cuts by the byte-level pattern and by nothing else."""
         import json
 
         with open(path, encoding="utf-8") as f:
@@ -83,6 +108,7 @@ class Encoder:
         begins = {a for _, (a, _) in self.tok.pre_tokenizer.pre_tokenize_str(probe)}
         if not begins.issuperset(want):
             raise ValueError(f"the pre-tokenizer of {path} does not begin a pre-token at each space between visible characters")
+        return sub.get("type") == "ByteLevel" and sub.get("use_regex", True) and not sub.get("add_prefix_space", True)
 
     @staticmethod
     def _plain_space(text: str, k: int) -> bool:
@@ -97,30 +123,98 @@ class Encoder:
             ok = self.plain[c] = unicodedata.category(c)[0] in "LMNPS" and not c.isspace()
         return ok
 
-    def _learn(self, words: list[str]) -> None:
-        """Encode words that follow a space: many at a time as one text, whose ids are then cut at the words' ends."""
-        good = []
-        for w in words:
-            if w and self._visible(w[0]) and self._visible(w[-1]):
-                good.append(w)
+    def _alike(self, c: str) -> bool:
+        """Whether the tokenizer has a character in the class in which the pattern has it: between two of that class it begins no pre-token, and of two white ones each is one before a letter."""
+        ok = self.alike.get(c)
+        if ok is None:
+            kind = unicodedata.category(c)[0]
+            if c.isspace():
+                probe, want = f"a{c}{c}a", ["a", c, c + "a"] if c == " " else ["a", c, c, "a"]
+            elif kind in "LN":
+                probe = {"L": "a", "N": "1"}[kind] + c + {"L": "a", "N": "1"}[kind]
+                want = [probe] if c < "\U00010000" else []
             else:
-                self.cache[w] = None
-        for k in range(0, len(good), 1000):
-            part = good[k : k + 1000]
-            ids = np.array(self.tok.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
-            ends = np.cumsum([len(w.encode()) + 1 for w in part])
+                probe = f".{c}."
+                want = [probe]
+            ok = self.alike[c] = [probe[a:b] for _, (a, b) in self.tok.pre_tokenizer.pre_tokenize_str(probe)] == want
+        return ok
+
+    def _spaced(self, words: list[str]) -> list[bytes]:
+        """The ids of words that begin with a space: many at a time as one text, whose ids are then cut at the words' ends."""
+        out = []
+        for k in range(0, len(words), 1000):
+            part = words[k : k + 1000]
+            ids = np.array(self.tok.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
+            ends = np.cumsum([len(w.encode()) for w in part])
             at = np.cumsum(self.size_of[ids])
             last = np.searchsorted(at, ends) + 1
             if len(ids) and at[-1] == ends[-1] and (at[last - 1] == ends).all():
                 raw, a = ids.tobytes(), 0
-                for w, b in zip(part, (last * 4).tolist(), strict=True):
-                    self.cache[w] = raw[a:b]
+                for b in (last * 4).tolist():
+                    out.append(raw[a:b])
                     a = b
             else:
-                self.cache |= dict(zip(part, self._ids([" " + w for w in part]), strict=True))
+                out += self._ids(part)
+        return out
+
+    def _learn(self, words: list[str]) -> None:
+        """Encode words that follow a space."""
+        good = []
+        for w in words:
+            if w and self._visible(w[0]) and self._visible(w[-1]):
+                good.append(w)
+            else:
+                self.cache[w] = None
+        self.cache |= zip(good, self._spaced([" " + w for w in good]), strict=True)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
+        if not self.cuts_parts:
+            return self._by_words(texts)
+        odd = {c for t in texts for c in set(t).difference(self.alike) if not self._alike(c)} | {c for c, ok in self.alike.items() if not ok}
+        left = {k for k, t in enumerate(texts) if (odd and not odd.isdisjoint(t)) or any(a in t for a in self.added)}
+        by_parts = self._by_parts(t for k, t in enumerate(texts) if k not in left)
+        by_words = iter(self._by_words([texts[k] for k in sorted(left)]) if left else [])
+        return [next(by_words if k in left else by_parts) for k in range(len(texts))]
+
+    def _by_parts(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """The ids of texts by their pre-tokens, some texts at once."""
+        cut, ends, size, find = [], [], 0, _parts().findall
+        for t in texts:
+            cut += find(t)
+            ends.append(len(cut))
+            size += len(t)
+            if size >= AT_ONCE:
+                ids = self._ids_of(cut)
+                yield from (b"".join(ids[a:b]) for a, b in zip([0, *ends], ends, strict=False))
+                cut, ends, size = [], [], 0
+        ids = self._ids_of(cut)
+        yield from (b"".join(ids[a:b]) for a, b in zip([0, *ends], ends, strict=False))
+
+    def _ids_of(self, cut: list[str]) -> list[bytes]:
+        """The ids of pre-tokens. The first are kept when they are met, later ones from the second call on that misses them, while there is room; all are given up when a third of a call's have to be encoded."""
+        ids = list(map(self.parts.get, cut))
+        missed = [k for k, x in enumerate(ids) if x is None]
+        new = list({cut[k] for k in missed})
+        if len(self.parts) + len(new) > CACHE_PARTS and len(new) * 3 > len(cut):
+            self.parts.clear()
+            self.marks = bytearray(MARKS)
+        # A space and what follows it begin a pre-token wherever they stand after something visible; white runs are left out.
+        spaced = [p for p in new if p[0] == " " and not p.isspace()]
+        bare = [p for p in new if p[0] != " " or p.isspace()]
+        got = dict(zip(spaced, self._spaced(spaced), strict=True)) | dict(zip(bare, self._ids(bare), strict=True))
+        for k in missed:
+            ids[k] = got[cut[k]]
+        for p in new:
+            if len(self.parts) >= CACHE_PARTS:
+                break
+            mark = hash(p) % MARKS
+            if self.marks[mark] or len(self.parts) * 3 < CACHE_PARTS:
+                self.parts[p] = got[p]
+            self.marks[mark] = 1
+        return ids
+
+    def _by_words(self, texts: list[str]) -> list[bytes]:
         split = [t.split(" ") for t in texts]
         heads = [s.pop(0) for s in split]
         need = set().union(*split).difference(self.cache)

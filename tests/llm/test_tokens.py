@@ -46,6 +46,46 @@ def test_joins_use_given_pieces():
     assert bpe.assemble(enc, text, [wrong]) in (None, enc._ids([text])[0])
 
 
+def test_repeated_pre_tokens_are_not_encoded_again():
+    enc = bpe.Encoder(bpe.default_tokenizer())
+    tok, given = enc.tok, []
+
+    class Counted:
+        def encode_batch_fast(self, texts, **more):
+            given.extend(texts)
+            return tok.encode_batch_fast(texts, **more)
+
+        def __getattr__(self, name):
+            return getattr(tok, name)
+
+    enc.tok = Counted()
+    stems = [a + b + c for a in ("ther", "onen", "shin") for b in ("ati", "ouent", "le") for c in ("", "ly", "ed")]
+    signs = [", ", ".\n", "!!  ", "; "]
+    for _ in range(2):
+        enc.encode([" ".join(stems), "\n".join(stems), "".join("a" + x for x in signs)])
+    given.clear()
+    texts = ["".join(x + y for x in stems for y in signs) + f"{a}{b}" for a in stems for b in signs]
+    assert enc.encode(texts) == [le(e.ids) for e in tok.encode_batch(texts, add_special_tokens=False)]
+    assert sum(map(len, given)) < 0.001 * sum(map(len, texts))
+
+
+def test_pre_tokens_are_cut_as_by_the_library(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE_PARTS", 300)
+    monkeypatch.setattr(bpe, "MARKS", 64)
+    enc, rng = bpe.Encoder(bpe.default_tokenizer()), random.Random(11)
+    assert enc.cuts_parts
+    odd = [chr(c) for c in (*range(0x250), 0x300, 0x378, 0x660, 0x966, 0x1680, 0x2003, 0x200B, 0x2028, 0x2160, 0x2460, 0x3000, 0x3007, 0x4E00, 0xA7DA, 0xFEFF, 0xFFFD, 0x10330, 0x1D7D8, 0x1F600, 0x20000, 0x323AF, 0xE0100)]
+    usual = [" ", "  ", "\n", "\t", "a", "b", "Re", "'s", "'ll", "'", "12", ",", "<|endoftext|>", "_", "é", "²", "½"]
+    texts = ["", *odd, *(x + y for x in odd for y in (x, "a", " a", "1", ".")), *("a" + x for x in odd), *(" " + x for x in odd)]
+    texts += ["".join(rng.choice(usual if rng.random() < 0.9 else odd) for _ in range(rng.randrange(40))) for _ in range(3000)]
+    rng.shuffle(texts)
+    want = [le(e.ids) for e in enc.tok.encode_batch(texts, add_special_tokens=False)]
+    for _ in range(2):
+        for k in range(0, len(texts), 250):
+            assert enc.encode(texts[k : k + 250]) == want[k : k + 250]
+    assert len(enc.parts) <= 300
+
+
 def test_files_round_trip(spark, tmp_path):
     root = "file://" + str(tmp_path / uuid.uuid4().hex)
     tok = Tokenizer.from_file(bpe.default_tokenizer())
@@ -70,6 +110,17 @@ def test_files_round_trip(spark, tmp_path):
     assert ids.read_ids(spark, empty).count() == 0
 
 
+def test_digests_of_the_files_need_no_second_python_stage(spark, tmp_path):
+    tok = Tokenizer.from_file(bpe.default_tokenizer())
+    data = [(i, t) for i, t in enumerate(["a b", None, "", "c ² d\n"])]
+    spark.createDataFrame(data, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = ids.op7_token_ids(spark, str(tmp_path))
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    all_ids = [[*tok.encode(t or "", add_special_tokens=False).ids, 0] for _, t in data]
+    want = [(i, sum(map(len, all_ids[:i])), len(x), zlib.crc32(le(x))) for i, x in enumerate(all_ids)]
+    assert sorted(map(tuple, got.collect())) == want
+
+
 def test_null_and_negative_ids_and_copies_over_shards(spark, tmp_path):
     root = "file://" + str(tmp_path / uuid.uuid4().hex)
     tok = Tokenizer.from_file(bpe.default_tokenizer())
